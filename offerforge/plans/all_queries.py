@@ -1,6 +1,6 @@
 """Loads every query module, which fills the register."""
 
-from offerforge.plans import queries_features  # noqa: F401
+from offerforge.plans import queries_features, queries_numeric, queries_relational  # noqa: F401
 from offerforge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
