@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerforge.functions.names import string_columns
-from offerforge.operators.profile import column_values, unique_counts
+from offerforge.operators.profile import column_values
 from offerforge.operators.tables import lookup_join
 from offerforge.session import BROADCAST_ROWS, is_small
 
@@ -24,15 +24,15 @@ def fit_categories(
 
     These lists become columns or literals of a plan, so they have to be short.
     """
-    if not columns:
-        return {}
-    found = column_values(df, columns).select("column", "value")
-    rows = found.limit(max_categories * len(columns) + 1).collect()
+    return _listed(column_values(df, columns), columns, max_categories) if columns else {}
+
+
+def _listed(pairs: DataFrame, columns: Sequence[str], max_categories: int) -> dict[str, list[str | None]]:
+    """Value lists from (column, value) pairs; no more rows than the lists may hold are fetched."""
+    room = max_categories * len(columns)
+    rows = pairs.select("column", "value").limit(room + 1).collect()
     out = {c: sorted((r.value for r in rows if r.column == c), key=lambda v: (v is None, v)) for c in columns}
-    for name, values in out.items():
-        if len(values) > max_categories:
-            raise ValueError(f"more than {max_categories} categories in {name}")
-    if len(rows) > max_categories * len(columns):
+    if len(rows) > room or any(len(values) > max_categories for values in out.values()):
         raise ValueError(f"more than {max_categories} categories in one of {', '.join(columns)}")
     return out
 
@@ -139,9 +139,14 @@ def fit_encoders(
     columns = string_columns(df) if columns is None else list(columns)
     if not columns:
         return EncoderPlan()
-    counts = {r.column: r.num_unique_values for r in unique_counts(df, columns).collect()}
-    chosen = [c for c in columns if counts.get(c) in {*code_at, *spread_at}]
-    values = fit_categories(df, chosen)
+    pairs = column_values(df, columns).persist()
+    try:
+        counted = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {r.column: r.n for r in counted}
+        chosen = [c for c in columns if counts.get(c) in {*code_at, *spread_at}]
+        values = _listed(pairs.filter(F.col("column").isin(chosen)), chosen, MAX_CATEGORIES) if chosen else {}
+    finally:
+        pairs.unpersist()
     return EncoderPlan(
         coded={c: values[c] for c in chosen if counts[c] in code_at},
         spread={c: values[c] for c in chosen if counts[c] in spread_at and counts[c] not in code_at},

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerforge.functions.names import numeric_columns
@@ -49,39 +49,43 @@ def random_split(df: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SE
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """Fitted model with its feature names, the stand-in for a missing value of each, and its labels."""
+    """Fitted models with their feature names, the stand-in for a missing value of each, and the labels.
 
-    model: Model
+    One model gives the probabilities of all labels; several models give the margin of one label each.
+    """
+
+    models: tuple[Model, ...]
     features: tuple[str, ...]
     missing: tuple[float, ...]
     labels: tuple[str, ...]
-    one_vs_rest: bool = False
 
     def assembled(self, df: DataFrame) -> DataFrame:
         known = df.select(
-            "*", *[F.coalesce(F.col(c).cast("double"), F.lit(m)).alias(f"_x_{c}") for c, m in zip(self.features, self.missing)]
+            "*",
+            *[F.coalesce(F.col(c).cast("double"), F.lit(m)).alias(f"_x_{c}") for c, m in zip(self.features, self.missing)],
         )
         columns = [f"_x_{c}" for c in self.features]
         return VectorAssembler(inputCols=columns, outputCol="_features").transform(known).drop(*columns)
 
     def score(self, df: DataFrame, name: str = "probability") -> DataFrame:
         """Adds the array of class probabilities, in label order."""
-        if self.one_vs_rest:
-            scored = self.model.transform(self.assembled(df))
-            weights = F.transform(vector_to_array("_raw"), lambda r: F.exp(2 * r))
-            total = F.aggregate(weights, F.lit(0.0), lambda a, w: a + w)
-            scored = scored.withColumn(name, F.transform(weights, lambda w: w / total))
-        else:
-            scored = self.model.transform(self.assembled(df)).withColumn(name, vector_to_array("_probability"))
-        return scored.select(*df.columns, name)
+        scored = self.assembled(df)
+        for i, model in enumerate(self.models):
+            named = model.copy().setPredictionCol(f"_y{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_p{i}")
+            scored = named.transform(scored)
+        if len(self.models) == 1:
+            return scored.select(*df.columns, vector_to_array("_p0").alias(name))
+        # softmax of the margins; a boosted model states half the log-odds
+        weights = F.array(*[F.exp(2 * F.get(vector_to_array(f"_r{i}"), F.lit(1))) for i in range(len(self.models))])
+        total = F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w)
+        return scored.withColumn("_weights", weights).select(
+            *df.columns, F.transform("_weights", lambda w: w / total).alias(name)
+        )
 
     def importance(self, n: int = TOP_FEATURES) -> DataFrame:
         """(feature, importance) of the n most important features."""
-        models = self.model.models if self.one_vs_rest else [self.model]
-        weights = sum(m.featureImportances.toArray() for m in models) / len(models)
+        weights = sum(m.featureImportances.toArray() for m in self.models) / len(self.models)
         rows = sorted(zip(self.features, map(float, weights)), key=lambda item: (-item[1], item[0]))[:n]
-        from pyspark.sql import SparkSession
-
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
 
@@ -91,12 +95,13 @@ def _stand_ins(df: DataFrame, features: Sequence[str]) -> tuple[float, ...]:
     return tuple((stats[c].low or 0.0) - 1.0 for c in features)
 
 
-def _fit(estimator, shell: TrainedModel, df: DataFrame, label: Column) -> Model:
+def _fit(estimators: Mapping[str, Estimator], shell: TrainedModel, df: DataFrame, labels: Mapping[str, Column]) -> TrainedModel:
+    """Fits one estimator per label column on one assembled and cached table."""
     shared_folder(df.sparkSession)
-    data = shell.assembled(df).select("_features", label.cast("double").alias("_label")).filter("_label is not null")
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    known = shell.assembled(df).select("_features", *[c.cast("double").alias(n) for n, c in labels.items()])
+    data = known.filter(" and ".join(f"{n} is not null" for n in labels)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator.fit(data)
+        return replace(shell, models=tuple(e.fit(data) for e in estimators.values()))
     finally:
         data.unpersist()
 
@@ -120,24 +125,23 @@ def train_multiclass(
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
     labels = tuple(fit_labels(df, target))
-    shell = TrainedModel(None, features, _stand_ins(df, features), labels, backend == "boosted")
-    columns = {"labelCol": "_label", "featuresCol": "_features"}
-    if backend == "forest":
-        estimator = RandomForestClassifier(
-            numTrees=trees, maxDepth=depth, seed=seed, probabilityCol="_probability", rawPredictionCol="_raw",
-            predictionCol="_prediction", **columns,
-        )
-    elif backend == "boosted":
-        booster = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, **columns)
-        estimator = OneVsRest(
-            classifier=booster, rawPredictionCol="_raw", predictionCol="_prediction", parallelism=4, **columns
-        )
-    else:
-        raise ValueError(f"unknown backend {backend}")
+    shell = TrainedModel((), features, _stand_ins(df, features), labels)
     names = F.array(*[F.lit(v) for v in labels])
     place = F.array_position(names, F.col(target).cast("string"))
-    model = _fit(estimator, shell, df, F.when(place > 0, place - 1))
-    return TrainedModel(model, shell.features, shell.missing, labels, shell.one_vs_rest)
+    code = F.when(place > 0, place - 1)
+    if backend == "forest":
+        forest = RandomForestClassifier(
+            labelCol="_label", featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed
+        )
+        return _fit({"_label": forest}, shell, df, {"_label": code})
+    if backend == "boosted":
+        targets = {f"_label{i}": (code == i).cast("int") for i in range(len(labels))}
+        boosters = {
+            n: GBTClassifier(labelCol=n, featuresCol="_features", maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed)
+            for n in targets
+        }
+        return _fit(boosters, shell, df, targets)
+    raise ValueError(f"unknown backend {backend}")
 
 
 def train_binary(
@@ -157,14 +161,13 @@ def train_binary(
     ``child_weight`` is in rows here: the least number of rows a leaf holds, never below one.
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
-    shell = TrainedModel(None, features, _stand_ins(df, features), ("no", "yes"))
-    estimator = GBTClassifier(
+    shell = TrainedModel((), features, _stand_ins(df, features), ("no", "yes"))
+    booster = GBTClassifier(
         labelCol="_label", featuresCol="_features", maxDepth=depth, maxIter=rounds, stepSize=step,
         subsamplingRate=subsample, minInstancesPerNode=max(1, round(child_weight)), seed=seed,
-        probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_prediction",
     )
     known = yes_no(df, target) if dict(df.dtypes)[target] == "string" else df
-    return TrainedModel(_fit(estimator, shell, known, F.col(target)), shell.features, shell.missing, shell.labels)
+    return _fit({"_label": booster}, shell, known, {"_label": F.col(target)})
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -32,7 +32,7 @@ def exact_quantiles(
         .groupBy("v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        distinct = counts.count()
+        distinct, total = counts.agg(F.count("v"), F.sum("n")).first()
         if distinct == 0:
             return {p: None for p in probabilities}
         ranges = min(math.ceil(distinct / rows_per_range), 1000)
@@ -41,7 +41,9 @@ def exact_quantiles(
             marks = [i / ranges for i in range(1, ranges)]
             cuts = sorted(set(counts.agg(F.percentile_approx("v", marks, 10_000).alias("c")).first().c))
         bucketed = counts.withColumn("b", range_number(F.col("v"), cuts))
-        totals = {r.b: r.n for r in bucketed.groupBy("b").agg(F.sum("n").alias("n")).collect()}
+        totals = {0: total}
+        if cuts:
+            totals = {r.b: r.n for r in bucketed.groupBy("b").agg(F.sum("n").alias("n")).collect()}
         buckets = sorted(totals)
         ends = list(accumulate(totals[b] for b in buckets))
         wanted = {p: (ends[-1] - 1) * p for p in probabilities}

@@ -1,6 +1,8 @@
 """Loads every query module, which fills the register."""
 
-from offerforge.plans import queries_features, queries_numeric, queries_relational  # noqa: F401
+from offerforge.plans import (  # noqa: F401
+    queries_features, queries_jobs, queries_numeric, queries_offers, queries_relational,
+)
 from offerforge.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

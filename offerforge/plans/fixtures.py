@@ -18,6 +18,8 @@ CARDS = ("Silver", "Gold", "Platinum", "Signature")
 EXPENSES = {"view": "travel", "click": "fuel", "signup": "entertainment", "purchase": "food", "error": "bills"}
 MAKES = ("Saab", "Mercedes", "Dodge", "Audi", "Nissan", "BMW", "Ford")
 SEVERITIES = ("Total Loss", "Major Damage", "Minor Damage", "Trivial Damage")
+UNLISTED = ("NATION_0", "NATION_1", "NATION_2")
+UNMAPPED = ("NATION_23", "NATION_24")
 AGENCIES = ("CWT", "EPX", "JZI", "C2B")
 
 
@@ -89,7 +91,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population by city; three nations are not on the list."""
-    return table(spark, sf_dir, "nation").filter("n_nationkey > 2").select(
+    return table(spark, sf_dir, "nation").filter(~F.col("n_name").isin(*UNLISTED)).select(
         F.col("n_name").alias("city"), (F.col("n_nationkey").cast("bigint") * 37 % 11 * 100000).alias("population")
     )
 
@@ -98,7 +100,7 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places around the branch; two nations are not on the list."""
     key = F.col("n_nationkey")
     return (
-        table(spark, sf_dir, "nation").filter("n_nationkey < 23")
+        table(spark, sf_dir, "nation").filter(~F.col("n_name").isin(*UNMAPPED))
         .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_name").alias("place"), F.col("r_name").alias("city"),
@@ -120,7 +122,7 @@ def policy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def motor_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("pk"), F.max("l_linenumber").cast("bigint").alias("lines"),
-        F.round(F.max("l_extendedprice"), 2).alias("gain"), F.round(-F.min("l_extendedprice"), 2).alias("loss"),
+        F.max("l_extendedprice").alias("gain"), (-F.min("l_extendedprice")).alias("loss"),
     )
     size = F.col("p_size").cast("bigint")
     part = F.col("p_partkey")
@@ -142,35 +144,35 @@ def motor_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("lines") - 1).alias("witnesses"),
             pick(part, MAKES).alias("auto_make"),
             pick(F.col("ok"), ("Front", "Rear", "Side", "?")).alias("collision_type"),
-            F.round(F.col("p_retailprice") / 10, 2).alias("policy_annual_premium"),
+            F.col("p_retailprice").alias("policy_annual_premium"),
         )
     )
 
 
 def travel_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("k % 3 != 0").select(
+    return policy_base(spark, sf_dir).filter("o_orderstatus <> 'F'").select(
         F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
         F.col("o_orderpriority").alias("travel_addon"),
         F.col("o_orderstatus").alias("destination"),
         pick(F.col("k"), AGENCIES).alias("agency"),
         F.concat(F.lit("P"), (F.col("ok") % 16).cast("string")).alias("product_name"),
         pick(F.col("ok"), ("Online", "Offline")).alias("channel"),
-        F.round("o_totalprice", 2).alias("net_sales"), F.col("n").alias("duration"),
+        F.col("o_totalprice").alias("net_sales"), F.col("n").alias("duration"),
     )
 
 
 def medical_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("k % 5 != 1").select(
+    return policy_base(spark, sf_dir).filter("o_orderpriority <> '5-LOW'").select(
         F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
         pick(F.col("ok"), ("Cardiovascular", "Illness", "Mental Health", "Dental")).alias("medical_addon"),
         (18 + F.col("k") % 25).alias("bmi"),
         pick(F.col("n"), ("Yes", "No")).alias("smoker"),
-        F.round(F.col("o_totalprice") / 100, 2).alias("charges"),
+        F.col("o_totalprice").alias("charges"),
     )
 
 
 def home_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("k % 4 != 2").select(
+    return policy_base(spark, sf_dir).filter("o_orderpriority <> '2-HIGH'").select(
         F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
         pick(F.col("ok"), ("Lock", "Garden", "Key")).alias("addon"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("quote_date"),
@@ -181,12 +183,12 @@ def home_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("roof"),
         pick(F.col("k") + F.col("ok"), ("Brick", "Wood", "Stone", "Mixed")).alias("walls"),
         pick(F.col("ok"), ("A", "B", "C", "D", "E", "F")).alias("risk_class"),
-        F.round(F.col("o_totalprice") / 1000, 2).alias("sum_insured"),
+        F.col("o_totalprice").alias("sum_insured"),
     )
 
 
 def property_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("k % 7 != 3").select(
+    return policy_base(spark, sf_dir).filter("o_orderpriority <> '1-URGENT'").select(
         F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
         pick(F.col("ok"), ("Fire", "Flood", "Quake")).alias("addon"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("quote_date"),
@@ -196,7 +198,7 @@ def property_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
         pick(F.col("n"), ("Let", "Owned")).alias("tenure_kind"),
         F.col("o_orderstatus").alias("listing"),
         pick(F.col("k") + F.col("ok"), ("Flat", "House", "Villa", "Farm")).alias("kind"),
-        F.round(F.col("o_totalprice") / 500, 2).alias("rebuild_cost"),
+        F.col("o_totalprice").alias("rebuild_cost"),
     )
 
 
@@ -236,14 +238,14 @@ CTES = {
           n_orders, top_price, c_custkey AS number
         FROM customer LEFT JOIN first_orders ON c_custkey = k
           LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "cities": """
+    "cities": f"""
         SELECT n_name AS city, CAST(n_nationkey AS BIGINT) * 37 % 11 * 100000 AS population
-        FROM nation WHERE n_nationkey > 2""",
-    "gazetteer": """
+        FROM nation WHERE n_name NOT IN {UNLISTED}""",
+    "gazetteer": f"""
         SELECT n_name AS place, r_name AS city,
           CAST(12.9698 AS DOUBLE) + (n_nationkey - 12) * CAST(0.05 AS DOUBLE) AS latitude,
           CAST(77.75 AS DOUBLE) + (n_nationkey * 7 % 25 - 12) * CAST(0.05 AS DOUBLE) AS longitude
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 23""",
+        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name NOT IN {UNMAPPED}""",
     "policy_base": """
         SELECT o_custkey AS k, max(o_orderkey) AS ok, count(*) AS n, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus,
           arg_max(o_orderpriority, o_orderkey) AS o_orderpriority, arg_max(o_orderdate, o_orderkey) AS o_orderdate,
@@ -255,33 +257,33 @@ CTES = {
           gain AS capital_gains, loss AS capital_loss, {_pick_sql('p_partkey', SEVERITIES)} AS incident_severity,
           ok % 24 AS incident_hour_of_the_day, lines - 1 AS witnesses, {_pick_sql('p_partkey', MAKES)} AS auto_make,
           {_pick_sql('ok', ('Front', 'Rear', 'Side', '?'))} AS collision_type,
-          round(p_retailprice / 10, 2) AS policy_annual_premium
+          p_retailprice AS policy_annual_premium
         FROM policy_base JOIN (
           SELECT l_orderkey, min(l_partkey) AS pk, CAST(max(l_linenumber) AS BIGINT) AS lines,
-            round(max(l_extendedprice), 2) AS gain, round(-min(l_extendedprice), 2) AS loss
+            max(l_extendedprice) AS gain, -min(l_extendedprice) AS loss
           FROM lineitem GROUP BY l_orderkey) ON ok = l_orderkey
           JOIN part ON pk = p_partkey""",
     "travel_policy": f"""
         SELECT 'C' || k AS customer_id, o_orderpriority AS travel_addon, o_orderstatus AS destination,
           {_pick_sql('k', AGENCIES)} AS agency, 'P' || (ok % 16) AS product_name,
-          {_pick_sql('ok', ('Online', 'Offline'))} AS channel, round(o_totalprice, 2) AS net_sales, n AS duration
-        FROM policy_base WHERE k % 3 != 0""",
+          {_pick_sql('ok', ('Online', 'Offline'))} AS channel, o_totalprice AS net_sales, n AS duration
+        FROM policy_base WHERE o_orderstatus <> 'F'""",
     "medical_policy": f"""
         SELECT 'C' || k AS customer_id,
           {_pick_sql('ok', ('Cardiovascular', 'Illness', 'Mental Health', 'Dental'))} AS medical_addon,
-          18 + k % 25 AS bmi, {_pick_sql('n', ('Yes', 'No'))} AS smoker, round(o_totalprice / 100, 2) AS charges
-        FROM policy_base WHERE k % 5 != 1""",
+          18 + k % 25 AS bmi, {_pick_sql('n', ('Yes', 'No'))} AS smoker, o_totalprice AS charges
+        FROM policy_base WHERE o_orderpriority <> '5-LOW'""",
     "home_policy": f"""
         SELECT 'C' || k AS customer_id, {_pick_sql('ok', ('Lock', 'Garden', 'Key'))} AS addon,
           {_pick_sql('n', ('Y', 'N'))} AS alarm, o_orderstatus AS roof,
           {_pick_sql('k + ok', ('Brick', 'Wood', 'Stone', 'Mixed'))} AS walls,
-          {_pick_sql('ok', ('A', 'B', 'C', 'D', 'E', 'F'))} AS risk_class, round(o_totalprice / 1000, 2) AS sum_insured
-        FROM policy_base WHERE k % 4 != 2""",
+          {_pick_sql('ok', ('A', 'B', 'C', 'D', 'E', 'F'))} AS risk_class, o_totalprice AS sum_insured
+        FROM policy_base WHERE o_orderpriority <> '2-HIGH'""",
     "property_policy": f"""
         SELECT 'C' || k AS customer_id, {_pick_sql('ok', ('Fire', 'Flood', 'Quake'))} AS addon,
           {_pick_sql('n', ('Let', 'Owned'))} AS tenure_kind, o_orderstatus AS listing,
-          {_pick_sql('k + ok', ('Flat', 'House', 'Villa', 'Farm'))} AS kind, round(o_totalprice / 500, 2) AS rebuild_cost
-        FROM policy_base WHERE k % 7 != 3""",
+          {_pick_sql('k + ok', ('Flat', 'House', 'Villa', 'Farm'))} AS kind, o_totalprice AS rebuild_cost
+        FROM policy_base WHERE o_orderpriority <> '1-URGENT'""",
 }
 
 _NEEDS = {
