@@ -57,13 +57,15 @@ def tenure_segment(months: Column) -> Column:
     return F.when(months > OLD_CUSTOMER_MONTHS, "old_customer").otherwise("new_customer")
 
 
-def _replace(df: DataFrame, source: str, name: str, value: Column) -> DataFrame:
-    return df.withColumn(name, value).drop(source)
+def _from_day(df: DataFrame, column: str, pattern: str, strict: bool, name: str, feature) -> DataFrame:
+    """A feature of the day in place of its text column; the text is parsed once per row."""
+    parsed = df.withColumn("_day", parse_date(F.col(column), pattern, strict))
+    return parsed.withColumn(name, feature(F.col("_day"))).drop("_day", column)
 
 
 def with_age(df: DataFrame, column: str, as_of: date, pattern: str = "M/d/yyyy", strict: bool = False) -> DataFrame:
     """``age`` in place of a date-of-birth text column."""
-    return _replace(df, column, "age", full_years(parse_date(F.col(column), pattern, strict), as_of))
+    return _from_day(df, column, pattern, strict, "age", lambda day: full_years(day, as_of))
 
 
 def with_customer_since(
@@ -71,8 +73,9 @@ def with_customer_since(
     strict: bool = False,
 ) -> DataFrame:
     """``customer_since_months`` in place of a joining-date text column."""
-    day = parse_date(F.col(column), pattern, strict)
-    return _replace(df, column, "customer_since_months", tenure_months(day, as_of, method))
+    return _from_day(
+        df, column, pattern, strict, "customer_since_months", lambda day: tenure_months(day, as_of, method)
+    )
 
 
 def with_months_ago(
@@ -80,31 +83,33 @@ def with_months_ago(
     strict: bool = False,
 ) -> DataFrame:
     """``months_ago_<column>`` in place of a date text column."""
-    day = parse_date(F.col(column), pattern, strict)
-    return _replace(df, column, f"months_ago_{column}", tenure_months(day, as_of, method))
+    return _from_day(
+        df, column, pattern, strict, f"months_ago_{column}", lambda day: tenure_months(day, as_of, method)
+    )
 
 
 def with_days_elapsed(
     df: DataFrame, column: str, as_of: date, pattern: str = "M/d/yyyy", strict: bool = False
 ) -> DataFrame:
     """``<column>_in_days`` in place of a date text column."""
-    return _replace(df, column, f"{column}_in_days", days_elapsed(parse_date(F.col(column), pattern, strict), as_of))
+    return _from_day(df, column, pattern, strict, f"{column}_in_days", lambda day: days_elapsed(day, as_of))
 
 
 def with_years_old(df: DataFrame, column: str, as_of: date) -> DataFrame:
     """``years_auto_old`` in place of a year column."""
-    return _replace(df, column, "years_auto_old", years_since(F.col(column), as_of))
+    return df.withColumn("years_auto_old", years_since(F.col(column), as_of)).drop(column)
 
 
 def with_vehicle_age(df: DataFrame, column: str, as_of: date) -> DataFrame:
     """``vehicle_age_yrs`` in place of a year column that may be text."""
-    return _replace(df, column, "vehicle_age_yrs", years_since(F.col(column).try_cast("int"), as_of))
+    return df.withColumn("vehicle_age_yrs", years_since(F.col(column).try_cast("int"), as_of)).drop(column)
 
 
 def with_bought_month(df: DataFrame, column: str, pattern: str = "M/d/yyyy", strict: bool = False) -> DataFrame:
     """``product_bought_in_month``, the month number as text, in place of a date text column."""
-    month = F.month(parse_date(F.col(column), pattern, strict)).cast("string")
-    return _replace(df, column, "product_bought_in_month", month)
+    return _from_day(
+        df, column, pattern, strict, "product_bought_in_month", lambda day: F.month(day).cast("string")
+    )
 
 
 def with_tenure_segment(df: DataFrame, months: str = "customer_since_months",

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerforge.functions.names import numeric_columns
-from offerforge.operators.numeric import correlations, fit_stats, range_number
+from offerforge.operators.numeric import correlations, fit_stats, with_range_number
 from offerforge.operators.tables import lookup_join
-from offerforge.session import shared_folder
+from offerforge.session import shared_folder, written
 
 # Neighbours and correlated columns for numbers; neighbours, features and trees for categories.
 NUMERIC_NEIGHBOURS = 2
@@ -33,6 +33,7 @@ IMPORTANCE_TREES = 5
 
 START_CELLS = 256
 DONORS_PER_CELL = 2000
+MAX_BITS = 10
 
 
 def _bins(d: int) -> list[str]:
@@ -90,23 +91,24 @@ def nearest_donors(
     points = [f"_f{i}" for i in range(d)]
     # of donors at one point only the first k by key can count, and the ranking drops the others before the shuffle
     same = Window.partitionBy(*points).orderBy("_key")
-    donors = donors.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank")
+    donors = written(donors.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank"))
 
-    total = donors.count()
-    bits = max(math.ceil(math.log2(max(total / donors_per_cell, 2)) / d), 1)
-    bits = min(bits, 12)
-    marks = [i / 2**bits for i in range(1, 2**bits)]
-    cuts = donors.agg(*[F.percentile_approx(p, marks, 10_000).alias(p) for p in points]).first()
-    numbered = {b: range_number(F.col(p), sorted(set(cuts[p] or []))) for b, p in zip(_bins(d), points)}
-    donors = donors.withColumns(numbered)
+    marks = [i / 2**MAX_BITS for i in range(1, 2**MAX_BITS)]
+    fit = donors.agg(
+        F.count(F.lit(1)).alias("n"), *[F.percentile_approx(p, marks, 10_000).alias(p) for p in points]
+    ).first()
+    if fit.n == 0:
+        return _no_neighbours(queries, donors)
+    bits = min(max(math.ceil(math.log2(max(fit.n / donors_per_cell, 2)) / d), 1), MAX_BITS)
+    step = 2 ** (MAX_BITS - bits)
+    for b, p in zip(_bins(d), points):
+        donors = with_range_number(donors, p, b, sorted(set(fit[p][step - 1 :: step])))
 
     finest = _cells(donors, d)
     level = min(bits, max(int(math.log2(START_CELLS) / d), 1))
     top = (_coarser(finest, d, bits - level) if level < bits else finest).collect()  # at most START_CELLS or 2**d rows
-    if not top:
-        return _no_neighbours(queries, donors)
     names = [*_bins(d), "_n", *[f"_{n}{i}" for i in range(d) for n in ("lo", "hi")]]
-    table = F.array(*[F.struct(*[F.lit(row[n]).alias(n) for n in names]) for row in top])
+    table = F.expr(f"array({', '.join(_struct_text(row, names) for row in top)})")
     frontier = _pruned(
         queries.withColumns({"_limit": F.lit(float("inf")), "_c": F.explode(table)}).select(
             "_q", "_limit", *points, "_c.*"
@@ -126,6 +128,11 @@ def nearest_donors(
     return _first(met, k)
 
 
+def _struct_text(row, names: Sequence[str]) -> str:
+    fields = (f"'{n}', {row[n]!r}D" if isinstance(row[n], float) else f"'{n}', {row[n]}" for n in names)
+    return f"named_struct({', '.join(fields)})"
+
+
 def _first(candidates: DataFrame, k: int) -> DataFrame:
     window = Window.partitionBy("_q").orderBy("_d", "_key")
     return candidates.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= k).drop("_rank")
@@ -172,6 +179,7 @@ def _neighbours(
 
 def _filled(df: DataFrame, column: str, features: Sequence[str], values: DataFrame, default: Column) -> DataFrame:
     """Missing values from ``values(_q, _new)``; rows that have a value take no part in the join."""
+    values = written(values)
     complete = df.filter(F.col(column).isNotNull())
     missing = df.filter(F.col(column).isNull()).withColumn("_q", F.struct(*features))
     joined = lookup_join(missing, values, ["_q"])
@@ -239,7 +247,7 @@ def impute_missing(
     """Fills every column with missing values, numbers first, each from the table as completed so far.
 
     A number is filled from its most correlated columns, by sign, a category from the numeric columns without missing
-    values whose importance varies most. A checkpoint after each column keeps the plan short.
+    values whose importance varies most. The table is written after each column, which keeps the plan short.
     """
     shared_folder(df.sparkSession)
     columns = [c for c in df.columns if c != key] if columns is None else list(columns)
@@ -253,9 +261,9 @@ def impute_missing(
         others = [c for c in numeric if pairs.get((column, c)) is not None]
         features = sorted(others, key=lambda c: -pairs[column, c])[: CORRELATED_COLUMNS - 1]
         if features:
-            df = impute_numeric(df, column, features, key, donors_per_cell=donors_per_cell).checkpoint()
+            df = written(impute_numeric(df, column, features, key, donors_per_cell=donors_per_cell))
     complete = [c for c in numeric if not holes[c]]
     for column in [c for c in columns if c not in numeric and holes[c]]:
         features = [f for f, _ in importance_spread(df, column, complete)[:CATEGORY_FEATURES]]
-        df = impute_category(df, column, features, key, donors_per_cell=donors_per_cell).checkpoint()
+        df = written(impute_category(df, column, features, key, donors_per_cell=donors_per_cell))
     return df

@@ -11,11 +11,11 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
-PAIRS_PER_AGGREGATE = 300
 
 
 def exact_quantiles(
@@ -40,7 +40,7 @@ def exact_quantiles(
         if ranges > 1:
             marks = [i / ranges for i in range(1, ranges)]
             cuts = sorted(set(counts.agg(F.percentile_approx("v", marks, 10_000).alias("c")).first().c))
-        bucketed = counts.withColumn("b", range_number(F.col("v"), cuts))
+        bucketed = with_range_number(counts, "v", "b", cuts)
         totals = {0: total}
         if cuts:
             totals = {r.b: r.n for r in bucketed.groupBy("b").agg(F.sum("n").alias("n")).collect()}
@@ -70,16 +70,14 @@ def exact_quantiles(
     return out
 
 
-def range_number(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cuts at or below the value, found by halving: a CASE tree about log2 deep."""
-
-    def branch(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(cuts[middle]), branch(low, middle)).otherwise(branch(middle + 1, high))
-
-    return branch(0, len(cuts))
+def with_range_number(df: DataFrame, column: str, name: str, cuts: Sequence[float]) -> DataFrame:
+    """Adds the number of cuts at or below the value; the value must not be missing."""
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    splits = [-math.inf, *cuts, math.inf]
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df).withColumn(
+        name, F.col(name).cast("int")
+    )
 
 
 def quantiles_approx(df: DataFrame, column: str, probabilities: Sequence[float] = QUARTILES,
@@ -206,31 +204,14 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     return edges.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint")).orderBy("bin")
 
 
-def _pair_correlation(a: str, b: str) -> Column:
-    """Pearson correlation over the rows having both values; NULL when one of them is constant there."""
-    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(first, second, corr) for every pair of columns, the first standing before the second in ``columns``.
+    """(first, second, corr): Pearson correlation for every pair of columns, over the rows having both values.
 
-    Few pairs are one aggregate in generated code. Beyond that, each task adds up the cross products of its Arrow
-    batches as small matrices, and the sums are combined by pair.
+    The first column stands before the second in ``columns``; the correlation is NULL when one of them is constant in
+    those rows. Each task adds up the cross products of its Arrow batches as small matrices and hands on one row per
+    pair, and these sums are combined by pair. The number of aggregates does not grow the generated code, as it would
+    with one covariance expression per pair, which is many times slower beyond a few columns.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    if len(pairs) > PAIRS_PER_AGGREGATE:
-        return _wide_correlations(df, columns)
-    entries = [
-        F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(f"r{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    one = df.agg(*[_pair_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return one.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
-
-
-def _wide_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     centre = np.array([s.mean or 0.0 for s in fit_stats(df, columns).values()])
     upper = np.triu_indices(len(columns), 1)

@@ -86,43 +86,6 @@ def top_rows(df: DataFrame, order_by: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def weighted_modes(
-    df: DataFrame, key: str, columns: Sequence[str], weight: Column, rows_counted: bool = False
-) -> DataFrame:
-    """Most frequent value of each column per key, the smallest on ties, missing values not counted.
-
-    Values are counted by (key, column, value), combined before each shuffle: the state of an aggregate is one
-    number, also for a key with very many rows or values. ``df`` should be pre-aggregated with ``weight`` its
-    row count.
-    """
-    numeric = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
-    entries = [
-        F.struct(
-            F.lit(i).alias("at"),
-            (F.col(c).cast("double") if numeric[c] else F.lit(None).cast("double")).alias("number"),
-            (F.lit(None).cast("string") if numeric[c] else F.col(c).cast("string")).alias("text"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    value = F.struct("_e.number", "_e.text")
-    counted = (
-        df.select(key, weight.alias("_w"), F.explode(F.array(*entries)).alias("_e"))
-        .filter("_e.number is not null or _e.text is not null")
-        .groupBy(key, F.col("_e.at").alias("at"), value.alias("value"))
-        .agg(F.sum("_w").alias("w"))
-    )
-    order = F.struct((-F.col("w")).alias("w"), F.col("value"))
-    picks = [F.min(F.when(F.col("at") == i, order)).alias(f"_m{i}") for i in range(len(columns))]
-    schema = df.schema
-    return counted.groupBy(key).agg(*picks).select(
-        key,
-        *[
-            F.col(f"_m{i}.value.{'number' if numeric[c] else 'text'}").cast(schema[c].dataType).alias(c)
-            for i, c in enumerate(columns)
-        ],
-    )
-
-
 def consolidate_transactions(
     transactions: DataFrame,
     key: str,
@@ -133,24 +96,54 @@ def consolidate_transactions(
 ) -> DataFrame:
     """One row per customer: modes of the attributes, then sum and count of the amount per category group and in all.
 
-    ``groups`` maps a result prefix to the categories it adds up. A first aggregate reduces the transactions to one
-    row per customer, attribute values and category; everything after works on that much smaller table.
+    A mode is the most frequent value, the smallest on ties, missing values not counted. ``groups`` maps a result
+    prefix to the categories it adds up.
+
+    The transactions are read once and go through three aggregates, each combined before its shuffle: to one row per
+    customer, attribute values and category; to one row per customer, column and value; to one row per customer. No
+    aggregate holds more than a number per row, so a customer with very many transactions or values is no burden.
     """
     reduced = transactions.groupBy(key, *attributes, category).agg(
         F.count(F.lit(1)).alias("_rows"), F.count(amount).alias("_trans"), F.sum(amount).alias("_amt")
     )
+    types = {f.name: f.dataType for f in transactions.schema}
+    columns = [*attributes, category]
+    entries = []
+    for i, c in enumerate(columns):
+        number, text, last = isinstance(types[c], T.NumericType), F.lit(None).cast("string"), c == category
+        entries.append(
+            F.struct(
+                F.lit(i).alias("at"),
+                (F.col(c) if number else F.lit(None)).cast("double").alias("number"),
+                (text if number else F.col(c).cast("string")).alias("text"),
+                (F.col("_trans") if last else F.lit(None)).cast("bigint").alias("trans"),
+                (F.col("_amt") if last else F.lit(None)).cast("double").alias("amt"),
+            )
+        )
+    at = F.col("at")
+    values = (
+        reduced.select(key, "_rows", F.explode(F.array(*entries)).alias("_e")).select(key, "_rows", "_e.*")
+        .groupBy(key, "at", "number", "text")
+        .agg(F.sum("_rows").alias("n"), F.sum("trans").alias("trans"), F.sum("amt").alias("amt"))
+    )
+    known = F.col("number").isNotNull() | F.col("text").isNotNull()
+    order = F.struct((-F.col("n")).alias("n"), "number", "text")
+    picks = [F.min(F.when((at == i) & known, order)).alias(f"_m{i}") for i in range(len(attributes))]
     measures = []
     for prefix, categories in groups.items():
-        inside = F.col(category).isin(list(categories))
+        inside = (at == len(attributes)) & F.coalesce("text", F.col("number").cast("string")).isin(list(categories))
         measures += [
-            F.coalesce(F.sum(F.when(inside, F.col("_amt"))), F.lit(0.0)).alias(f"{prefix}_amt"),
-            F.coalesce(F.sum(F.when(inside, F.col("_trans"))), F.lit(0)).alias(f"{prefix}_trans"),
+            F.coalesce(F.sum(F.when(inside, F.col("amt"))), F.lit(0.0)).alias(f"{prefix}_amt"),
+            F.coalesce(F.sum(F.when(inside, F.col("trans"))), F.lit(0)).alias(f"{prefix}_trans"),
         ]
     measures += [
-        F.coalesce(F.sum("_amt"), F.lit(0.0)).alias("total_amt"),
-        F.coalesce(F.sum("_trans"), F.lit(0)).alias("total_trans"),
+        F.coalesce(F.sum("amt"), F.lit(0.0)).alias("total_amt"),
+        F.coalesce(F.sum("trans"), F.lit(0)).alias("total_trans"),
+    ]
+    modes = [
+        F.col(f"_m{i}.{'number' if isinstance(types[c], T.NumericType) else 'text'}").cast(types[c]).alias(c)
+        for i, c in enumerate(attributes)
     ]
-    modes = weighted_modes(reduced, key, attributes, F.col("_rows"))
-    return reduced.groupBy(key).agg(*measures).join(modes, key, "left").select(
-        key, *attributes, *[f"{p}_{m}" for p in [*groups, "total"] for m in ("amt", "trans")]
+    return values.groupBy(key).agg(*picks, *measures).select(
+        key, *modes, *[f"{p}_{m}" for p in [*groups, "total"] for m in ("amt", "trans")]
     )

@@ -30,6 +30,7 @@ from offerforge.operators.recommend import (
     attach_offers, combine_offers, ladder_offers, threshold_offer, top_index, top_offers, with_top_categories,
 )
 from offerforge.operators.tables import consolidate_transactions, inner_fanout, keep_last, outer_master
+from offerforge.session import written
 from offerforge.sources.tables import ingest, replace_null_tokens
 
 KEY = "customer_id"
@@ -138,8 +139,10 @@ def enrich_motor(df: DataFrame, as_of: date) -> DataFrame:
 def encode(enriched: DataFrame, spec: PreprocessSpec, raw: DataFrame | None = None) -> Preprocessed:
     """Encoders by number of categories, log scaling and reports for an enriched table.
 
-    The target takes no part: it is carried along with its row. Each fit reads only the columns it needs.
+    The target takes no part: it is carried along with its row. The enriched table is written once, as it is a result
+    of its own, and each fit reads only the columns it needs from there.
     """
+    enriched = written(enriched)
     features = enriched.drop(spec.target) if spec.target else enriched
     encoders = fit_encoders(
         features, spec.code_at, spec.spread_at, [c for c in string_columns(features) if c != KEY]
@@ -170,7 +173,7 @@ def preprocess(
     """One customer table to features. With ``order_by`` only the last row per customer counts."""
     df = clean(df, spec.dropped)
     if order_by:
-        df = keep_last(df, KEY, [order_by]).drop(order_by)
+        df = written(keep_last(df, KEY, [order_by]).drop(order_by))
     return encode(enrich_customer(df, spec, as_of, cities, gazetteer), spec, raw=df)
 
 
@@ -182,11 +185,15 @@ def consolidate_card(transactions: DataFrame) -> DataFrame:
     )
 
 
+def enrich_card_up_sell(consolidated: DataFrame, as_of: date, cities: DataFrame) -> DataFrame:
+    """Consolidated card customers with age, tenure and city tier."""
+    return enrich_customer(consolidated, PREPROCESS["card_up_sell"], as_of, cities, None)
+
+
 def preprocess_card_up_sell(transactions: DataFrame, as_of: date, cities: DataFrame) -> Preprocessed:
     """Consolidation, then the customer preprocessing on its result."""
-    spec = PREPROCESS["card_up_sell"]
-    consolidated = consolidate_card(transactions)
-    return encode(enrich_customer(consolidated, spec, as_of, cities, None), spec, raw=consolidated)
+    consolidated = written(consolidate_card(transactions))
+    return encode(enrich_card_up_sell(consolidated, as_of, cities), PREPROCESS["card_up_sell"], raw=consolidated)
 
 
 @dataclass(frozen=True)
@@ -281,12 +288,11 @@ def recommend_binary(
     return Recommended(attach_offers(snapshot.drop(target), offers, KEY), model, None)
 
 
-def recommend_card_up_sell(consolidated: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
-    """Card offers from the top spending and the top transaction category, no model needed."""
-    df = with_top_categories(consolidated)
+def recommend_card_up_sell(customers: DataFrame) -> DataFrame:
+    """Adds ``top_reco`` to consolidated card customers, enriched or not, from their two top categories; no model needed."""
+    df = with_top_categories(customers)
     offers = ladder_offers(F.col("card_type"), F.col("max_spent_category"), F.col("max_trans_category"))
-    scored = df.withColumn("top_reco", offers)
-    return scored if snapshot is None else attach_offers(snapshot, scored.select(KEY, "top_reco"), KEY)
+    return df.withColumn("top_reco", offers)
 
 
 def recommend_insurance(tables: InsuranceTables, backend: str = "forest", trees: int = 20) -> tuple[DataFrame, dict]:

@@ -17,7 +17,7 @@ from offerforge.plans.queries_features import (
 from offerforge.plans.queries_offers import CARD_OFFERS, LINES, _final_sql, insurance_candidates
 from offerforge.plans.queries_relational import consolidation_steps, rounded_amounts
 from offerforge.plans.registry import query, table
-from offerforge.session import shared_folder
+from offerforge.session import shared_folder, written
 from offerforge.sources.rules import catalogue_rules
 from offerforge.sources.tables import read_csv_table, write_csv_table
 
@@ -483,9 +483,8 @@ def job_card_cross_sell_offers(spark, sf_dir):
     ),
 )
 def job_card_up_sell_offers(spark, sf_dir):
-    transactions = fx.card_transactions(spark, sf_dir)
-    done = jobs.preprocess_card_up_sell(transactions, AS_OF, fx.cities(spark, sf_dir))
-    offers = jobs.recommend_card_up_sell(jobs.consolidate_card(transactions), done.snapshot)
+    consolidated = written(jobs.consolidate_card(fx.card_transactions(spark, sf_dir)))
+    offers = jobs.recommend_card_up_sell(jobs.enrich_card_up_sell(consolidated, AS_OF, fx.cities(spark, sf_dir)))
     return recommend.explode_offers(offers, "top_reco", "customer_id", "age", "city_grp")
 
 

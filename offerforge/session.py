@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as columns to the shared folder and read back: several passes over it cost one evaluation.
+
+    It also cuts the lineage, and the copy outlives lost executors.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than one row past the bound."""
     return df.limit(max_rows + 1).count() <= max_rows
