@@ -38,6 +38,7 @@ def slash_date(day: Column, years_back: Column | int = 0) -> Column:
 def card_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.col("user_id")
     expense = F.create_map(*[F.lit(x) for item in EXPENSES.items() for x in item])
+    noted = F.regexp_extract("props", "[0-9]+", 0).cast("bigint") % 25
     return table(spark, sf_dir, "events").select(
         user.alias("customer_id"),
         pick(user, ("F", "M")).alias("gender"),
@@ -46,9 +47,7 @@ def card_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", 1 + user % 12, 1 + user % 28, 1950 + user % 50).alias("dob"),
         (20000 + user % 50 * 1000 + F.col("event_id") % 3 * 500).cast("double").alias("income"),
         F.concat_ws("/", 1 + user % 12, 1 + F.col("event_id") % 3, 1995 + user % 7).alias("customer_to_bank"),
-        F.concat(
-            F.lit("NATION_"), (F.regexp_extract("props", "[0-9]+", 0).cast("bigint") % 25).cast("string")
-        ).alias("city"),
+        F.concat(F.lit("NATION_"), F.when(F.col("event_id") % 3 == 0, noted).otherwise(user % 25).cast("string")).alias("city"),
         pick(F.col("event_id"), ("Single", "Married")).alias("marital_status"),
         expense[F.col("event_type")].alias("exp_type"),
         F.col("value").alias("amount"),
@@ -219,7 +218,8 @@ CTES = {
           (1 + user_id % 12) || '/' || (1 + user_id % 28) || '/' || (1950 + user_id % 50) AS dob,
           CAST(20000 + user_id % 50 * 1000 + event_id % 3 * 500 AS DOUBLE) AS income,
           (1 + user_id % 12) || '/' || (1 + event_id % 3) || '/' || (1995 + user_id % 7) AS customer_to_bank,
-          'NATION_' || (CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 25) AS city,
+          'NATION_' || CASE WHEN event_id % 3 = 0 THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 25
+            ELSE user_id % 25 END AS city,
           {_pick_sql('event_id', ('Single', 'Married'))} AS marital_status,
           {_EXPENSE_SQL} AS exp_type, "value" AS amount
         FROM events""",

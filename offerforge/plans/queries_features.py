@@ -454,11 +454,11 @@ def price_quartiles(spark, sf_dir):
     return spark.createDataFrame(rows_, "probability double, edge double")
 
 
-TIER_SQL = (
-    "CASE WHEN population > e.e0 AND population <= e.e1 THEN 't0' WHEN population > e.e1 AND population <= e.e2 THEN 't1' "
-    "WHEN population > e.e2 AND population <= e.e3 THEN 't2' WHEN population > e.e3 AND population <= e.e4 THEN 't3' "
-    "ELSE 'unknown' END"
+# Edges may coincide: a tier is numbered by the distinct edges below the value.
+_BELOW = " + ".join(
+    f"CASE WHEN e.e{i} < population" + (f" AND e.e{i} <> e.e{i - 1}" if i else "") + " THEN 1 ELSE 0 END" for i in range(5)
 )
+TIER_SQL = f"CASE WHEN population > e.e0 AND population <= e.e4 THEN 't' || (({_BELOW}) - 1) ELSE 'unknown' END"
 EDGES_ROW_SQL = "SELECT " + ", ".join(
     f"quantile_cont(CAST(population AS DOUBLE), {q}) AS e{i}" for i, q in enumerate((0, 0.25, 0.5, 0.75, 1))
 ) + " FROM populated"
