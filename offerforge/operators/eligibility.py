@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerforge.session import broadcast_if_small
+from offerforge.operators.tables import lookup_join
 
 NO_OFFER = "no recommendation"
 RANGE_KINDS = ("int", "non-list")
@@ -19,8 +19,8 @@ MAX_COMPILED_RULES = 500
 
 
 def _number(value: Column) -> Column:
-    number = value.try_cast("double") if not isinstance(value, str) else value
-    return F.nanvl(number, F.lit(None).cast("double"))
+    """The value as a number; NaN and text that is no number are missing."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def in_range(value: Column, low: float | None, high: float | None) -> Column:
@@ -89,28 +89,36 @@ def with_final_offer(
 def _joined_final_offer(
     df: DataFrame, candidates: str, rules: DataFrame, name: str, key: str, case_sensitive: bool
 ) -> DataFrame:
-    """The same through a join: one row per candidate and rule, reduced to the first eligible candidate per key."""
+    """The same through a join: one row per candidate, its product's rules as a list, then the first one that passes.
+
+    A product has a handful of rules, one or two per attribute. Products that very many customers have as a candidate
+    are joined apart by ``lookup_join``.
+    """
     attributes = [
         f.name for f in df.schema
         if isinstance(f.dataType, (T.NumericType, T.StringType)) and f.name != candidates
     ]
     text = F.create_map(*[x for a in attributes for x in (F.lit(a), F.col(a).cast("string"))])
+    fields = ("attribute", "kind", "min", "max", "values")
+    listed = rules.groupBy("product").agg(F.collect_list(F.struct(*fields)).alias("_rules"))
     exploded = df.select(key, text.alias("_text"), F.posexplode(candidates).alias("_pos", "product"))
-    joined = exploded.join(broadcast_if_small(rules), "product", "left")
-    value = F.col("_text")[F.col("attribute")]
-    number = _number(value)
-    low_ok = F.col("min").isNull() | F.coalesce(number > F.col("min"), F.lit(False))
-    high_ok = F.col("max").isNull() | F.coalesce(number < F.col("max"), F.lit(False))
-    shown, listed = (value, F.col("values")) if case_sensitive else (
-        F.lower(value), F.transform("values", lambda v: F.lower(v)))
-    met = (
-        F.when(F.col("kind").isNull() & F.col("rule_no").isNull(), True)
-        .when(F.col("kind").isin(*RANGE_KINDS), low_ok & high_ok)
-        .when(F.col("kind") == MEMBER_KIND, F.coalesce(F.array_contains(listed, shown), F.lit(False)))
-        .otherwise(False)
-    )
-    eligible = joined.groupBy(key, "_pos", "product").agg(F.bool_and(met).alias("_ok")).filter("_ok")
-    first = eligible.groupBy(key).agg(F.min(F.struct("_pos", "product")).alias("_first"))
+
+    def met(rule: Column) -> Column:
+        value = F.col("_text")[rule["attribute"]]
+        number = _number(value)
+        low_ok = rule["min"].isNull() | F.coalesce(number > rule["min"], F.lit(False))
+        high_ok = rule["max"].isNull() | F.coalesce(number < rule["max"], F.lit(False))
+        shown = value if case_sensitive else F.lower(value)
+        members = rule["values"] if case_sensitive else F.transform(rule["values"], F.lower)
+        return (
+            F.when(rule["kind"].isin(*RANGE_KINDS), low_ok & high_ok)
+            .when(rule["kind"] == MEMBER_KIND, F.coalesce(F.array_contains(members, shown), F.lit(False)))
+            .otherwise(False)
+        )
+
+    joined = lookup_join(exploded, listed, ["product"])
+    passed = joined.filter(F.col("_rules").isNull() | F.forall("_rules", met))
+    first = passed.groupBy(key).agg(F.min(F.struct("_pos", "product")).alias("_first"))
     return df.join(first, key, "left").withColumn(
         name, F.coalesce("_first.product", F.lit(NO_OFFER))
     ).drop("_first")
@@ -126,13 +134,12 @@ def with_final_offers(
     return df
 
 
-def occupation_eligible(df: DataFrame, occupation: str, rules: DataFrame, name: str = "eligible") -> DataFrame:
+def occupation_eligible(
+    df: DataFrame, occupation: str, rules: DataFrame, name: str = "eligible", key: str = "customer_id"
+) -> DataFrame:
     """1 when the customer meets all rules of the own occupation, those of ``others`` where it has none of its own."""
-    products = {}
-    for rule in rules.collect():
-        products.setdefault(rule["product"], []).append(rule)
-    own = F.lower(F.col(occupation))
-    out = rules_met(products.pop("others")) if "others" in products else F.lit(True)
-    for product, rs in products.items():
-        out = F.when(own == product, rules_met(rs)).otherwise(out)
-    return df.withColumn(name, out.cast("int"))
+    listed = rules.select(F.lower("product").alias("_own")).distinct().withColumn("_listed", F.lit(True))
+    known = lookup_join(df.withColumn("_own", F.lower(F.col(occupation))), listed, ["_own"])
+    known = known.withColumn("_names", F.array(F.when(F.col("_listed"), F.col("_own")).otherwise("others")))
+    final = with_final_offer(known, "_names", rules, "_final", key)
+    return final.withColumn(name, (F.col("_final") != NO_OFFER).cast("int")).select(*df.columns, name)

@@ -34,12 +34,31 @@ IMPORTANCE_TREES = 5
 START_CELLS = 256
 DONORS_PER_CELL = 2000
 MAX_BITS = 10
+CHILD_BITS = 4
 
 
 def _bins(d: int) -> list[str]:
     return [f"_b{i}" for i in range(d)]
 
 
+def _numbered(donors: DataFrame, point: str, name: str, marks: Sequence[float], bits: int) -> DataFrame:
+    """Cell number of ``bits`` bits along one coordinate: by quantiles, then in equal parts between two quantiles.
+
+    The numbers only have to rise with the coordinate, as cells carry the bounds of the donors they hold.
+    """
+    fine = max(bits - MAX_BITS, 0)
+    every = 2 ** max(MAX_BITS - bits, 0)
+    cuts = sorted(set(marks[every - 1 :: every]))
+    donors = with_range_number(donors, point, name, cuts)
+    if not fine or len(cuts) < 2:
+        return donors.withColumn(name, F.shiftleft(F.col(name).cast("bigint"), fine))
+    edges = F.lit(cuts)
+    low, high = F.get(edges, F.col(name) - 1), F.get(edges, F.col(name))
+    part = F.floor(F.try_divide(F.col(point) - low, high - low) * 2**fine)
+    part = F.greatest(F.least(F.coalesce(part, F.lit(0)), F.lit(2**fine - 1)), F.lit(0)).cast("bigint")
+    return donors.withColumn(name, F.shiftleft(F.col(name).cast("bigint"), fine) + part)
+
+
 def _cells(donors: DataFrame, d: int) -> DataFrame:
     """Count and bounds of every non-empty cell of the finest level."""
     bounds = [f(f"_f{i}").alias(f"_{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
@@ -93,19 +112,21 @@ def nearest_donors(
     same = Window.partitionBy(*points).orderBy("_key")
     donors = written(donors.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank"))
 
+    # one sketch per coordinate; the number of cells follows from the count of the same pass
     marks = [i / 2**MAX_BITS for i in range(1, 2**MAX_BITS)]
     fit = donors.agg(
         F.count(F.lit(1)).alias("n"), *[F.percentile_approx(p, marks, 10_000).alias(p) for p in points]
     ).first()
     if fit.n == 0:
         return _no_neighbours(queries, donors)
-    bits = min(max(math.ceil(math.log2(max(fit.n / donors_per_cell, 2)) / d), 1), MAX_BITS)
-    step = 2 ** (MAX_BITS - bits)
+    bits = max(math.ceil(math.log2(max(fit.n / donors_per_cell, 2)) / d), 1)
     for b, p in zip(_bins(d), points):
-        donors = with_range_number(donors, p, b, sorted(set(fit[p][step - 1 :: step])))
+        donors = _numbered(donors, p, b, fit[p], bits)
 
     finest = _cells(donors, d)
     level = min(bits, max(int(math.log2(START_CELLS) / d), 1))
+    if level < bits:
+        finest = written(finest)
     top = (_coarser(finest, d, bits - level) if level < bits else finest).collect()  # at most START_CELLS or 2**d rows
     names = [*_bins(d), "_n", *[f"_{n}{i}" for i in range(d) for n in ("lo", "hi")]]
     table = F.expr(f"array({', '.join(_struct_text(row, names) for row in top)})")
@@ -116,9 +137,10 @@ def nearest_donors(
         d, k,
     )
     while level < bits:
-        level += 1
+        step = min(max(CHILD_BITS // d, 1), bits - level)
+        level += step
         cells = _coarser(finest, d, bits - level) if level < bits else finest
-        children = cells.withColumns({f"_p{i}": F.shiftright(b, 1) for i, b in enumerate(_bins(d))})
+        children = cells.withColumns({f"_p{i}": F.shiftright(b, step) for i, b in enumerate(_bins(d))})
         parents = frontier.withColumnsRenamed({b: f"_p{i}" for i, b in enumerate(_bins(d))})
         frontier = _pruned(parents.join(children, [f"_p{i}" for i in range(d)]), d, k)
 

@@ -67,8 +67,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "customer")
         .join(orders, F.col("c_custkey") == F.col("k"), "left")
-        .join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             F.concat(F.lit("C"), key.cast("string")).alias("customer_id"),
             pick(key, ("F", "M")).alias("gender"),
@@ -100,7 +100,7 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     return (
         table(spark, sf_dir, "nation").filter(~F.col("n_name").isin(*UNMAPPED))
-        .join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_name").alias("place"), F.col("r_name").alias("city"),
             (12.9698 + (key - 12) * 0.05).alias("latitude"), (77.75 + (key * 7 % 25 - 12) * 0.05).alias("longitude"),

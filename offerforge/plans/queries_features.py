@@ -9,7 +9,7 @@ from offerforge.operators import lookups, numeric, profile
 from offerforge.plans import fixtures as fx
 from offerforge.plans.fixtures import AS_OF, age_sql, tenure_sql, with_sql
 from offerforge.plans.registry import query, table
-from offerforge.session import shared_folder
+from offerforge.session import scratch_path
 from offerforge.sources import tables as src
 
 # --- sources and columns -------------------------------------------------------------------------------------------
@@ -21,14 +21,14 @@ from offerforge.sources import tables as src
 )
 def csv_round_trip(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    path = f"{shared_folder(spark)}/csv_round_trip"
+    path = scratch_path(spark, "csv_round_trip")
     src.write_csv_table(customer, path)
     return src.read_csv_table(spark, path, customer.schema)
 
 
 @query("csv_inferred_types", "SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
 def csv_inferred_types(spark, sf_dir):
-    path = f"{shared_folder(spark)}/csv_inferred_types"
+    path = scratch_path(spark, "csv_inferred_types")
     src.write_csv_table(table(spark, sf_dir, "part").drop("p_type"), path)
     return src.read_csv_table(spark, path)
 

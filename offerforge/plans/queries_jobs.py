@@ -17,7 +17,7 @@ from offerforge.plans.queries_features import (
 from offerforge.plans.queries_offers import CARD_OFFERS, LINES, _final_sql, insurance_candidates
 from offerforge.plans.queries_relational import consolidation_steps, rounded_amounts
 from offerforge.plans.registry import query, table
-from offerforge.session import shared_folder, written
+from offerforge.session import scratch_path, written
 from offerforge.sources.rules import catalogue_rules
 from offerforge.sources.tables import read_csv_table, write_csv_table
 
@@ -255,11 +255,46 @@ def job_card_cross_sell_features(spark, sf_dir):
 def job_card_cross_sell_snapshot(spark, sf_dir):
     """The enriched table written as CSV and read back."""
     snapshot = preprocessed_card_cross_sell(spark, sf_dir).snapshot
-    path = f"{shared_folder(spark)}/consolidated_for_comparison"
+    path = scratch_path(spark, "consolidated_for_comparison")
     write_csv_table(snapshot, path)
     return read_csv_table(spark, path, snapshot.schema)
 
 
+_Z = "CASE WHEN abs(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER ()) > 2 THEN NULL ELSE {c} END AS {c}"
+
+
+@query(
+    "job_card_cross_sell_outliers",
+    with_sql(
+        "customers cities",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS outlier FROM (SELECT {_Z.format(c=c)} FROM enriched)"
+            for c in ("age", "income")
+        ),
+        derived=_CARD_DERIVED, **_TIERED,
+    ),
+)
+def job_card_cross_sell_outliers(spark, sf_dir):
+    return preprocessed_card_cross_sell(spark, sf_dir).reports["outliers"]()
+
+
+_LABELS = ("occupation", "marital_status", "city_grp", "customer_rel_dur_segment")
+
+
+@query(
+    "job_funds_cardinality",
+    with_sql(
+        "customers cities",
+        "SELECT n AS num_unique_values, string_agg(\"column\", ',' ORDER BY \"column\") AS columns FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n FROM enriched" for c in ("customer_id", *_LABELS))
+        + ") GROUP BY n",
+        derived=_DERIVED, **_TIERED,
+    ),
+)
+def job_funds_cardinality(spark, sf_dir):
+    return preprocessed_account(spark, sf_dir, "funds").reports["cardinality"]()
+
+
 _UP_TOTALS = ", ".join(f"{p}_amt, {p}_trans" for p in (*jobs.CARD_GROUPS, "total"))
 _UP_STEPS = {
     **consolidation_steps(),
@@ -383,6 +418,11 @@ for _line in _LINE_SQL:
     _register_line(_line)
 
 
+@query("job_insurance_up_sell_customer", with_sql("customers cities", "SELECT * FROM base", **_INSURED))
+def job_insurance_up_sell_customer(spark, sf_dir):
+    return insurance_tables(spark, sf_dir, "medical").customer.features
+
+
 @query(
     "job_insurance_up_sell_master",
     with_sql(
@@ -540,7 +580,7 @@ def job_insurance_rule_validation(spark, sf_dir):
         reco: F.map_from_entries(F.transform(c, lambda v, i: F.struct(v.alias("k"), (1.0 / (i + 1)).alias("v"))))
         for c, reco in names.items()
     }
-    path = f"{shared_folder(spark)}/combined_recommendations"
+    path = scratch_path(spark, "combined_recommendations")
     written = customers.withColumns(as_map).drop(*names)
     write_csv_table(written, path)
     flat = written.withColumns({r: F.lit("") for r in names.values()}).schema

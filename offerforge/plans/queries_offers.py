@@ -314,7 +314,7 @@ def professionals(spark, sf_dir):
 )
 def occupation_rules(spark, sf_dir):
     rules = catalogue_rules(spark, "occupation")
-    return eligibility.occupation_eligible(professionals(spark, sf_dir), "occupation", rules).select(
+    return eligibility.occupation_eligible(professionals(spark, sf_dir), "occupation", rules, key="c_custkey").select(
         "c_custkey", "occupation", "eligible"
     )
 

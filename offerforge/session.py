@@ -1,4 +1,4 @@
-"""Session helpers: the shared working folder, size-checked broadcasts and the local session of tests and bench."""
+"""Session helpers: the shared working folder, the size check before a broadcast, the local session of tests and bench."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 """Largest row count a side may have to be broadcast; the tables concerned have a handful of narrow columns."""
@@ -31,13 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call gets."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as columns to the shared folder and read back: several passes over it cost one evaluation.
 
     It also cuts the lineage, and the copy outlives lost executors.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "written")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -47,11 +51,6 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when its counted size allows it, otherwise unchanged (a shuffle join follows)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def local_session(cores: int | str = "*", app: str = "offerforge", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; on a cluster the launcher configures the session instead."""
     spark = (

@@ -125,8 +125,10 @@ def _brute_neighbours(frame, target, features, k, coordinates):
     return out
 
 
-@pytest.mark.parametrize("per_cell", [2000, 5])
-def test_numeric_imputation_is_exact(spark, per_cell):
+@pytest.mark.parametrize("per_cell,start,quantile_bits", [(2000, 256, 10), (5, 256, 10), (1, 4, 2)])
+def test_numeric_imputation_is_exact(spark, monkeypatch, per_cell, start, quantile_bits):
+    monkeypatch.setattr(impute, "START_CELLS", start)
+    monkeypatch.setattr(impute, "MAX_BITS", quantile_bits)
     rng = np.random.default_rng(3)
     n = 400
     frame = pd.DataFrame({"id": range(n), "x": rng.normal(size=n).round(2), "y": rng.exponential(size=n), "v": rng.normal(size=n)})
