@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from offerforge.functions.names import string_columns
 from offerforge.operators.profile import column_values
 from offerforge.operators.tables import lookup_join
-from offerforge.session import BROADCAST_ROWS, is_small
+from offerforge.session import BROADCAST_ROWS, is_small, written
 
 MAX_CATEGORIES = 1000
 RARE_PERCENT = 0.1
@@ -99,7 +99,7 @@ def code_table(df: DataFrame, column: str, order_by: str | None = None, ranges:
 def code_by_table(df: DataFrame, column: str, codes: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Column replaced by its code from a ``code_table``, for columns with too many values for literals."""
     tagged = df.withColumns({"_null": F.col(column).isNull(), "_v": F.coalesce(F.col(column).cast("string"), F.lit(""))})
-    lookup = codes.select(
+    lookup = written(codes).select(
         F.col("value").isNull().alias("_null"), F.coalesce(F.col("value").cast("string"), F.lit("")).alias("_v"), "code"
     )
     out = lookup_join(tagged, lookup, ["_null", "_v"], max_broadcast_rows)

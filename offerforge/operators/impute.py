@@ -161,9 +161,9 @@ def _first(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _no_neighbours(queries: DataFrame, donors: DataFrame) -> DataFrame:
-    return queries.select("_q").limit(0).join(donors.select("_key", "_value"), F.lit(False)).select(
-        "_q", F.lit(0.0).alias("_d"), "_key", "_value"
-    )
+    """An empty result."""
+    nobody = F.lit(None).cast(queries.schema["_q"].dataType).alias("_q")
+    return donors.filter(F.lit(False)).select(nobody, F.lit(0.0).alias("_d"), "_key", "_value")
 
 
 def _neighbours(
@@ -172,7 +172,7 @@ def _neighbours(
     """Nearest donors of every distinct feature vector among the rows missing ``column``.
 
     Distances use the coordinates both rows have, scaled up by the share they are of all ``coordinates``. Rows are
-    split by which features they have, a handful of cases, and each pair of cases is one search on full vectors.
+    split by which features they have, a handful of cases, and each set of shared features is one search per kind of donor.
     """
     pattern = F.concat(*[F.when(F.col(f).isNull(), "0").otherwise("1") for f in features])
     base = df.select(
@@ -181,14 +181,17 @@ def _neighbours(
     )
     cases = base.groupBy("_pattern", F.col("_value").isNull().alias("open")).count().collect()
     found = []
-    for have in sorted(r._pattern for r in cases if r.open):
-        queries = base.filter(F.col("_value").isNull() & (F.col("_pattern") == have)).dropDuplicates(["_q"])
-        for offered in sorted(r._pattern for r in cases if not r.open):
-            shared = [i for i in range(len(features)) if have[i] == offered[i] == "1"]
+    for offered in sorted(r._pattern for r in cases if not r.open):
+        donors = base.filter(F.col("_value").isNotNull() & (F.col("_pattern") == offered))
+        searches: dict[tuple[int, ...], list[str]] = {}
+        for have in sorted(r._pattern for r in cases if r.open):
+            shared = tuple(i for i in range(len(features)) if have[i] == offered[i] == "1")
+            searches.setdefault(shared, []).append(have)
+        for shared, haves in searches.items():
             if not shared:
                 continue
+            queries = base.filter(F.col("_value").isNull() & F.col("_pattern").isin(haves)).dropDuplicates(["_q"])
             as_points = [F.col(f"_x{i}").alias(f"_f{n}") for n, i in enumerate(shared)]
-            donors = base.filter(F.col("_value").isNotNull() & (F.col("_pattern") == offered))
             near = nearest_donors(
                 queries.select("_q", *as_points), donors.select("_key", "_value", *as_points), len(shared), k,
                 donors_per_cell,

@@ -55,8 +55,13 @@ def offers_map(offers: Column) -> Column:
 
 
 def explode_offers(df: DataFrame, offers: str, *keep: str) -> DataFrame:
-    """One row per offer: the kept columns, rank from 1, label, score."""
-    return df.select(*keep, F.posexplode(offers).alias("_i", "_o")).select(
+    """One row per offer: the kept columns, rank from 1, label, score.
+
+    Rows without offers are left out after the explode: the filter a plain explode would bring along repeats the whole
+    offer expression below it.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(offers).alias("_i", "_o")).filter("_o is not null")
+    return exploded.select(
         *keep, (F.col("_i") + 1).alias("rank"), F.col("_o.label").alias("label"), F.col("_o.score").alias("score")
     )
 
