@@ -287,8 +287,13 @@ def impute_missing(
         features = sorted(others, key=lambda c: -pairs[column, c])[: CORRELATED_COLUMNS - 1]
         if features:
             df = written(impute_numeric(df, column, features, key, donors_per_cell=donors_per_cell))
+        else:  # no row is comparable
+            df = df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(fit_stats(df, [column])[column].mean)))
     complete = [c for c in numeric if not holes[c]]
-    for column in [c for c in columns if c not in numeric and holes[c]]:
+    texts = [c for c in columns if c not in numeric and holes[c]]
+    if texts and not complete:
+        raise ValueError(f"no numeric column without missing values to fill {', '.join(texts)} from")
+    for column in texts:
         features = [f for f, _ in importance_spread(df, column, complete)[:CATEGORY_FEATURES]]
         df = written(impute_category(df, column, features, key, donors_per_cell=donors_per_cell))
     return df

@@ -169,3 +169,10 @@ def test_impute_missing_leaves_nothing_open(spark):
     assert out.columns == df.columns and out.count() == 200
     assert out.filter("a is null or t is null").count() == 0
     assert {r.t for r in out.filter("customer_id < 90").collect()} == {"low"}
+
+
+def test_impute_missing_without_comparable_columns(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (2, 4.0, None), (3, None, "x")], "customer_id int, a double, t string")
+    assert [r[0] for r in values(impute.impute_missing(df, columns=["a"]).orderBy("customer_id"), "a")] == [2.0, 4.0, 3.0]
+    with pytest.raises(ValueError, match="fill t"):
+        impute.impute_missing(df)
