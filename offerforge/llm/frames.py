@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 256
@@ -40,3 +40,14 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under column names that nothing else has, and the new name of each column."""
+    names = {c: f"_own_{k}" for k, c in enumerate(df.columns)}
+    return df.withColumnsRenamed(names), names
+
+
+def put_back(names: dict[str, str], *new: str) -> list[Column]:
+    """The columns of ``set_aside`` under their names, but for those that the ``new`` columns replace."""
+    return [F.col(n).alias(c) for c, n in names.items() if c.lower() not in new]

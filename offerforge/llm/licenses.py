@@ -82,27 +82,42 @@ class Scanner:
         at = at[np.isin(grams[at], self.keys)]
         if not len(at):
             return []
-        begins: dict[int, list[int]] = {}
+        hits: dict[int, list[tuple[int, int]]] = {}
         for p in at.tolist():
             for n, spot in self.index[int(grams[p])]:
-                begins.setdefault(n, []).append(p - spot)
+                hits.setdefault(n, []).append((p - spot, p))
         out, spans = [], None
-        for n, starts in begins.items():
-            starts.sort()
-            low = high = starts[0]
-            for s in [*starts[1:], None]:
-                if s is not None and s - high <= BAND:
-                    high = s
-                    continue
-                matched, first, last = align(self.words[n], words, low, high)
-                if matched >= LEAST_COVERAGE * len(self.words[n]):
-                    spans = spans or [m.span() for m in WORD.finditer(text)]
-                    out.append({"template": self.names[n], "matched_words": matched, "template_words": len(self.words[n]),
-                                "coverage": matched / len(self.words[n]), "start_char": spans[first][0],
-                                "end_char": spans[last][1]})
-                low = high = s
+        for n, found in hits.items():
+            for matched, first, last in self._places(n, words, sorted(found)):
+                spans = spans or [m.span() for m in WORD.finditer(text)]
+                out.append({"template": self.names[n], "matched_words": matched, "template_words": len(self.words[n]),
+                            "coverage": matched / len(self.words[n]), "start_char": spans[first][0],
+                            "end_char": spans[last][1]})
         return out
 
+    def _places(self, n: int, words: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """Alignments around hits (begin of the template, place of the hit): of hits whose begins lie close together the
+        best one, then those of the hits before and behind it."""
+        out, work = [], []
+        group = [hits[0]]
+        for hit in [*hits[1:], None]:
+            if hit is not None and hit[0] - group[-1][0] <= BAND:
+                group.append(hit)
+            else:
+                work.append((group, 0, len(words)))
+                group = [hit]
+        while work:
+            group, begin, end = work.pop()
+            matched, first, last = align(self.words[n], words, group[0][0], group[-1][0], begin, end)
+            if matched < LEAST_COVERAGE * len(self.words[n]):
+                continue
+            out.append((matched, first, last))
+            for side, low, high in (([h for h in group if h[1] < first], begin, first),
+                                    ([h for h in group if h[1] > last], last + 1, end)):
+                if side:
+                    work.append((side, low, high))
+        return sorted(out, key=lambda x: x[1])
+
 
 def winnow(grams: np.ndarray) -> list[int]:
     """Places of the least number in every ``WINDOW`` in a row, the last one of equals; all of a shorter text's least."""
@@ -114,9 +129,9 @@ def winnow(grams: np.ndarray) -> list[int]:
     return sorted(picked)
 
 
-def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
-    """Matched words, first and last matched word of the best alignment that begins between ``low`` and ``high``, within
-    ``BAND`` words. A match counts 2, a word left out or exchanged costs 1; among equals the one ending first."""
+def align(template: np.ndarray, words: np.ndarray, low: int, high: int, begin: int, end: int) -> tuple[int, int, int]:
+    """Matched words, first and last matched word of the best alignment with the words from ``begin`` to before ``end``
+    that starts between ``low`` and ``high``, within ``BAND`` words. A match counts 2, a word left out or exchanged costs 1; among equals the one ending first."""
     offset, width = low - BAND, high - low + 2 * BAND + 1
     empty = (0, 0, -1, -1)  # score, matched, first, last
     above, best = [empty] * (width + 1), empty
@@ -124,7 +139,7 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple
         row, left = [], empty
         for d in range(width):
             j = offset + i + d
-            if not 0 <= j < len(words):
+            if not begin <= j < end:
                 cell = empty
             else:
                 score, matched, first, last = above[d]

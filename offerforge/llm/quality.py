@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerforge.llm.frames import put_back, set_aside
 from offerforge.session import is_small, written
 
 LEAST_WORDS = 50
@@ -190,7 +191,6 @@ def filtered(docs: DataFrame, labels: DataFrame, stratum: str = "lang", good: st
     narrow = docs.select(F.col(key).alias("doc_id"), F.col(stratum).alias("_stratum_"), F.col(text).alias("_text_"))
     marks = labels.select(F.col(key).alias("doc_id"), F.expr(good).alias("_good")).where("doc_id IS NOT NULL AND _good")
     cutoffs = written(fit_cutoffs(measured(narrow, "_text_").drop("_text_").join(marks, "doc_id"), "_stratum_", "_good", rules, risk, error))
-    names = {c: f"_own{k}" for k, c in enumerate(docs.columns)}
-    own = docs.withColumnsRenamed(names)
+    own, names = set_aside(docs)
     rows = judged(measured(own, names[text]), cutoffs, names[stratum], rules).where("kept")
-    return rows.select(*(F.col(n).alias(c) for c, n in names.items()))
+    return rows.select(*put_back(names))

@@ -11,6 +11,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from offerforge.llm.frames import put_back, set_aside
 from offerforge.session import written
 
 BLOCK_BYTES = 8 << 20
@@ -89,10 +90,14 @@ def plan(docs: DataFrame, old: Column, capacities: list[int] | int, key: str = "
     A row's size is its UTF-8 bytes and one more; a row belongs where its first byte falls, so a shard holds its capacity
     to within the rows at its ends. Staying bytes come first in an old shard's order, the order is by block, key and text
     hash. Null texts count one byte, null keys are placed like others, rows alike go the same way or to neighbours. No rows
-    give no rows. ``docs`` is read twice.
+    give no rows. Columns ``shard`` and ``_old`` of ``docs`` are replaced. ``docs`` is read twice.
     """
     spark = docs.sparkSession
-    rows = docs.withColumns({"_old": old.cast("int"), "_size": row_bytes(text), "_tie": F.xxhash64(key, text)})
+    rows = docs.select("*", old.cast("int").alias("__old"))
+    rows, names = set_aside(rows)
+    number = names.pop("__old")
+    key, text = names[key], names[text]
+    rows = rows.withColumns({"_old": F.col(number), "_size": row_bytes(text), "_tie": F.xxhash64(key, text)})
     sizes = {r["_old"]: r["n"] for r in rows.groupBy("_old").agg(F.sum("_size").alias("n")).collect()}
     total = sum(sizes.values())
     if isinstance(capacities, int):
@@ -120,7 +125,7 @@ def plan(docs: DataFrame, old: Column, capacities: list[int] | int, key: str = "
     within = Window.partitionBy("_old", "_block").orderBy(key, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     split = rows.where("_to IS NULL").withColumn("_at", F.col("_at") + F.coalesce(F.sum("_size").over(within), F.lit(0)))
     split = split.drop("_to").join(F.broadcast(flows), "_old").where("_at >= _low AND _at < _high")
-    columns = [*docs.columns, "_old", F.col("_to").alias("shard")]
+    columns = [*put_back(names, "_old", "shard"), "_old", F.col("_to").alias("shard")]
     return whole.select(*columns).unionByName(split.select(*columns))
 
 

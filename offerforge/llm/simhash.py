@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerforge.llm.components import components
-from offerforge.llm.frames import map_rows, texts
+from offerforge.llm.frames import map_rows, put_back, set_aside, texts
 from offerforge.session import written
 
 SEED = 42
@@ -222,7 +222,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, key: str
     """``docs`` with one row of each group, that with the smallest key. Rows with a null key are in no group and stay."""
     ids = group_near_duplicates(docs, words, radius, key, text).where("doc_id = component_id")
     ids = written(ids.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
-    found = docs.join(ids, F.col(key) == F.col("_kept"))
-    once = found.where("_rows = 1").select(*docs.columns)
-    again = found.where("_rows > 1").select(*docs.columns).dropDuplicates([key])
-    return once.unionByName(again).unionByName(docs.where(F.col(key).isNull()))
+    rows, names = set_aside(docs)
+    found = rows.join(ids, F.col(names[key]) == F.col("_kept"))
+    once = found.where("_rows = 1").select(*names.values())
+    again = found.where("_rows > 1").select(*names.values()).dropDuplicates([names[key]])
+    return once.unionByName(again).unionByName(rows.where(F.col(names[key]).isNull())).select(*put_back(names))

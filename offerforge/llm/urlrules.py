@@ -12,6 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerforge.llm.frames import put_back, set_aside
 from offerforge.session import is_small, written
 
 LEAST_SUPPORT = 0.002
@@ -97,20 +98,21 @@ def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", least_support:
     return rules.join(rarest, "tokens").select("tokens", "anchor", "support", "confidence")
 
 
-def judge(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """``pages`` with ``mined`` (boolean): true where the url has all tokens of a rule.
 
     Rules are looked up by their anchor for each distinct token set, so pages of one host are judged together before
     anything is shuffled. The rules are broadcast if they are ``SMALL_RULES`` at most, else joined. Null urls have no token
-    and match no rule. Repeated rows are judged alike.
+    and match no rule. Repeated rows are judged alike. A column ``mined`` of ``pages`` is replaced.
     """
     rules = written(rules)
-    small = is_small(rules, SMALL_RULES)
-    index = F.broadcast(rules) if small else rules
-    marked = pages.withColumn("_tokens", F.sort_array(tokens(F.col(url))))
+    index = F.broadcast(rules) if is_small(rules, SMALL_RULES) else rules
+    rows, names = set_aside(pages)
+    marked = rows.withColumn("_tokens", F.sort_array(tokens(F.col(names[url]))))
     sets = marked.select("_tokens").distinct()
     hits = sets.select("_tokens", F.explode("_tokens").alias("anchor")).join(index.select("anchor", "tokens"), "anchor")
     hits = hits.where(F.size(F.array_except("tokens", "_tokens")) == 0).select("_tokens").distinct()
     hits = written(hits.withColumn("_hit", F.lit(True)))
     hits = F.broadcast(hits) if is_small(hits, SMALL_RULES) else hits
-    return marked.join(hits, "_tokens", "left").withColumn("mined", F.coalesce("_hit", F.lit(False))).drop("_tokens", "_hit")
+    out = marked.join(hits, "_tokens", "left")
+    return out.select(*put_back(names, "mined"), F.coalesce("_hit", F.lit(False)).alias("mined"))
