@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-KEEP_WORDS = 500_000
+KEEP_WORDS = 200_000
 LONGEST_KEPT = 64
 #: White space as the vocabularies' patterns know it (Unicode White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -65,6 +65,7 @@ class TextEncoder:
         with open(path, encoding="utf-8") as file:
             self.word_ends = bool(json.load(file)["model"].get("end_of_word_suffix"))
         self.letters = _byte_letters()
+        self.codes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.plain = _Words(self._plain_word)
         self.spaced = _Words(self._spaced_word)
         self.words = re.compile(f"[^{SPACE}]+").findall
@@ -74,8 +75,14 @@ class TextEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _model(self, *parts: str) -> bytes:
-        ids = [t.id for p in parts for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))]
-        return np.array(ids, dtype="<u4").tobytes()
+        cut, ids = self.model.tokenize, []
+        for part in parts:
+            ids += cut(part)
+        return b"".join([self.codes[t.id] for t in ids])
+
+    def _lettered(self, word: str) -> str:
+        """The word in byte letters; printable ASCII is its own letter."""
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
 
     def _plain_word(self, word: str) -> bytes:
         if self.word_ends:
@@ -89,7 +96,7 @@ class TextEncoder:
         """Letters with at most full stops and commas behind them go straight to the model: a merge never joins a letter
         and such a mark, so cutting them apart first would give the same ids."""
         if word.rstrip(".,").isalpha():
-            return self._model(space + word)
+            return self._model((space and self.letters[32]) + self._lettered(word))
         if word.split() != [word] or not set(SEPARATORS).isdisjoint(word):
             raise _Irregular
         return self._library(space + word)
@@ -98,7 +105,7 @@ class TextEncoder:
         """Words of Latin letters before U+0250 are already normalised; the marks behind them form one more word."""
         letters = word.rstrip(".,")
         if letters.isalpha() and max(letters) < "İ":
-            low = letters.lower()
+            low = self._lettered(letters.lower())
             return self._model(low, word[len(letters) :]) if len(letters) < len(word) else self._model(low)
         return self._library(word)
 

@@ -68,6 +68,11 @@ def _codecs(dictionary: bytes):
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared), zstandard.ZstdDecompressor(dict_data=shared)
 
 
+@lru_cache(maxsize=2)
+def _digest(dictionary: bytes) -> bytes:
+    return hashlib.sha256(dictionary).digest()
+
+
 def _segment(file: int, number: int, width: int, dictionary: bytes, docs: list[tuple[int | None, bytes]]) -> bytes:
     pack, frames = _codecs(dictionary)[0], []
     index, at = np.zeros(len(docs), dtype=ENTRY), 0
@@ -77,7 +82,7 @@ def _segment(file: int, number: int, width: int, dictionary: bytes, docs: list[t
         frames.append(frame)
         at += len(frame)
     total = int(index["ids"].sum())
-    head = HEADER.pack(MAGIC, width, file, number, len(docs), total, at, hashlib.sha256(dictionary).digest())
+    head = HEADER.pack(MAGIC, width, file, number, len(docs), total, at, _digest(dictionary))
     return b"".join([head, index.tobytes(), *frames])
 
 
@@ -96,7 +101,7 @@ def segments(content: bytes) -> Iterator[tuple[dict, np.ndarray, memoryview]]:
 
 def document(head: dict, index: np.ndarray, frames: memoryview, k: int, dictionary: bytes) -> bytes:
     """The ids of the segment's ``k``-th document as little-endian unsigned 32-bit bytes; no other frame is touched."""
-    if head["digest"] != hashlib.sha256(dictionary).digest():
+    if head["digest"] != _digest(dictionary):
         raise ValueError("the file was written with another dictionary")
     end = index["at"][k + 1] if k + 1 < len(index) else len(frames)
     raw = _codecs(dictionary)[1].decompress(frames[int(index["at"][k]) : int(end)])
@@ -151,34 +156,33 @@ def _dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(found[0][0])[:-1] if found else b""
 
 
-def read_tokens(spark: SparkSession, path: str, keys: list[int] | None = None) -> DataFrame:
-    """Documents of the files in their order: file, place, doc_id, ids (bytes) and the ids before it in its file.
+def read_tokens(spark: SparkSession, path: str, keys: list[int] | None = None, ids: bool = True) -> DataFrame:
+    """Documents of the files: file, place, doc_id, before (the ids before it in its file), n_tokens, ids_crc32 and, unless
+    ``ids`` is false, the ids as little-endian unsigned 32-bit bytes. With ``keys`` only these are decompressed."""
+    kinds = "file long, place long, doc_id long, before long, n_tokens long, ids_crc32 long" + (", ids binary" if ids else "")
+    schema = arrow_schema(spark, kinds)
+    wanted, dictionary = None if keys is None else frozenset(keys), _dictionary(spark, path)
 
-    With ``keys`` only these documents are decompressed.
-    """
-    kinds = "file long, place long, doc_id long, before long, ids binary"
-
-    def make(wanted, dictionary):
-        def run(batches):
-            schema = pa.schema([(n, pa.int64()) for n in ("file", "place", "doc_id", "before")] + [("ids", pa.binary())])
-            for batch in batches:
-                for content in batch.column(0):
-                    before = place = 0
-                    for head, index, frames in segments(content.as_py()):
-                        rows, ahead = [], before + np.concatenate([[0], np.cumsum(index["ids"])]).astype(int)
-                        for k, entry in enumerate(index):
-                            doc = None if entry["no_key"] else int(entry["key"])
-                            if wanted is None or doc in wanted:
-                                ids = document(head, index, frames, k, dictionary)
-                                rows.append((head["file"], place + k, doc, int(ahead[k]), ids))
-                        before, place = int(ahead[-1]), place + len(index)
-                        if rows:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                before = place = 0
+                for head, index, frames in segments(content.as_py()):
+                    ahead = before + np.concatenate([[0], np.cumsum(index["ids"])]).astype(int)
+                    docs = [None if no else key for key, no in zip(index["key"].tolist(), index["no_key"].tolist(), strict=True)]
+                    picked = [k for k, doc in enumerate(docs) if wanted is None or doc in wanted]
+                    rows = []
+                    for k in picked:
+                        part = document(head, index, frames, k, dictionary)
+                        row = (head["file"], place + k, docs[k], int(ahead[k]), len(part) // 4, zlib.crc32(part))
+                        rows.append((*row, part) if ids else row)
+                    before, place = int(ahead[-1]), place + len(index)
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     files = spark.read.format("binaryFile").load(f"{path}/files").where("length > 0").select("content")
-    return files.mapInArrow(make(None if keys is None else frozenset(keys), _dictionary(spark, path)), kinds)
+    return files.mapInArrow(run, kinds)
 
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
@@ -186,12 +190,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     ``start`` adds the ids of the files before, of which there is one row each.
     """
-    def check(batch):
-        return [{"file": f, "place": p, "doc_id": d, "before": b, "n_tokens": len(ids) // 4, "ids_crc32": zlib.crc32(ids)}
-                for f, p, d, b, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-
-    docs = written(map_rows(read_tokens(spark, path), check,
-                            "file long, place long, doc_id long, before long, n_tokens long, ids_crc32 long"))
+    docs = written(read_tokens(spark, path, ids=False))
     files = docs.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
     ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("ids").over(ahead), F.lit(0)).alias("ahead"))
