@@ -8,14 +8,17 @@ few are left, which are compared. What leaves a shard is a forest of links, neve
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerforge.llm.components import components
 from offerforge.llm.frames import map_rows, put_back, set_aside, texts
-from offerforge.session import written
+from offerforge.session import is_small, written
 
 SEED = 42
 WORDS = 3
@@ -26,6 +29,12 @@ LEAST_LEVELS = 4
 #: Share of fingerprints that a ball of radius 3 sends to both sides of a node, from the spread of unrelated ones.
 BOTH_SIDES = 1.6
 LEAF_POINTS = 48
+#: The wider search: bits that a pair may differ in, the distance for which recall is asked, rows that agree by chance.
+WIDE_RADIUS = 14
+WIDE_DISTANCE = 10
+WIDE_RECALL = 0.95
+ROWS_A_BUCKET = 32
+SIMILARITY = 0.8
 PAIRS_AT_ONCE = 1 << 21
 
 
@@ -218,9 +227,96 @@ def group_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RAD
     return prints.join(reached, "fp", "left").select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group, that with the smallest key. Rows with a null key are in no group and stay."""
-    ids = group_near_duplicates(docs, words, radius, key, text).where("doc_id = component_id")
+def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, distance: int = WIDE_DISTANCE, recall: float = WIDE_RECALL) -> DataFrame:
+    """Pairs (a, b) of the ``id`` of rows of ``nodes`` (fp, id) at ``radius`` bits or less, too far for shards that balls
+    reach: at such a radius a ball reaches every shard.
+
+    A table is a sample of bits, a shard the rows that agree on them; inside a shard vantage-point trees search as above. The
+    sampled bits follow the number of rows, so that shards stay small, and the tables follow the bits, so that two
+    fingerprints at ``distance`` share a shard with probability ``recall``, nearer ones with a higher one. Of a shard whose
+    pairs outnumber its rows a forest is given.
+    """
+    total = max(2, nodes.count())
+    bits = max(4, math.ceil(math.log2(total / ROWS_A_BUCKET)))
+    tables = math.ceil(math.log(1 - recall) / math.log(1 - (1 - distance / 64) ** bits))
+    rng = np.random.default_rng(SEED)
+    masks = [sum(1 << int(b) for b in rng.permutation(64)[:bits]) for _ in range(tables)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = F.array(*[F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)])
+    rows = nodes.select("fp", "id", F.explode(keys).alias("k")).select("k.table", "k.key", "fp", "id")
+
+    def look(batches):
+        held = None
+        for columns in itertools.chain(([np.asarray(c) for c in b.columns] for b in batches), [None]):
+            if columns is not None:
+                held = columns if held is None else [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            if held is None or not len(held[0]):
+                continue
+            ends = np.nonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0))[0] + 1
+            starts = [0, *ends.tolist()]
+            if columns is None:
+                starts.append(len(held[0]))
+            found = []
+            for low, high in zip(starts, starts[1:], strict=False):
+                if high - low > 1:
+                    fps, ids = held[2][low:high].view("<u8"), held[3][low:high]
+                    a, b = search(fps, fps, radius)
+                    b = b - len(fps) * (b >= len(fps))
+                    a = a - len(fps) * (a >= len(fps))
+                    found.append(np.unique(np.sort(np.stack([ids[a], ids[b]], axis=1), axis=1), axis=0))
+            held = [c[starts[-1] :] for c in held]
+            if found:
+                pairs = np.concatenate(found)
+                pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "id")
+    return dealt.mapInArrow(look, "a long, b long").distinct()
+
+
+def shingle_set(text: Column, words: int) -> Column:
+    """Distinct hashes of all runs of ``words`` lower-cased words; of a shorter text its words as one run."""
+    found = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.transform(F.array(found), lambda w: F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(w) - words, F.lit(0))),
+        lambda k: F.xxhash64(*[F.get(w, k + n) for n in range(words)]))))[0]
+
+
+def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) of keys whose texts' sets of shingles have a Jaccard index of at least ``similarity``. Sets are
+    made only of texts that are in a pair."""
+    asked = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"))
+    asked = F.broadcast(asked) if is_small(asked) else asked
+    sets = docs.join(asked, "doc_id", "left_semi").select("doc_id", shingle_set(F.col("text"), words).alias("set"))
+    sets = written(sets.dropDuplicates(["doc_id"]))
+    left, right = (sets.select(F.col("doc_id").alias(k), F.col("set").alias(f"set_{k}")) for k in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+
+
+def group_similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id and component_id, for near copies of a Jaccard index of at least ``similarity``.
+
+    Fingerprints within ``RADIUS`` are linked as they are. Of each group so found the smallest key goes on; pairs of these
+    within ``WIDE_RADIUS`` are linked if their shingle sets are similar enough. Nulls, repeated and empty rows as in
+    ``group_near_duplicates``.
+    """
+    rows = texts(docs, key, text, "doc_id")
+    prints = written(fingerprints(docs, words, key, text))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")).where("id IS NOT NULL"))
+    close = written(links(nodes, RADIUS))
+    joined = components(close)
+    later = joined.where("node != component").select(F.col("node").alias("id"))
+    pairs = written(wide_pairs(written(nodes.join(later, "id", "left_anti").select("fp", "id"))))
+    joined = components(close.union(similar_links(rows, pairs, words, similarity)))
+    reached = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fp", F.coalesce("component", "id").alias("component"))
+    return prints.join(reached, "fp", "left").select("doc_id", F.col("component").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of ``group_similar``, that with the smallest key. Rows with a null key stay."""
+    ids = group_similar(docs, words, similarity, key, text).where("doc_id = component_id")
     ids = written(ids.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
     rows, names = set_aside(docs)
     found = rows.join(ids, F.col(names[key]) == F.col("_kept"))

@@ -40,9 +40,9 @@ def test_query_covers_its_table(spark, name):
     assert count > 0
 
 
-def _fingerprint(text):
+def _fingerprint(text, size=3):
     words = (text or "").encode().lower().split()
-    shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    shingles = [b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))] if words else []
     hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
@@ -82,12 +82,72 @@ def test_simhash_against_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.fp & (1 << 64) - 1 for r in rows} == prints
     want = _groups(prints)
     assert {r.doc_id: r.component_id for r in rows} == want
-    kept = simhash.keep_one(frame)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == frame.columns
     assert simhash.group_near_duplicates(frame.where("false")).count() == 0
     assert simhash.keep_one(frame.where("false")).count() == 0
 
 
+def _similar(docs):
+    """Pairs of keys with a Jaccard index of 0.8 or more of five-word shingles, and the shingles of each text."""
+    sets = {}
+    for key, text in docs.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        sets[key] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    held = defaultdict(list)
+    for key in sorted(sets):
+        for shingle in sets[key]:
+            held[shingle].append(key)
+    common = Counter(pair for keys in held.values() for pair in combinations(keys, 2))
+    return {p for p, n in common.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n)}
+
+
+def _check_groups(docs, component):
+    """Most similar pairs are joined, and who is joined has a partner that is similar or within three bits."""
+    pairs = _similar(docs)
+    joined = {p for p in pairs if component[p[0]] == component[p[1]]}
+    assert len(joined) >= 0.9 * len(pairs)
+    partner = Counter(k for p in joined for k in p)
+    prints = {k: _fingerprint(docs[k], 5) for k in docs}
+    for key, first in component.items():
+        if key != first and not partner[key]:
+            assert any((prints[key] ^ prints[k]).bit_count() <= 3 for k in docs if k != key and component[k] == first)
+
+
+def test_similar_groups_against_brute_force(spark):
+    docs = dict(duckdb.connect().execute(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
+    rng = random.Random(4)
+    for key in (5, 9, 40):
+        for k in range(60):  # near copies, each with a few other words
+            words = docs[key].split()
+            for _ in range(max(1, len(words) // 60)):
+                words[rng.randrange(len(words))] = f"x{k}"
+            docs[10_000 * key + k] = " ".join(words)
+    docs |= {900_000: None, 900_001: "", 900_002: "two words", 900_003: "TWO  words"}
+    frame = spark.createDataFrame([(k, t, 1, 2) for k, t in docs.items()], "doc_id long, text string, fp int, _kept int")
+    component = {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()}
+    assert component.keys() == docs.keys()
+    _check_groups(docs, component)
+    kept = simhash.keep_one(frame)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(component.values())) and kept.columns == frame.columns
+
+
+def test_wide_pairs_carry_groups_over_batches(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    near = base[:200].copy()
+    for _ in range(8):
+        near ^= np.uint64(1) << rng.integers(0, 62, 200).astype(np.uint64)
+    fps = np.concatenate([base, near])
+    frame = spark.createDataFrame([(int(f), k) for k, f in enumerate(fps.view("<i8"))], "fp long, id long")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = {(r.a, r.b) for r in simhash.wide_pairs(frame).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = {(i, j) for i in range(500) for j in range(i + 1, 500) if int(fps[i] ^ fps[j]).bit_count() <= simhash.WIDE_RADIUS}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= 200
+
+
 def test_simhash_null_keys_and_repeated_rows(spark):
     docs = [(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (7, "a b c d"), (None, "quite another text"), (9, "q w e r t")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
@@ -346,15 +406,17 @@ def test_pipeline_stages_against_brute_force(spark):
     con = connect(SMALL)
     docs = dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
     kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({queries.ORACLES['op2_quality_rules']}) WHERE kept").fetchall()}
-    groups = _groups({k: _fingerprint(docs[k]) for k in kept})
     items = [decontaminate.normalized(r[0]) for r in con.execute("SELECT text FROM benchmark").fetchall()]
-    clean = {k for k in set(groups.values()) if not any(i in decontaminate.normalized(docs[k]) for i in items)}
     frame, seen = spark.read.parquet(f"{SMALL}/documents.parquet"), []
     for name, stage in corpus_pipeline.STAGES[:-1]:
         frame = stage(spark, frame, SMALL)
         assert frame.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
         seen.append({r.doc_id for r in frame.select("doc_id").collect()})
-    assert seen == [kept, set(groups.values()), clean] and len(clean) < len(seen[1])
+    component = {r.doc_id: r.component_id for r in simhash.group_similar(
+        spark.createDataFrame([(k, docs[k]) for k in kept], "doc_id long, text string")).collect()}
+    _check_groups({k: docs[k] for k in kept}, component)
+    clean = {k for k in set(component.values()) if not any(i in decontaminate.normalized(docs[k]) for i in items)}
+    assert seen == [kept, set(component.values()), clean] and len(clean) < len(seen[1])
     rows = corpus_pipeline.run(spark, SMALL).collect()
     library = TextEncoder(queries.vocabulary("word_bpe_49k.json"))._library
     lengths = Counter()
