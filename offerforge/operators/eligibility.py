@@ -8,19 +8,20 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from offerforge.operators.tables import lookup_join
+from offerforge.session import is_small
 
 NO_OFFER = "no recommendation"
 RANGE_KINDS = ("int", "non-list")
 MEMBER_KIND = "list"
 MAX_COMPILED_RULES = 500
+"""Rules compiled into the row's expression; a longer catalogue is joined, with the same result."""
 
 
 def _number(value: Column) -> Column:
-    """The value as a number; NaN and text that is no number are missing."""
-    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+    """The value's text as a number; NaN and text that is no number, as of dates and booleans, are missing."""
+    return F.nanvl(value.cast("string").try_cast("double"), F.lit(None).cast("double"))
 
 
 def in_range(value: Column, low: float | None, high: float | None) -> Column:
@@ -36,7 +37,7 @@ def in_range(value: Column, low: float | None, high: float | None) -> Column:
 def is_member(value: Column, values: Sequence[str], case_sensitive: bool = False) -> Column:
     text = value.cast("string")
     if not case_sensitive:
-        text, values = F.lower(text), [v.lower() for v in values]
+        text, values = F.lower(text), [v.lower() for v in values if v is not None]
     return F.coalesce(text.isin(list(values)), F.lit(False))
 
 
@@ -60,48 +61,45 @@ def with_final_offer(
     candidates: str,
     rules: DataFrame,
     name: str,
-    key: str = "customer_id",
     case_sensitive: bool = False,
     max_compiled_rules: int = MAX_COMPILED_RULES,
 ) -> DataFrame:
     """Adds the first candidate that has no rules or meets all of them, else ``no recommendation``.
 
-    ``candidates`` is an array of names in rank order. A catalogue of usual size becomes one expression on the row,
-    without join or shuffle. A larger one is joined as a table.
+    ``candidates`` is an array of names in rank order, missing names skipped. A catalogue of usual size becomes one
+    expression on the row, without join or shuffle. A larger one is joined as a table. Both compare an attribute's text,
+    or the number it spells, so they give the same offers.
     """
-    head = rules.limit(max_compiled_rules + 1).collect()
-    attributes = {r.attribute for r in head}
-    missing = sorted(a for a in attributes if a not in df.columns)
-    if missing:
-        raise ValueError(f"rules need columns the table does not have: {', '.join(missing)}")
-    if len(head) > max_compiled_rules:
-        return _joined_final_offer(df, candidates, rules, name, key, case_sensitive)
+    known = rules.filter(F.col("attribute").isin(df.columns)).select("attribute").distinct()
+    missing = rules.filter(~F.col("attribute").isin(df.columns)).select("attribute").distinct().orderBy("attribute").limit(20)
+    if names := [r.attribute for r in missing.collect()]:
+        raise ValueError(f"rules need columns the table does not have: {', '.join(names)}")
+    if not is_small(rules, max_compiled_rules):
+        return _joined_final_offer(df, candidates, rules, name, [r.attribute for r in known.collect()], case_sensitive)
     products = {}
-    for rule in head:
+    for rule in rules.collect():
         products.setdefault(rule["product"], []).append(rule)
     refused = F.array_compact(
         F.array(*[F.when(~rules_met(rs, case_sensitive), p) for p, rs in products.items()]).cast("array<string>")
     )
-    first = F.get(F.array_except(F.col(candidates), refused), F.lit(0))
+    first = F.get(F.array_except(F.array_compact(candidates), refused), F.lit(0))
     return df.withColumn(name, F.coalesce(first, F.lit(NO_OFFER)))
 
 
 def _joined_final_offer(
-    df: DataFrame, candidates: str, rules: DataFrame, name: str, key: str, case_sensitive: bool
+    df: DataFrame, candidates: str, rules: DataFrame, name: str, attributes: Sequence[str], case_sensitive: bool
 ) -> DataFrame:
-    """The same through a join: one row per candidate, its product's rules as a list, then the first one that passes.
+    """The same through a join: each distinct candidate list gets its products' rules, each row the lists of its own.
 
-    A product has a handful of rules, one or two per attribute. Products that very many customers have as a candidate
-    are joined apart by ``lookup_join``.
+    Rows are never grouped, so keys may be missing or repeated. A product has a handful of rules, one or two per
+    attribute. Candidate lists that very many customers share are joined apart by ``lookup_join``.
     """
-    attributes = [
-        f.name for f in df.schema
-        if isinstance(f.dataType, (T.NumericType, T.StringType)) and f.name != candidates
-    ]
-    text = F.create_map(*[x for a in attributes for x in (F.lit(a), F.col(a).cast("string"))])
+    text = F.create_map(*[x for a in sorted(attributes) for x in (F.lit(a), F.col(a).cast("string"))])
     fields = ("attribute", "kind", "min", "max", "values")
     listed = rules.groupBy("product").agg(F.collect_list(F.struct(*fields)).alias("_rules"))
-    exploded = df.select(key, text.alias("_text"), F.posexplode(candidates).alias("_pos", "product"))
+    lists = df.select(F.col(candidates).alias("_list")).filter(F.col("_list").isNotNull()).distinct()
+    found = lookup_join(lists.select("_list", F.posexplode(F.array_compact("_list")).alias("_pos", "product")), listed, ["product"])
+    ranked = found.groupBy("_list").agg(F.sort_array(F.collect_list(F.struct("_pos", "product", "_rules"))).alias("_ranked"))
 
     def met(rule: Column) -> Column:
         value = F.col("_text")[rule["attribute"]]
@@ -116,30 +114,26 @@ def _joined_final_offer(
             .otherwise(False)
         )
 
-    joined = lookup_join(exploded, listed, ["product"])
-    passed = joined.filter(F.col("_rules").isNull() | F.forall("_rules", met))
-    first = passed.groupBy(key).agg(F.min(F.struct("_pos", "product")).alias("_first"))
-    return df.join(first, key, "left").withColumn(
-        name, F.coalesce("_first.product", F.lit(NO_OFFER))
-    ).drop("_first")
+    rows = lookup_join(df.withColumns({"_list": F.col(candidates), "_text": text}), ranked, ["_list"])
+    first = F.get(F.filter("_ranked", lambda c: c["_rules"].isNull() | F.forall(c["_rules"], met)), F.lit(0))
+    return rows.withColumn(name, F.coalesce(first["product"], F.lit(NO_OFFER))).drop("_list", "_text", "_ranked")
 
 
 def with_final_offers(
-    df: DataFrame, catalogues: Mapping[str, tuple[str, DataFrame]], key: str = "customer_id",
-    case_sensitive: bool = False,
+    df: DataFrame, catalogues: Mapping[str, tuple[str, DataFrame]], case_sensitive: bool = False
 ) -> DataFrame:
     """Several final offers at once: result column -> (candidate column, rule table)."""
     for name, (candidates, rules) in catalogues.items():
-        df = with_final_offer(df, candidates, rules, name, key, case_sensitive)
+        df = with_final_offer(df, candidates, rules, name, case_sensitive)
     return df
 
 
 def occupation_eligible(
-    df: DataFrame, occupation: str, rules: DataFrame, name: str = "eligible", key: str = "customer_id"
+    df: DataFrame, occupation: str, rules: DataFrame, name: str = "eligible"
 ) -> DataFrame:
     """1 when the customer meets all rules of the own occupation, those of ``others`` where it has none of its own."""
     listed = rules.select(F.lower("product").alias("_own")).distinct().withColumn("_listed", F.lit(True))
     known = lookup_join(df.withColumn("_own", F.lower(F.col(occupation))), listed, ["_own"])
     known = known.withColumn("_names", F.array(F.when(F.col("_listed"), F.col("_own")).otherwise("others")))
-    final = with_final_offer(known, "_names", rules, "_final", key)
+    final = with_final_offer(known, "_names", rules, "_final")
     return final.withColumn(name, (F.col("_final") != NO_OFFER).cast("int")).select(*df.columns, name)

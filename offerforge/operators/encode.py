@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from offerforge.functions.names import string_columns
 from offerforge.operators.profile import column_values
 from offerforge.operators.tables import lookup_join
-from offerforge.session import BROADCAST_ROWS, is_small, written
+from offerforge.session import BROADCAST_ROWS, written
 
 MAX_CATEGORIES = 1000
 RARE_PERCENT = 0.1
+VALUES_PER_RANGE = 100_000
 
 
 def fit_categories(
@@ -76,14 +77,14 @@ def code_table(df: DataFrame, column: str, order_by: str | None = None, ranges:
     order = F.min(order_by) if order_by else F.min(F.col(column))
     values = df.groupBy(F.col(column).alias("value")).agg(order.alias("_at"))
     if ranges is None:
-        ranges = 1 if is_small(values) else 200
+        ranges = values.count() // VALUES_PER_RANGE + 1
     if ranges == 1:
         window = Window.orderBy(F.col("_at").asc_nulls_last(), F.col("value").asc_nulls_last())
         return values.select("value", (F.row_number().over(window) - 1).cast("bigint").alias("code"))
     # a hash sample of the distinct values gives range limits that balance and are the same on every run
     share = max(values.count() // (ranges * 50), 1)
     sample = values.filter((F.xxhash64("value") % share == 0) & F.col("_at").isNotNull()).select("_at")
-    limits = [r[0] for r in sample.orderBy("_at").limit(ranges * 200).collect()]
+    limits = [r[0] for r in sample.orderBy("_at").collect()]  # about 50 for each range
     limits = sorted(set(limits[:: max(len(limits) // ranges, 1)][1:]))
     number = F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= F.col("_at"))) if limits else F.lit(0)
     ranged = values.withColumn("_r", F.when(F.col("_at").isNull(), len(limits) + 1).otherwise(number))
@@ -134,9 +135,15 @@ def fit_encoders(
 ) -> EncoderPlan:
     """Encoder per string column by its number of values; columns with another number stay as they are.
 
-    The counts are a small result of one distributed aggregate; only the lists of the chosen columns are fetched.
+    A sketch rules out columns whose number of values is far from the wanted ones, so the values of keys and free text are
+    not shuffled; the others are counted exactly. Only the lists of the chosen columns are fetched.
     """
     columns = string_columns(df) if columns is None else list(columns)
+    if not columns:
+        return EncoderPlan()
+    guessed = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first().asDict()
+    far = 2 * max([*code_at, *spread_at]) + 100  # many times the sketch's error
+    columns = [c for c in columns if guessed[c] <= far]
     if not columns:
         return EncoderPlan()
     pairs = column_values(df, columns).persist()
@@ -158,9 +165,9 @@ def yes_no(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column) == "yes", F.lit(False)).cast("int"))
 
 
-def fit_labels(df: DataFrame, column: str, max_labels: int = MAX_CATEGORIES) -> list[str]:
-    """Sorted labels of a target column; the code of a label is its position."""
-    return [v for v in fit_categories(df, [column], max_labels)[column] if v is not None]
+def fit_labels(df: DataFrame, column: str) -> list[str]:
+    """Sorted labels of a target column, as many as it has; the code of a label is its position."""
+    return sorted(r.value for r in column_values(df, [column]).filter("value is not null").select("value").collect())
 
 
 def label_dictionary(df: DataFrame, column: str) -> DataFrame:

@@ -65,9 +65,10 @@ def _cells(donors: DataFrame, d: int) -> DataFrame:
     return donors.groupBy(*_bins(d)).agg(F.count(F.lit(1)).alias("_n"), *bounds)
 
 
-def _coarser(cells: DataFrame, d: int, bits: int) -> DataFrame:
-    """The same cells merged by dropping the last ``bits`` bits of their numbers."""
-    keys = [F.shiftright(b, bits).alias(b) for b in _bins(d)]
+def _coarser(cells: DataFrame, d: int, bits: int, split: int | None = None) -> DataFrame:
+    """The same cells merged by dropping the last ``bits`` bits of their numbers, all bits beyond ``split`` coordinates."""
+    split = d if split is None else split
+    keys = [(F.shiftright(b, bits) if i < split else F.lit(0).cast("bigint")).alias(b) for i, b in enumerate(_bins(d))]
     bounds = [f(f"_{n}{i}").alias(f"_{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
     return cells.groupBy(*keys).agg(F.sum("_n").alias("_n"), *bounds)
 
@@ -125,9 +126,12 @@ def nearest_donors(
 
     finest = _cells(donors, d)
     level = min(bits, max(int(math.log2(START_CELLS) / d), 1))
-    if level < bits:
+    split = min(d, int(math.log2(START_CELLS)))  # coordinates told apart at the start; the others from the first step on
+    if level < bits or split < d:
         finest = written(finest)
-    top = (_coarser(finest, d, bits - level) if level < bits else finest).collect()  # at most START_CELLS or 2**d rows
+        top = _coarser(finest, d, bits - level, split).collect()  # at most START_CELLS rows
+    else:
+        top = finest.collect()
     names = [*_bins(d), "_n", *[f"_{n}{i}" for i in range(d) for n in ("lo", "hi")]]
     table = F.expr(f"array({', '.join(_struct_text(row, names) for row in top)})")
     frontier = _pruned(
@@ -136,11 +140,14 @@ def nearest_donors(
         ),
         d, k,
     )
-    while level < bits:
+    while level < bits or split < d:
         step = min(max(CHILD_BITS // d, 1), bits - level)
         level += step
         cells = _coarser(finest, d, bits - level) if level < bits else finest
-        children = cells.withColumns({f"_p{i}": F.shiftright(b, step) for i, b in enumerate(_bins(d))})
+        children = cells.withColumns(
+            {f"_p{i}": F.shiftright(b, step) if i < split else F.lit(0).cast("bigint") for i, b in enumerate(_bins(d))}
+        )
+        split = d
         parents = frontier.withColumnsRenamed({b: f"_p{i}" for i, b in enumerate(_bins(d))})
         frontier = _pruned(parents.join(children, [f"_p{i}" for i in range(d)]), d, k)
 
@@ -271,12 +278,13 @@ def impute_missing(
 ) -> DataFrame:
     """Fills every column with missing values, numbers first, each from the table as completed so far.
 
-    A number is filled from its most correlated columns, by sign, a category from the numeric columns without missing
-    values whose importance varies most. The table is written after each column, which keeps the plan short.
+    A number is filled from its most correlated columns, by sign, a category from the numeric columns, filled ones
+    included, whose importance varies most. The table is written after each column, which keeps the plan short.
     """
     shared_folder(df.sparkSession)
     columns = [c for c in df.columns if c != key] if columns is None else list(columns)
-    holes = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
+    known = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first().asDict()
+    holes = {c: known["_rows"] - known[c] for c in columns}
     numeric = [c for c in numeric_columns(df) if c in columns]
     pairs = {}
     if any(holes[c] for c in numeric):
@@ -289,10 +297,10 @@ def impute_missing(
             df = written(impute_numeric(df, column, features, key, donors_per_cell=donors_per_cell))
         else:  # no row is comparable
             df = df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(fit_stats(df, [column])[column].mean)))
-    complete = [c for c in numeric if not holes[c]]
+    complete = [c for c in numeric if known[c]]  # by now without holes
     texts = [c for c in columns if c not in numeric and holes[c]]
     if texts and not complete:
-        raise ValueError(f"no numeric column without missing values to fill {', '.join(texts)} from")
+        raise ValueError(f"no numeric column with a value to fill {', '.join(texts)} from")
     for column in texts:
         features = [f for f, _ in importance_spread(df, column, complete)[:CATEGORY_FEATURES]]
         df = written(impute_category(df, column, features, key, donors_per_cell=donors_per_cell))

@@ -117,11 +117,13 @@ def train_multiclass(
     rounds: int = ROUNDS,
     step: float = MULTICLASS_STEP,
     seed: int = SEED,
+    subset: str = "auto",
 ) -> TrainedModel:
     """Class probabilities from trees over the numeric columns.
 
-    ``forest`` fits one random forest. ``boosted`` fits one boosted model per class and takes the softmax of their
-    margins; it is the closer but slower choice.
+    ``forest`` fits one random forest, each split over a ``subset`` of the features (``all``, ``sqrt``, a share; MLlib's
+    names). ``boosted`` fits one boosted model per class and takes the softmax of their margins; it is the closer but slower
+    choice.
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
     labels = tuple(fit_labels(df, target))
@@ -131,7 +133,7 @@ def train_multiclass(
     code = F.when(place > 0, place - 1)
     if backend == "forest":
         forest = RandomForestClassifier(
-            labelCol="_label", featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed
+            labelCol="_label", featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy=subset
         )
         return _fit({"_label": forest}, shell, df, {"_label": code})
     if backend == "boosted":
@@ -158,7 +160,9 @@ def train_binary(
 ) -> TrainedModel:
     """Boosted trees for a yes/no target; the second probability is that of ``yes``.
 
-    ``child_weight`` is in rows here: the least number of rows a leaf holds, never below one.
+    ``child_weight`` is in rows here: the least number of rows a leaf holds, never below one. MLlib gives the first tree the
+    full weight whatever ``step`` is, so scores lie further from one half than those of a booster that shrinks every tree;
+    a threshold tuned on such a booster has to be tuned anew.
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
     shell = TrainedModel((), features, _stand_ins(df, features), ("no", "yes"))

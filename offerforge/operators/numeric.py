@@ -35,7 +35,7 @@ def exact_quantiles(
         distinct, total = counts.agg(F.count("v"), F.sum("n")).first()
         if distinct == 0:
             return {p: None for p in probabilities}
-        ranges = min(math.ceil(distinct / rows_per_range), 1000)
+        ranges = math.ceil(distinct / rows_per_range)
         cuts = []
         if ranges > 1:
             marks = [i / ranges for i in range(1, ranges)]

@@ -4,32 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from offerforge.session import BROADCAST_ROWS, is_small
+from offerforge.session import BROADCAST_ROWS, is_small, written
 
 HOT_SHARE = 0.001
 """A key with more than this share of the rows is joined apart; there can be at most 1 / HOT_SHARE such keys."""
 
 
+SALTS = 64
+"""Parts that the rows of a hot or missing key are dealt to."""
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join to a lookup table holding each key once.
 
-    A lookup counted to be small is broadcast. A larger one is joined by shuffle, except for the hot keys: these
-    are fewer than 1 / HOT_SHARE by definition, so their lookup rows can be broadcast, and the rows of one key
-    stay spread over the tasks they were read in.
+    A lookup found to be small is broadcast. A larger one is joined by one shuffle in which hot keys are salted: there
+    are fewer than 1 / HOT_SHARE of them by definition, so marking them is a bounded broadcast, and only their lookup
+    rows are repeated for every salt. Rows with a missing key match nothing and are dealt out the same way. The facts are
+    read twice, once for the counts.
     """
     on = list(on)
     if is_small(lookup, max_rows):
         return facts.join(F.broadcast(lookup), on, "left")
+    missing = reduce(or_, [F.col(c).isNull() for c in on])
     counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).scalar()
-    hot = F.broadcast(counts.filter(F.col("_n") > total * HOT_SHARE).select(*on))
-    hot_part = facts.join(hot, on, "left_semi").join(F.broadcast(lookup.join(hot, on, "left_semi")), on, "left")
-    return hot_part.unionByName(facts.join(hot, on, "left_anti").join(lookup, on, "left"))
+    counts = written(counts.filter(~missing).filter(F.col("_n") > 1))
+    total = facts.count()
+    hot = F.broadcast(counts.filter(F.col("_n") > total * HOT_SHARE).select(*on, F.lit(True).alias("_hot")))
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salted = facts.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot") | missing, deal).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    parts = lookup.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return salted.join(parts, [*on, "_salt"], "left").drop("_salt")
 
 
 def keep_last(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -45,8 +55,9 @@ def keep_last(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str])
 def outer_master(tables: Mapping[str, DataFrame], key: str = "customer_id") -> DataFrame:
     """Full outer join of many tables on one key.
 
-    All joins share the key, so each table is shuffled once and the chain runs on one partitioning. A column name
-    found in several tables is prefixed by the table name.
+    The keys of all tables, once each, are the spine; the tables are joined to it one after the other on its partitioning,
+    so each table is shuffled once. Rows without a key match nothing and follow behind. A column name found in several
+    tables is prefixed by the table name.
     """
     names = [c for t in tables.values() for c in t.columns if c != key]
     clashing = {c for c in names if names.count(c) > 1}
@@ -54,7 +65,10 @@ def outer_master(tables: Mapping[str, DataFrame], key: str = "customer_id") -> D
         t.select(key, *[F.col(c).alias(f"{name}_{c}" if c in clashing else c) for c in t.columns if c != key])
         for name, t in tables.items()
     ]
-    return reduce(lambda left, right: left.join(right, key, "full_outer"), renamed)
+    spine = union_keys(renamed, key).filter(F.col(key).isNotNull())
+    whole = reduce(lambda left, right: left.join(right.filter(F.col(key).isNotNull()), key, "left"), renamed, spine)
+    lost = [t.filter(F.col(key).isNull()) for t in renamed]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lost, whole)
 
 
 def inner_fanout(base: DataFrame, tables: Mapping[str, DataFrame], key: str = "customer_id") -> dict[str, DataFrame]:
@@ -108,14 +122,14 @@ def consolidate_transactions(
     )
     types = {f.name: f.dataType for f in transactions.schema}
     columns = [*attributes, category]
+    names = [f"_v{i}" for i in range(len(columns))]
     entries = []
-    for i, c in enumerate(columns):
-        number, text, last = isinstance(types[c], T.NumericType), F.lit(None).cast("string"), c == category
+    for i, c in enumerate(columns):  # every column keeps a field of its own type, so no value is rounded
+        last = c == category
         entries.append(
             F.struct(
                 F.lit(i).alias("at"),
-                (F.col(c) if number else F.lit(None)).cast("double").alias("number"),
-                (text if number else F.col(c).cast("string")).alias("text"),
+                *[(F.col(c) if n == i else F.lit(None)).cast(types[other]).alias(names[n]) for n, other in enumerate(columns)],
                 (F.col("_trans") if last else F.lit(None)).cast("bigint").alias("trans"),
                 (F.col("_amt") if last else F.lit(None)).cast("double").alias("amt"),
             )
@@ -123,15 +137,16 @@ def consolidate_transactions(
     at = F.col("at")
     values = (
         reduced.select(key, "_rows", F.explode(F.array(*entries)).alias("_e")).select(key, "_rows", "_e.*")
-        .groupBy(key, "at", "number", "text")
+        .groupBy(key, "at", *names)
         .agg(F.sum("_rows").alias("n"), F.sum("trans").alias("trans"), F.sum("amt").alias("amt"))
     )
-    known = F.col("number").isNotNull() | F.col("text").isNotNull()
-    order = F.struct((-F.col("n")).alias("n"), "number", "text")
-    picks = [F.min(F.when((at == i) & known, order)).alias(f"_m{i}") for i in range(len(attributes))]
+    picks = [
+        F.min(F.when((at == i) & F.col(names[i]).isNotNull(), F.struct((-F.col("n")).alias("n"), F.col(names[i]).alias("v")))).alias(f"_m{i}")
+        for i in range(len(attributes))
+    ]
     measures = []
     for prefix, categories in groups.items():
-        inside = (at == len(attributes)) & F.coalesce("text", F.col("number").cast("string")).isin(list(categories))
+        inside = (at == len(attributes)) & F.col(names[-1]).cast("string").isin(list(categories))
         measures += [
             F.coalesce(F.sum(F.when(inside, F.col("amt"))), F.lit(0.0)).alias(f"{prefix}_amt"),
             F.coalesce(F.sum(F.when(inside, F.col("trans"))), F.lit(0)).alias(f"{prefix}_trans"),
@@ -140,10 +155,7 @@ def consolidate_transactions(
         F.coalesce(F.sum("amt"), F.lit(0.0)).alias("total_amt"),
         F.coalesce(F.sum("trans"), F.lit(0)).alias("total_trans"),
     ]
-    modes = [
-        F.col(f"_m{i}.{'number' if isinstance(types[c], T.NumericType) else 'text'}").cast(types[c]).alias(c)
-        for i, c in enumerate(attributes)
-    ]
+    modes = [F.col(f"_m{i}.v").alias(c) for i, c in enumerate(attributes)]
     return values.groupBy(key).agg(*picks, *measures).select(
         key, *modes, *[f"{p}_{m}" for p in [*groups, "total"] for m in ("amt", "trans")]
     )

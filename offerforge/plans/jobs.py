@@ -263,11 +263,11 @@ class Recommended:
 
 def recommend_multiclass(
     features: DataFrame, snapshot: DataFrame, target: str, name: str, k: int = 3, backend: str = "forest",
-    trees: int = 20,
+    trees: int = 20, subset: str = "auto",
 ) -> Recommended:
     """Trains on four fifths of the customers and gives the others their k best classes as ``name``."""
     train, test = key_split(features, KEY)
-    model = train_multiclass(train, target, KEY, backend=backend, trees=trees)
+    model = train_multiclass(train, target, KEY, backend=backend, trees=trees, subset=subset)
     scored = model.score(test).select(
         KEY, F.col(target).alias("_actual"), F.get(F.array(*[F.lit(v) for v in model.labels]),
                                                   top_index(F.col("probability")).cast("int")).alias("_predicted"),

@@ -26,10 +26,28 @@ def csv_round_trip(spark, sf_dir):
     return src.read_csv_table(spark, path, customer.schema)
 
 
-@query("csv_inferred_types", "SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
+@query(
+    "csv_text_round_trip",
+    "SELECT * FROM documents UNION ALL SELECT doc_id, '  \"' || replace(text, ' ', chr(13) || chr(10) || chr(92) || 'n, ') || '\"\" ' "
+    "|| chr(92), CASE WHEN doc_id % 2 = 0 THEN '' END, source, n_chars FROM documents",
+)
+def csv_text_round_trip(spark, sf_dir):
+    """Texts as they are and with line breaks, quotes, backslashes, commas and outer blanks; empty and missing ones."""
+    docs = table(spark, sf_dir, "documents")
+    hard = F.concat(F.lit('  "'), F.replace("text", F.lit(" "), F.lit("\r\n\\n, ")), F.lit('"" \\'))
+    both = docs.unionByName(docs.withColumns({"text": hard, "lang": F.when(F.col("doc_id") % 2 == 0, F.lit(""))}))
+    path = scratch_path(spark, "csv_text_round_trip")
+    src.write_csv_table(both, path)
+    return src.read_written_csv(spark, path, both.schema)
+
+
+@query(
+    "csv_inferred_types",
+    "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part",
+)
 def csv_inferred_types(spark, sf_dir):
     path = scratch_path(spark, "csv_inferred_types")
-    src.write_csv_table(table(spark, sf_dir, "part").drop("p_type"), path)
+    src.write_csv_table(table(spark, sf_dir, "part"), path)
     return src.read_csv_table(spark, path)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerforge.operators import model, recommend
-from offerforge.operators.lookups import with_branch_distance, with_near_branch  # noqa: F401
 from offerforge.operators.profile import value_frequency
 from offerforge.plans import fixtures as fx
 from offerforge.plans import jobs
@@ -50,12 +49,12 @@ def train_multiclass(spark, sf_dir):
 
 @query("train_multiclass_boosted")
 def train_multiclass_boosted(spark, sf_dir):
-    """Order priorities from boosted trees, one per class."""
+    """Order status from boosted trees, one model per class, with the library's depth and rounds."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.month("o_orderdate").alias("month"), F.year("o_orderdate").alias("year")
     )
     train, test = model.key_split(orders, "o_orderkey")
-    trained = model.train_multiclass(train, "o_orderstatus", "o_orderkey", backend="boosted", depth=4, rounds=3)
+    trained = model.train_multiclass(train, "o_orderstatus", "o_orderkey", backend="boosted")
     offers = trained.score(test).select(
         "o_orderkey", recommend.top_offers(F.col("probability"), trained.labels, 3).alias("offers")
     )
@@ -67,15 +66,84 @@ def document_answers(spark, sf_dir) -> DataFrame:
         "doc_id", "n_chars", F.size(F.split("text", r"\s+")).alias("words"), F.size(F.split("text", "\n")).alias("lines")
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "yes").otherwise("no").alias("good"))
-    return documents.join(labels, "doc_id")
+    return documents.join(labels, "doc_id", "left")
 
 
 @query("train_binary")
 def train_binary(spark, sf_dir):
-    """Test documents with the score of a good label."""
-    train, test = model.key_split(document_answers(spark, sf_dir), "doc_id")
+    """Every document with the score of a good label, learnt from the labelled ones."""
+    documents = document_answers(spark, sf_dir)
+    train, _ = model.key_split(documents.filter(F.col("good").isNotNull()), "doc_id")
     trained = model.train_binary(train, "good", "doc_id")
-    return trained.score(test).select("doc_id", F.get("probability", F.lit(1)).alias("score"))
+    return trained.score(documents).select("doc_id", F.get("probability", F.lit(1)).alias("score"))
+
+
+def quarter_orders(spark, sf_dir) -> DataFrame:
+    """Orders by their month, which tells the quarter and the half of the year, with two columns that tell nothing."""
+    month = F.month("o_orderdate")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", month.alias("month"), F.lit(1.0).alias("one"), F.lit(7).alias("seven"),
+        F.concat(F.lit("q"), F.quarter("o_orderdate").cast("string")).alias("quarter"),
+        F.when(month <= 6, "yes").otherwise("no").alias("early"),
+    )
+
+
+_TEST_ORDERS = "FROM orders WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 20"
+_QUARTER = "'q' || CAST(quarter(o_orderdate) AS VARCHAR)"
+
+
+def _quarter_answers(spark, sf_dir, **options) -> DataFrame:
+    train, test = model.key_split(quarter_orders(spark, sf_dir), "o_orderkey")
+    trained = model.train_multiclass(train, "quarter", "o_orderkey", **options)
+    p = F.col("probability")
+    top = recommend.top_offers(p, trained.labels, 3)
+    scores = F.transform(top, lambda o: o["score"])
+    return trained.score(test).select(
+        "o_orderkey", top[0]["label"].alias("best"), F.size(top).cast("bigint").alias("n_offers"), F.round(top[0]["score"], 9).alias("score"),
+        (F.sort_array(scores, asc=False) == scores).alias("descending"),
+        (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("whole"),
+    )
+
+
+@query(
+    "known_multiclass_forest",
+    f"SELECT o_orderkey, {_QUARTER} AS best, CAST(3 AS BIGINT) AS n_offers, CAST(1 AS DOUBLE) AS score, true AS descending, "
+    f"true AS whole {_TEST_ORDERS}",
+)
+def known_multiclass_forest(spark, sf_dir):
+    """A forest learns exactly what one feature tells."""
+    return _quarter_answers(spark, sf_dir, subset="all")
+
+
+@query(
+    "known_multiclass_boosted",
+    f"SELECT o_orderkey, {_QUARTER} AS best, CAST(3 AS BIGINT) AS n_offers, true AS descending, true AS whole {_TEST_ORDERS}",
+)
+def known_multiclass_boosted(spark, sf_dir):
+    """Boosted trees, one model per class, pick the class that one feature tells."""
+    return _quarter_answers(spark, sf_dir, backend="boosted").drop("score")
+
+
+@query(
+    "known_binary",
+    f"SELECT o_orderkey, CASE WHEN month(o_orderdate) <= 6 THEN 'early bird' END AS offer {_TEST_ORDERS}",
+)
+def known_binary(spark, sf_dir):
+    """The offer goes to exactly the rows whose answer is yes."""
+    train, test = model.key_split(quarter_orders(spark, sf_dir).drop("quarter"), "o_orderkey")
+    trained = model.train_binary(train, "early", "o_orderkey")
+    offers = recommend.threshold_offer(F.get("probability", F.lit(1)), "early bird", 0.4)
+    return trained.score(test).select("o_orderkey", F.explode_outer(offers).alias("offer", "score")).drop("score")
+
+
+@query(
+    "known_importance",
+    "SELECT * FROM (VALUES ('month', CAST(1 AS DOUBLE)), ('one', CAST(0 AS DOUBLE)), ('seven', CAST(0 AS DOUBLE))) t(feature, importance)",
+)
+def known_importance(spark, sf_dir):
+    """All importance is with the one feature that tells something."""
+    orders = quarter_orders(spark, sf_dir).drop("early")
+    return model.train_multiclass(orders, "quarter", "o_orderkey").importance()
 
 
 @query("feature_importance")
@@ -97,13 +165,14 @@ def card_customers(spark, sf_dir) -> DataFrame:
 
 
 def _account_target(job: str):
-    """Target column of a job, from the number of orders and the highest price."""
+    """Target column of a job, from the occupation or marital status, which become features: a model can learn it exactly."""
+    length, initial = F.length("occupation"), F.ascii(F.lower("marital_status"))
     return {
-        "current_account": lambda: F.when(F.col("n_orders") > 10, "Yes").otherwise("No").alias("current_acc_avl"),
-        "term_deposit": lambda: F.when(F.col("top_price") > 350000, "Yes").otherwise("No").alias("term_dep_avl"),
-        "funds": lambda: fx.pick(F.col("n_orders"), FUNDS).alias("fund_type"),
-        "savings_account": lambda: fx.pick(F.col("n_orders"), TIERS).alias("savings_account_avl"),
-        "insurance_cross_sell": lambda: fx.pick(F.col("n_orders"), INSURANCES).alias("insurance"),
+        "current_account": lambda: F.when(length == 9, "Yes").otherwise("No").alias("current_acc_avl"),
+        "term_deposit": lambda: F.when(F.col("marital_status") == "Married", "Yes").otherwise("No").alias("term_dep_avl"),
+        "funds": lambda: fx.pick(length, FUNDS).alias("fund_type"),
+        "savings_account": lambda: fx.pick(length, TIERS).alias("savings_account_avl"),
+        "insurance_cross_sell": lambda: fx.pick(initial, INSURANCES).alias("insurance"),
     }[job]()
 
 
@@ -116,7 +185,7 @@ def account_customers(spark, sf_dir, job: str) -> DataFrame:
 
 
 def loan_customers(spark, sf_dir, target: str) -> DataFrame:
-    loan = fx.pick(F.col("n_orders"), LOANS).alias(target)
+    loan = fx.pick(F.ascii(F.lower("property_area")), LOANS).alias(target)
     return fx.customers(spark, sf_dir).select(
         "customer_id", "gender", "marital_status", "property_area", "dob", "customer_to_bank", "address",
         (F.col("income") * 100).alias("applicant_income"),
@@ -184,18 +253,27 @@ def _account_sql(target: str, spread: tuple[str, ...], kept: tuple[str, ...] = (
     return with_sql("customers cities", f"SELECT {columns} FROM enriched", derived=_DERIVED, **_TIERED)
 
 
-def _pick(values) -> str:
-    return fx._pick_sql("n_orders", tuple(v.lower() for v in values))
+def _pick(number: str, values) -> str:
+    return fx._pick_sql(number, tuple(v.lower() for v in values))
 
 
+_TARGET_SQL = {
+    "current_account": "CASE WHEN length(occupation) = 9 THEN 'yes' ELSE 'no' END",
+    "term_deposit": "CASE WHEN marital_status = 'married' THEN 'yes' ELSE 'no' END",
+    "funds": _pick("length(occupation)", FUNDS),
+    "savings_account": _pick("length(occupation)", TIERS),
+    "insurance_cross_sell": _pick("ascii(marital_status)", INSURANCES),
+    "loan_cross_sell": _pick("ascii(property_area)", LOANS),
+    "loan_up_sell": _pick("ascii(property_area)", LOANS),
+}
 _ACCOUNT_SQL = {
     "current_account": _account_sql(
-        "CASE WHEN n_orders > 10 THEN 'yes' ELSE 'no' END AS current_acc_avl", ("occupation", "city_grp", "property_area")),
-    "term_deposit": _account_sql(
-        "CASE WHEN top_price > 350000 THEN 'yes' ELSE 'no' END AS term_dep_avl", ("occupation", "city_grp")),
-    "funds": _account_sql(f"{_pick(FUNDS)} AS fund_type", ("occupation", "city_grp")),
-    "savings_account": _account_sql(f"{_pick(TIERS)} AS savings_account_avl", ("occupation", "city_grp")),
-    "insurance_cross_sell": _account_sql(f"{_pick(INSURANCES)} AS insurance", ("branch_group",), ("occupation", "city_grp")),
+        f"{_TARGET_SQL['current_account']} AS current_acc_avl", ("occupation", "city_grp", "property_area")),
+    "term_deposit": _account_sql(f"{_TARGET_SQL['term_deposit']} AS term_dep_avl", ("occupation", "city_grp")),
+    "funds": _account_sql(f"{_TARGET_SQL['funds']} AS fund_type", ("occupation", "city_grp")),
+    "savings_account": _account_sql(f"{_TARGET_SQL['savings_account']} AS savings_account_avl", ("occupation", "city_grp")),
+    "insurance_cross_sell": _account_sql(
+        f"{_TARGET_SQL['insurance_cross_sell']} AS insurance", ("branch_group",), ("occupation", "city_grp")),
 }
 
 
@@ -323,7 +401,7 @@ def _loan_sql(target: str) -> str:
     derived = (
         f"SELECT lower(customer_id) AS customer_id, lower(marital_status) AS marital_status, {age_sql('dob')} AS age, "
         f"{tenure_sql('customer_to_bank')} AS customer_since_months, {_SEGMENT}, lower(property_area) AS property_area, "
-        f"income * 100 AS applicant_income, number % 3 AS coapplicant_income, top_price AS loan_amt, {_pick(LOANS)} AS {target}, "
+        f"income * 100 AS applicant_income, number % 3 AS coapplicant_income, top_price AS loan_amt, {_TARGET_SQL['loan_up_sell']} AS {target}, "
         "customer_id AS raw_id FROM customers"
     )
     return with_sql(
@@ -528,36 +606,61 @@ def job_card_up_sell_offers(spark, sf_dir):
     return recommend.explode_offers(offers, "top_reco", "customer_id", "age", "city_grp")
 
 
-def _register_multiclass(job: str, target: str, name: str, load) -> None:
-    @query(f"job_{job}_offers")
+_IN_TEST = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 20"
+
+
+def _answers(done: jobs.Recommended, name: str) -> DataFrame:
+    """The best offer of each test customer and what must hold of all of them: how many, their order, their sum."""
+    offers = F.col(name)
+    scores = F.transform(offers, lambda o: o["score"])
+    return done.offers.select(
+        "customer_id", "age", offers[0]["label"].alias("best"), F.round(offers[0]["score"], 9).alias("best_score"),
+        F.size(offers).cast("bigint").alias("n_offers"), (F.sort_array(scores, asc=False) == scores).alias("descending"),
+        (F.abs(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("whole"),
+    )
+
+
+def _register_multiclass(job: str, target: str, name: str, load, labels: int) -> None:
+    sql = with_sql(
+        "customers", f"SELECT customer_id, age, {_TARGET_SQL[job]} AS best, CAST(1 AS DOUBLE) AS best_score, "
+        f"CAST({labels} AS BIGINT) AS n_offers, true AS descending, true AS whole FROM derived "
+        f"WHERE {_IN_TEST.format(key='customer_id')}", derived=_DERIVED)
+
+    @query(f"job_{job}_offers", sql)
     def offers(spark, sf_dir):
         done = load(spark, sf_dir, job)
-        return _ranked(jobs.recommend_multiclass(done.features, done.snapshot, target, name), name)
+        return _answers(jobs.recommend_multiclass(done.features, done.snapshot, target, name, subset="all"), name)
 
 
-_register_multiclass("funds", "fund_type", "fund_top3_reco", preprocessed_account)
-_register_multiclass("savings_account", "savings_account_avl", "savings_top3_reco", preprocessed_account)
-_register_multiclass("insurance_cross_sell", "insurance", "insurance_cross_sell_top3_reco", preprocessed_account)
-_register_multiclass("loan_cross_sell", "loan_availed", "loan_cross_sell_top3_reco", preprocessed_loan)
-_register_multiclass("loan_up_sell", "loan_availed2", "loan_upsell_top3_reco", preprocessed_loan)
+_register_multiclass("funds", "fund_type", "fund_top3_reco", preprocessed_account, 3)
+_register_multiclass("savings_account", "savings_account_avl", "savings_top3_reco", preprocessed_account, 3)
+_register_multiclass("insurance_cross_sell", "insurance", "insurance_cross_sell_top3_reco", preprocessed_account, 2)
+_register_multiclass("loan_cross_sell", "loan_availed", "loan_cross_sell_top3_reco", preprocessed_loan, 3)
+_register_multiclass("loan_up_sell", "loan_availed2", "loan_upsell_top3_reco", preprocessed_loan, 3)
 
 
 def _register_binary(job: str, target: str, product: str, name: str) -> None:
-    @query(f"job_{job}_offers")
+    sql = with_sql(
+        "customers", f"SELECT customer_id, age, CASE WHEN {_TARGET_SQL[job]} = 'yes' THEN '{product}' END AS offer, "
+        f"CASE WHEN {_TARGET_SQL[job]} = 'yes' THEN true END AS sure FROM derived WHERE {_IN_TEST.format(key='customer_id')}",
+        derived=_DERIVED)
+
+    @query(f"job_{job}_offers", sql)
     def offers(spark, sf_dir):
         done = preprocessed_account(spark, sf_dir, job)
         result = jobs.recommend_binary(done.features, done.snapshot, target, product, name)
-        return result.offers.select("customer_id", "age", F.explode_outer(name).alias("offer", "score"))
+        found = result.offers.select("customer_id", "age", F.explode_outer(name).alias("offer", "score"))
+        return found.select("customer_id", "age", "offer", (F.col("score") > 0.5).alias("sure"))
 
 
 _register_binary("current_account", "current_acc_avl", "current_account", "currentaccount_reco")
 _register_binary("term_deposit", "term_dep_avl", "term_deposit", "termdep_reco")
 
 
-@query("job_funds_accuracy")
+@query("job_funds_accuracy", "SELECT CAST(100 AS DOUBLE) AS accuracy")
 def job_funds_accuracy(spark, sf_dir):
     done = preprocessed_account(spark, sf_dir, "funds")
-    return jobs.recommend_multiclass(done.features, done.snapshot, "fund_type", "fund_top3_reco").accuracy
+    return jobs.recommend_multiclass(done.features, done.snapshot, "fund_type", "fund_top3_reco", subset="all").accuracy
 
 
 @query("job_insurance_up_sell_offers")

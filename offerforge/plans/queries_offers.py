@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from offerforge.functions.dates import with_age, years_since
@@ -14,6 +15,7 @@ from offerforge.plans.jobs import consolidate_card, recommend_card_up_sell
 from offerforge.plans.queries_features import MONTHS, _ROW_STATS, monthly_orders
 from offerforge.plans.queries_relational import consolidation_steps
 from offerforge.plans.registry import query, table
+from offerforge.session import written
 from offerforge.sources.rules import CATALOGUES, catalogue_rules, rule_rows
 
 # --- card ladder --------------------------------------------------------------------------------------------------
@@ -285,7 +287,66 @@ def rule_unknown_kind(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_acctbal", F.array(F.lit("odd"), F.lit("plain")).alias("names")
     )
-    return eligibility.with_final_offer(customers, "names", rules, "final", "c_custkey").select("c_custkey", "final")
+    return eligibility.with_final_offer(customers, "names", rules, "final").select("c_custkey", "final")
+
+
+_BRANDS = (
+    "SELECT p_brand || ' ' || p_type AS product, avg(p_retailprice) AS price, count(*) AS parts, min(p_size) AS size "
+    "FROM part GROUP BY p_brand, p_type"
+)
+_BRAND_RULES_HELD = (
+    "o_totalprice > price * 90 AND (parts % 3 <> 0 OR o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')) "
+    "AND (parts % 2 <> 0 OR o_totalprice > 150000) AND (size > 3 OR year(o_orderdate) % 2 = 0)"
+)
+
+
+@query(
+    "rule_paths_agree",
+    f"WITH b AS ({_BRANDS}), l AS (SELECT *, row_number() OVER (ORDER BY product) - 1 AS r, count(*) OVER () AS n FROM b), "
+    "c AS (SELECT o.*, i, product, price, parts, size FROM orders o, range(0, 3) t(i), l WHERE r = (o_orderkey + i * 7) % n), "
+    f"f AS (SELECT o_orderkey, first(product ORDER BY i) AS product FROM c WHERE {_BRAND_RULES_HELD} GROUP BY o_orderkey) "
+    "SELECT o.o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS customer_id, "
+    "coalesce(f.product, 'no recommendation') AS compiled, coalesce(f.product, 'no recommendation') AS joined "
+    "FROM orders o LEFT JOIN f USING (o_orderkey)",
+)
+def rule_paths_agree(spark, sf_dir):
+    """Both ways to apply one catalogue, over repeated and missing keys and number, text, boolean and date attributes. It has
+    up to six rules for every brand and type, an open range of a date among them, which always holds."""
+    brands = table(spark, sf_dir, "part").groupBy(F.concat_ws(" ", "p_brand", "p_type").alias("product")).agg(
+        F.avg("p_retailprice").alias("price"), F.count("*").alias("parts"), F.min("p_size").alias("size")
+    )
+    open_, none = F.lit(None).cast("double"), F.lit(None).cast("array<string>")
+
+    def texts(*values):
+        return F.array(*[F.lit(v) for v in values])
+
+    def rule(number, attribute, kind, low=open_, values=none, where=True):
+        parts = {"rule_no": F.lit(number), "attribute": F.lit(attribute), "kind": F.lit(kind), "min": low, "max": open_, "values": values}
+        return F.when(F.lit(where) if where is True else where, F.struct(*[v.alias(n) for n, v in parts.items()]))
+
+    listed = F.array_compact(F.array(
+        rule(0, "o_totalprice", "int", F.col("price") * 90),
+        rule(1, "o_orderpriority", "list", values=texts("1-URGENT", "2-high", "5-Low"), where=F.col("parts") % 3 == 0),
+        rule(2, "is_large", "list", values=texts("true"), where=F.col("parts") % 2 == 0),
+        rule(3, "year_begin", "list", values=texts(*[f"{y}-01-01" for y in range(1990, 2030, 2)]), where=F.col("size") <= 3),
+        rule(4, "year_begin", "non-list"),
+        rule(5, "o_totalprice", "non-list", F.lit(0.0)),
+    ))
+    rules = written(brands.select("product", F.explode(listed).alias("r")).select("product", "r.*"))
+    numbered = brands.select("product", (F.row_number().over(Window.orderBy("product")) - 1).alias("r"))
+    count = numbered.count()
+    orders = table(spark, sf_dir, "orders")
+    places = F.array(*[((F.col("o_orderkey") + 7 * i) % count).cast("int") for i in range(3)])
+    names = orders.select("o_orderkey", F.posexplode(places).alias("i", "r")).join(numbered, "r").groupBy("o_orderkey").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "product"))), lambda x: x["product"]).alias("names"))
+    customers = orders.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("customer_id"), "o_totalprice",
+        "o_orderpriority", (F.col("o_totalprice") > 150000).alias("is_large"),
+        F.trunc("o_orderdate", "year").alias("year_begin"),
+    ).join(names, "o_orderkey")
+    compiled = eligibility.with_final_offer(customers, "names", rules, "compiled", max_compiled_rules=10_000)
+    both = eligibility.with_final_offer(compiled, "names", rules, "joined", max_compiled_rules=0)
+    return both.select("o_orderkey", "customer_id", "compiled", "joined")
 
 
 _JOBS = ("Lawyer", "Doctor", "Business", "Engineer")
@@ -314,7 +375,7 @@ def professionals(spark, sf_dir):
 )
 def occupation_rules(spark, sf_dir):
     rules = catalogue_rules(spark, "occupation")
-    return eligibility.occupation_eligible(professionals(spark, sf_dir), "occupation", rules, key="c_custkey").select(
+    return eligibility.occupation_eligible(professionals(spark, sf_dir), "occupation", rules).select(
         "c_custkey", "occupation", "eligible"
     )
 

@@ -56,6 +56,27 @@ def consolidate_customer(spark, sf_dir):
     return rounded_amounts(consolidate_card(fx.card_transactions(spark, sf_dir)))
 
 
+@query(
+    "consolidate_wide_numbers",
+    "WITH t AS (SELECT o_custkey AS customer_id, 9007199254740993 + o_orderkey % 3 AS account, "
+    "CAST(o_orderkey % 4 AS DECIMAL(30, 12)) + CAST(1000000000000000.000000000001 AS DECIMAL(30, 12)) AS share FROM orders), "
+    "a AS (SELECT customer_id, account, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, account) AS r FROM t GROUP BY customer_id, account), "
+    "s AS (SELECT customer_id, share, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, share) AS r FROM t GROUP BY customer_id, share) "
+    "SELECT a.customer_id, account, CAST(share AS VARCHAR) AS share, n AS total_trans FROM a JOIN s ON a.customer_id = s.customer_id "
+    "JOIN (SELECT customer_id, count(*) AS n FROM t GROUP BY customer_id) c ON a.customer_id = c.customer_id WHERE a.r = 1 AND s.r = 1",
+)
+def consolidate_wide_numbers(spark, sf_dir):
+    """Modes of whole numbers and decimals with more digits than a double holds."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer_id"), (F.lit(9007199254740993) + key % 3).alias("account"),
+        ((key % 4).cast("decimal(30,12)") + F.lit("1000000000000000.000000000001").cast("decimal(30,12)")).cast("decimal(30,12)").alias("share"),
+        "o_orderstatus", "o_totalprice",
+    )
+    found = ops.consolidate_transactions(orders, "customer_id", ["account", "share"], "o_orderstatus", "o_totalprice", {})
+    return found.select("customer_id", "account", F.col("share").cast("string").alias("share"), "total_trans")
+
+
 _AGGREGATES = {
     "order_sums": "SELECT o_custkey AS customer_id, count(*) AS n_rows, round(sum(o_totalprice), 2) AS amount FROM orders "
     "WHERE o_orderstatus = 'F' GROUP BY o_custkey",
@@ -161,6 +182,20 @@ def hot_key_lookup(spark, sf_dir):
     return ops.lookup_join(lines, flags, ["l_returnflag"], max_rows=0)
 
 
+@query(
+    "missing_key_lookup",
+    "WITH k AS (SELECT l_orderkey, l_linenumber, CASE WHEN (l_orderkey + l_linenumber) % 10 = 0 THEN l_suppkey END AS l_suppkey "
+    "FROM lineitem) SELECT l_orderkey, l_linenumber, k.l_suppkey, s_name, s_acctbal FROM k LEFT JOIN supplier ON k.l_suppkey = s_suppkey",
+)
+def missing_key_lookup(spark, sf_dir):
+    """A lookup over the broadcast bound where nine tenths of the rows have no key."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 10 == 0, F.col("l_suppkey")).alias("l_suppkey")
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_acctbal")
+    return ops.lookup_join(lines, suppliers, ["l_suppkey"], max_rows=0)
+
+
 @query(
     "dedup_keep_last",
     "SELECT o_custkey, o_orderkey, o_orderpriority, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey "

@@ -6,9 +6,15 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
-"""Largest row count a side may have to be broadcast; the tables concerned have a handful of narrow columns."""
+"""Largest row count a side may have to be broadcast."""
+BROADCAST_BYTES = 64 << 20
+"""Largest size of such a side, as the length of its rows as JSON."""
+
+_WRITTEN: list[str] = []
+"""Paths in the shared folder that this process has given out."""
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +38,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call gets."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Removes what this process has put under ``scratch_path`` and returns the number of paths.
+
+    For the end of a job: DataFrames that still read these tables can no longer be evaluated.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _WRITTEN:
+        path = hadoop.Path(_WRITTEN.pop())
+        dropped += bool(path.getFileSystem(conf).delete(path, True))
+    return dropped
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -46,9 +67,11 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than one row past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of ``max_bytes`` in all; reads no more than one row past the bound."""
+    size = F.octet_length(F.to_json(F.struct("*"))) if df.columns else F.lit(0)
+    rows, total = df.limit(max_rows + 1).select(size.alias("_size")).agg(F.count("*"), F.sum("_size")).first()
+    return rows <= max_rows and (total or 0) <= max_bytes
 
 
 def local_session(cores: int | str = "*", app: str = "offerforge", shuffle_partitions: int = 8) -> SparkSession:

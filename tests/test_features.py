@@ -101,6 +101,40 @@ def test_population_unknown_city_is_zero_with_and_without_broadcast(spark):
         assert got == {i: 5 if i % 3 else 0 for i in range(30)}
 
 
+def test_lookup_join_spreads_missing_keys(spark):
+    facts = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), "id").repartition(4)
+    lookup = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts, lookup, ["k"], max_rows=10)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) <= 2 * 20_000 / 4 and sum(sizes) == 20_000
+        assert joined.filter("v <> 2 * k OR (v IS NULL) <> (k IS NULL)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
+def test_outer_master_shuffles_each_table_once(spark):
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = {f"t{k}": spark.range(k, 50 + k).select(
+            F.when(F.col("id") > k, F.col("id")).alias("customer_id"), F.col("id").alias("v")) for k in range(5)}
+        master = outer_master(tables)
+        plan = master._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 6
+        want = tables["t0"].withColumnRenamed("v", "t0_v")
+        for name in list(tables)[1:]:
+            want = want.join(tables[name].withColumnRenamed("v", f"{name}_v"), "customer_id", "full_outer")
+        assert sorted(map(str, master.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
 def test_lookup_join_with_hot_and_rare_keys(spark):
     facts = spark.range(6000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("k"), "id")
     lookup = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,5 +176,25 @@ def test_impute_missing_leaves_nothing_open(spark):
 def test_impute_missing_without_comparable_columns(spark):
     df = spark.createDataFrame([(1, 2.0, None), (2, 4.0, None), (3, None, "x")], "customer_id int, a double, t string")
     assert [r[0] for r in values(impute.impute_missing(df, columns=["a"]).orderBy("customer_id"), "a")] == [2.0, 4.0, 3.0]
+    whole = impute.impute_missing(df).orderBy("customer_id")  # the numbers filled first decide about the text
+    assert [r[0] for r in values(whole, "a")] == [2.0, 4.0, 3.0] and {r[0] for r in values(whole, "t")} == {"x"}
+    empty = df.withColumn("a", F.lit(None).cast("double"))
     with pytest.raises(ValueError, match="fill t"):
-        impute.impute_missing(df)
+        impute.impute_missing(empty)
+
+
+def test_nearest_donors_of_ten_coordinates(spark):
+    rng = random.Random(4)
+    d, k = 10, 2
+    donors = [(i, float(i), *[rng.random() for _ in range(d)]) for i in range(400)]
+    queries = [(i, *[rng.random() for _ in range(d)]) for i in range(15)]
+    points = ", ".join(f"_f{i} double" for i in range(d))
+    near = impute.nearest_donors(
+        spark.createDataFrame(queries, f"_q int, {points}"), spark.createDataFrame(donors, f"_key int, _value double, {points}"),
+        d, k, donors_per_cell=1,
+    )
+    want = {
+        (q[0], x[0]) for q in queries
+        for x in sorted(donors, key=lambda x: (sum((a - b) ** 2 for a, b in zip(q[1:], x[2:])), x[0]))[:k]
+    }
+    assert {(r._q, r._key) for r in near.collect()} == want
