@@ -148,9 +148,14 @@ def motor_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _policy_holder(stranger: str) -> Column:
+    """Customer of a policy; where ``stranger`` holds, a number that no customer has."""
+    return F.expr(f"concat('C', CASE WHEN {stranger} THEN k + 1000000000 ELSE k END)").alias("customer_id")
+
+
 def travel_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("o_orderstatus <> 'F'").select(
-        F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
+    return policy_base(spark, sf_dir).select(
+        _policy_holder("o_orderstatus = 'F'"),
         F.col("o_orderpriority").alias("travel_addon"),
         F.col("o_orderstatus").alias("destination"),
         pick(F.col("k"), AGENCIES).alias("agency"),
@@ -161,8 +166,8 @@ def travel_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medical_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("o_orderpriority <> '5-LOW'").select(
-        F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
+    return policy_base(spark, sf_dir).select(
+        _policy_holder("o_orderpriority = '5-LOW'"),
         pick(F.col("ok"), ("Cardiovascular", "Illness", "Mental Health", "Dental")).alias("medical_addon"),
         (18 + F.col("k") % 25).alias("bmi"),
         pick(F.col("n"), ("Yes", "No")).alias("smoker"),
@@ -171,8 +176,8 @@ def medical_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def home_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("o_orderpriority <> '2-HIGH'").select(
-        F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
+    return policy_base(spark, sf_dir).select(
+        _policy_holder("o_orderpriority = '2-HIGH'"),
         pick(F.col("ok"), ("Lock", "Garden", "Key")).alias("addon"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("quote_date"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("cover_start"),
@@ -187,8 +192,8 @@ def home_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policy_base(spark, sf_dir).filter("o_orderpriority <> '1-URGENT'").select(
-        F.concat(F.lit("C"), F.col("k").cast("string")).alias("customer_id"),
+    return policy_base(spark, sf_dir).select(
+        _policy_holder("o_orderpriority = '1-URGENT'"),
         pick(F.col("ok"), ("Fire", "Flood", "Quake")).alias("addon"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("quote_date"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("cover_start"),
@@ -264,26 +269,26 @@ CTES = {
           FROM lineitem GROUP BY l_orderkey) ON ok = l_orderkey
           JOIN part ON pk = p_partkey""",
     "travel_policy": f"""
-        SELECT 'C' || k AS customer_id, o_orderpriority AS travel_addon, o_orderstatus AS destination,
+        SELECT 'C' || CASE WHEN o_orderstatus = 'F' THEN k + 1000000000 ELSE k END AS customer_id, o_orderpriority AS travel_addon, o_orderstatus AS destination,
           {_pick_sql('k', AGENCIES)} AS agency, 'P' || (ok % 16) AS product_name,
           {_pick_sql('ok', ('Online', 'Offline'))} AS channel, o_totalprice AS net_sales, n AS duration
-        FROM policy_base WHERE o_orderstatus <> 'F'""",
+        FROM policy_base""",
     "medical_policy": f"""
-        SELECT 'C' || k AS customer_id,
+        SELECT 'C' || CASE WHEN o_orderpriority = '5-LOW' THEN k + 1000000000 ELSE k END AS customer_id,
           {_pick_sql('ok', ('Cardiovascular', 'Illness', 'Mental Health', 'Dental'))} AS medical_addon,
           18 + k % 25 AS bmi, {_pick_sql('n', ('Yes', 'No'))} AS smoker, o_totalprice AS charges
-        FROM policy_base WHERE o_orderpriority <> '5-LOW'""",
+        FROM policy_base""",
     "home_policy": f"""
-        SELECT 'C' || k AS customer_id, {_pick_sql('ok', ('Lock', 'Garden', 'Key'))} AS addon,
+        SELECT 'C' || CASE WHEN o_orderpriority = '2-HIGH' THEN k + 1000000000 ELSE k END AS customer_id, {_pick_sql('ok', ('Lock', 'Garden', 'Key'))} AS addon,
           {_pick_sql('n', ('Y', 'N'))} AS alarm, o_orderstatus AS roof,
           {_pick_sql('k + ok', ('Brick', 'Wood', 'Stone', 'Mixed'))} AS walls,
           {_pick_sql('ok', ('A', 'B', 'C', 'D', 'E', 'F'))} AS risk_class, o_totalprice AS sum_insured
-        FROM policy_base WHERE o_orderpriority <> '2-HIGH'""",
+        FROM policy_base""",
     "property_policy": f"""
-        SELECT 'C' || k AS customer_id, {_pick_sql('ok', ('Fire', 'Flood', 'Quake'))} AS addon,
+        SELECT 'C' || CASE WHEN o_orderpriority = '1-URGENT' THEN k + 1000000000 ELSE k END AS customer_id, {_pick_sql('ok', ('Fire', 'Flood', 'Quake'))} AS addon,
           {_pick_sql('n', ('Let', 'Owned'))} AS tenure_kind, o_orderstatus AS listing,
           {_pick_sql('k + ok', ('Flat', 'House', 'Villa', 'Farm'))} AS kind, o_totalprice AS rebuild_cost
-        FROM policy_base WHERE o_orderpriority <> '1-URGENT'""",
+        FROM policy_base""",
 }
 
 _NEEDS = {

@@ -543,16 +543,16 @@ def great_circle(spark, sf_dir):
 
 # --- within a row -------------------------------------------------------------------------------------------------
 
-MONTHS = 6
+MONTHS = 12
 
 
 def monthly_orders(spark, sf_dir):
-    """Order totals and counts of twelve months per customer, as two groups of six columns each."""
+    """Order totals and counts of twelve months per customer, as two groups of twelve columns each."""
     month = F.month("o_orderdate")
     measures = []
     for m in range(1, MONTHS + 1):
         measures.append(F.coalesce(F.round(F.sum(F.when(month == m, F.col("o_totalprice"))), 2), F.lit(0.0)).alias(f"amt_{m}"))
-        measures.append(F.count(F.when(month == m + MONTHS, 1)).cast("double").alias(f"cnt_{m}"))
+        measures.append(F.count(F.when(month == m, 1)).cast("double").alias(f"cnt_{m}"))
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(*measures)
 
 
@@ -561,16 +561,16 @@ def _group_sql(prefix: str) -> str:
     mean = f"(({' + '.join(c)}) / {MONTHS})"
     var = "((" + " + ".join(f"pow({x} - {mean}, 2)" for x in c) + f") / {MONTHS})"
     below = " + ".join(f"CASE WHEN {mean} > {x} THEN 1 ELSE 0 END" for x in c)
-    skew = f"CASE WHEN {var} > 0 THEN 3 * ({mean} - ({c[2]} + {c[3]}) / 2) / sqrt({var}) END"
+    skew = f"CASE WHEN {var} > 0 THEN 3 * ({mean} - ({c[MONTHS // 2 - 1]} + {c[MONTHS // 2]}) / 2) / sqrt({var}) END"
     return (
-        f"{mean} AS {prefix}_mean, {var} AS {prefix}_variance, ({c[2]} + {c[3]}) / 2 AS {prefix}_median, "
+        f"{mean} AS {prefix}_mean, {var} AS {prefix}_variance, ({c[MONTHS // 2 - 1]} + {c[MONTHS // 2]}) / 2 AS {prefix}_median, "
         f"{below} AS {prefix}_below, {skew} AS {prefix}_skew, greatest(0.0, {', '.join(c)}) AS {prefix}_peak"
     )
 
 
 _MONTHLY_SQL = "SELECT o_custkey, " + ", ".join(
     f"coalesce(round(sum(CASE WHEN month(o_orderdate) = {m} THEN o_totalprice END), 2), 0) AS amt_{m}, "
-    f"CAST(count(CASE WHEN month(o_orderdate) = {m + MONTHS} THEN 1 END) AS DOUBLE) AS cnt_{m}"
+    f"CAST(count(CASE WHEN month(o_orderdate) = {m} THEN 1 END) AS DOUBLE) AS cnt_{m}"
     for m in range(1, MONTHS + 1)
 ) + " FROM orders GROUP BY o_custkey"
 _ROW_STATS = f"WITH m AS ({_MONTHLY_SQL}), s AS (SELECT o_custkey, {_group_sql('amt')}, {_group_sql('cnt')} FROM m) "

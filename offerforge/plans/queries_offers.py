@@ -387,7 +387,7 @@ def occupation_rules(spark, sf_dir):
     "combine_recommendations",
     with_sql(
         _FIXTURES,
-        "SELECT s.customer_id, t.product AS travel_best, m.product AS motor_best, a.agency AS agency, c.occupation "
+        "SELECT s.customer_id, t.product AS travel_best, m.product AS motor_best, CASE WHEN c.customer_id IS NOT NULL THEN a.agency END AS agency, c.occupation "
         "FROM (SELECT customer_id FROM travel_policy UNION SELECT customer_id FROM motor_policy) s "
         "LEFT JOIN (SELECT customer_id, agency AS product FROM travel_policy) t ON t.customer_id = s.customer_id "
         "LEFT JOIN (SELECT customer_id, auto_make AS product FROM motor_policy) m ON m.customer_id = s.customer_id "
