@@ -30,7 +30,9 @@ LEAST_LEVELS = 4
 BOTH_SIDES = 1.6
 LEAF_POINTS = 48
 #: The wider search: bits that a pair may differ in, the distance for which recall is asked, rows that agree by chance.
-WIDE_RADIUS = 14
+WIDE_RADIUS = 16
+#: Bits that it may differ in over both fingerprints of 64 bits.
+WIDE_TOTAL = 27
 WIDE_DISTANCE = 10
 WIDE_RECALL = 0.95
 ROWS_A_BUCKET = 32
@@ -38,8 +40,8 @@ SIMILARITY = 0.8
 PAIRS_AT_ONCE = 1 << 21
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ``fp`` (long, the 64 bits as they are) of every row.
+def fingerprints(docs: DataFrame, words: int = WORDS, key: str = "doc_id", text: str = "text", second: bool = False) -> DataFrame:
+    """doc_id and ``fp`` (long, the 64 bits as they are) of every row; with ``second`` also ``fp2``, of the mixed hashes.
 
     Bytes A-Z are lower-cased, words end at ASCII white space, shingles are ``words`` words with one blank between,
     repeats included; a text of fewer words is one shingle. A bit is set if it is in over half the shingles' XXH64.
@@ -57,10 +59,18 @@ def fingerprints(docs: DataFrame, words: int = WORDS, key: str = "doc_id", text:
             else:
                 shingles = [b" ".join(found)] if found else []
             hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
-            rows.append({"doc_id": doc, "fp": _majority(hashes)})
+            row = {"doc_id": doc, "fp": _majority(hashes)}
+            rows.append(row | {"fp2": _majority(_mixed(hashes))} if second else row)
         return rows
 
-    return map_rows(texts(docs, key, text, "doc_id"), make, "doc_id long, fp long")
+    return map_rows(texts(docs, key, text, "doc_id"), make, "doc_id long, fp long" + ", fp2 long" * second)
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles, by multiplications and shifts that reach every bit."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        hashes = (hashes ^ (hashes >> np.uint64(shift))) * np.uint64(factor)
+    return hashes ^ (hashes >> np.uint64(31))
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -138,8 +148,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
-def search(points: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked (point, query): a forest of the pairs at ``radius`` or less, equal fingerprints apart."""
+def search(points: np.ndarray, queries: np.ndarray, radius: int, keep=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of linked (point, query): a forest of the pairs at ``radius`` or less, equal fingerprints apart. ``keep``
+    tells from positions which pairs count."""
     rng = np.random.default_rng(SEED)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     work = [(np.arange(len(points)), np.arange(len(queries)))]
@@ -153,8 +164,12 @@ def search(points: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.nda
             for at in range(0, len(p), step):
                 far = np.bitwise_count(points[p[at : at + step], None] ^ queries[None, q])
                 i, j = np.nonzero((far <= radius) & (far > 0))
-                if len(i):
-                    a, b = _forest(p[at + i], len(points) + q[j])
+                a, b = p[at + i], q[j]
+                if keep is not None:
+                    good = keep(a, b)
+                    a, b = a[good], b[good]
+                if len(a):
+                    a, b = _forest(a, len(points) + b)
                     found.append((a, b))
             continue
         vantage, median, far = cut
@@ -227,23 +242,24 @@ def group_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RAD
     return prints.join(reached, "fp", "left").select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, distance: int = WIDE_DISTANCE, recall: float = WIDE_RECALL) -> DataFrame:
-    """Pairs (a, b) of the ``id`` of rows of ``nodes`` (fp, id) at ``radius`` bits or less, too far for shards that balls
-    reach: at such a radius a ball reaches every shard.
+def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, total: int = WIDE_TOTAL, distance: int = WIDE_DISTANCE, recall: float = WIDE_RECALL) -> DataFrame:
+    """Pairs (a, b) of the ``id`` of rows of ``nodes`` (fp, fp2, id) at ``radius`` bits or less, and ``total`` bits or less with
+    the second fingerprint, which keeps chance pairs out. They are too far for shards that balls reach: at such a radius a
+    ball reaches every shard.
 
     A table is a sample of bits, a shard the rows that agree on them; inside a shard vantage-point trees search as above. The
     sampled bits follow the number of rows, so that shards stay small, and the tables follow the bits, so that two
     fingerprints at ``distance`` share a shard with probability ``recall``, nearer ones with a higher one. Of a shard whose
     pairs outnumber its rows a forest is given.
     """
-    total = max(2, nodes.count())
-    bits = max(4, math.ceil(math.log2(total / ROWS_A_BUCKET)))
+    count = max(2, nodes.count())
+    bits = max(4, math.ceil(math.log2(count / ROWS_A_BUCKET)))
     tables = math.ceil(math.log(1 - recall) / math.log(1 - (1 - distance / 64) ** bits))
     rng = np.random.default_rng(SEED)
     masks = [sum(1 << int(b) for b in rng.permutation(64)[:bits]) for _ in range(tables)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(*[F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)])
-    rows = nodes.select("fp", "id", F.explode(keys).alias("k")).select("k.table", "k.key", "fp", "id")
+    rows = nodes.select("fp", "fp2", "id", F.explode(keys).alias("k")).select("k.table", "k.key", "fp", "fp2", "id")
 
     def look(batches):
         held = None
@@ -259,8 +275,9 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, distance: int = WIDE
             found = []
             for low, high in zip(starts, starts[1:], strict=False):
                 if high - low > 1:
-                    fps, ids = held[2][low:high].view("<u8"), held[3][low:high]
-                    a, b = search(fps, fps, radius)
+                    fps, more, ids = held[2][low:high].view("<u8"), held[3][low:high].view("<u8"), held[4][low:high]
+                    a, b = search(fps, fps, radius, lambda a, b, f=fps, m=more: (
+                        np.bitwise_count(f[a] ^ f[b]) + np.bitwise_count(m[a] ^ m[b]) <= total))
                     b = b - len(fps) * (b >= len(fps))
                     a = a - len(fps) * (a >= len(fps))
                     found.append(np.unique(np.sort(np.stack([ids[a], ids[b]], axis=1), axis=1), axis=0))
@@ -275,11 +292,11 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, distance: int = WIDE
 
 
 def shingle_set(text: Column, words: int) -> Column:
-    """Distinct hashes of all runs of ``words`` lower-cased words; of a shorter text its words as one run."""
+    """Distinct 32-bit hashes of all runs of ``words`` lower-cased words; of a shorter text its words as one run."""
     found = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     return F.transform(F.array(found), lambda w: F.array_distinct(F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(w) - words, F.lit(0))),
-        lambda k: F.xxhash64(*[F.get(w, k + n) for n in range(words)]))))[0]
+        lambda k: F.hash(*[F.get(w, k + n) for n in range(words)]))))[0]
 
 
 def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -288,27 +305,28 @@ def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: flo
     asked = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"))
     asked = F.broadcast(asked) if is_small(asked) else asked
     sets = docs.join(asked, "doc_id", "left_semi").select("doc_id", shingle_set(F.col("text"), words).alias("set"))
-    sets = written(sets.dropDuplicates(["doc_id"]))
+    sets = written(sets)
     left, right = (sets.select(F.col("doc_id").alias(k), F.col("set").alias(f"set_{k}")) for k in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b").distinct()
 
 
 def group_similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id and component_id, for near copies of a Jaccard index of at least ``similarity``.
 
     Fingerprints within ``RADIUS`` are linked as they are. Of each group so found the smallest key goes on; pairs of these
-    within ``WIDE_RADIUS`` are linked if their shingle sets are similar enough. Nulls, repeated and empty rows as in
+    within ``WIDE_RADIUS`` and ``WIDE_TOTAL`` are linked if their shingle sets are similar enough. Nulls, repeated and empty rows as in
     ``group_near_duplicates``.
     """
     rows = texts(docs, key, text, "doc_id")
-    prints = written(fingerprints(docs, words, key, text))
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")).where("id IS NOT NULL"))
+    prints = written(fingerprints(docs, words, key, text, second=True))
+    nodes = prints.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "fp2"))).alias("m"))
+    nodes = written(nodes.where("m IS NOT NULL").select("fp", F.col("m.fp2").alias("fp2"), F.col("m.doc_id").alias("id")))
     close = written(links(nodes, RADIUS))
     joined = components(close)
     later = joined.where("node != component").select(F.col("node").alias("id"))
-    pairs = written(wide_pairs(written(nodes.join(later, "id", "left_anti").select("fp", "id"))))
+    pairs = written(wide_pairs(written(nodes.join(later, "id", "left_anti").select("fp", "fp2", "id"))))
     joined = components(close.union(similar_links(rows, pairs, words, similarity)))
     reached = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fp", F.coalesce("component", "id").alias("component"))
     return prints.join(reached, "fp", "left").select("doc_id", F.col("component").alias("component_id"))

@@ -136,15 +136,19 @@ def test_wide_pairs_carry_groups_over_batches(spark):
     near = base[:200].copy()
     for _ in range(8):
         near ^= np.uint64(1) << rng.integers(0, 62, 200).astype(np.uint64)
-    fps = np.concatenate([base, near])
-    frame = spark.createDataFrame([(int(f), k) for k, f in enumerate(fps.view("<i8"))], "fp long, id long")
+    fps, more = np.concatenate([base, near]), rng.integers(0, 2**63, 300, dtype=np.uint64)
+    more = np.concatenate([more, more[:200]])
+    columns = zip(fps.view("<i8").tolist(), more.view("<i8").tolist(), range(500), strict=True)
+    frame = spark.createDataFrame(list(columns), "fp long, fp2 long, id long")
     size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
         got = {(r.a, r.b) for r in simhash.wide_pairs(frame).collect()}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-    want = {(i, j) for i in range(500) for j in range(i + 1, 500) if int(fps[i] ^ fps[j]).bit_count() <= simhash.WIDE_RADIUS}
+    want = {(i, j) for i in range(500) for j in range(i + 1, 500) 
+            if int(fps[i] ^ fps[j]).bit_count() <= simhash.WIDE_RADIUS
+            and int(fps[i] ^ fps[j]).bit_count() + int(more[i] ^ more[j]).bit_count() <= simhash.WIDE_TOTAL}
     assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= 200
 
 
