@@ -337,7 +337,8 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, ke
     ids = group_similar(docs, words, similarity, key, text).where("doc_id = component_id")
     ids = written(ids.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")))
     rows, names = set_aside(docs)
-    found = rows.join(ids, F.col(names[key]) == F.col("_kept"))
+    # the keys kept grow with the documents, so they are never broadcast
+    found = rows.join(ids.hint("merge"), F.col(names[key]) == F.col("_kept"))
     once = found.where("_rows = 1").select(*names.values())
     again = found.where("_rows > 1").select(*names.values()).dropDuplicates([names[key]])
     return once.unionByName(again).unionByName(rows.where(F.col(names[key]).isNull())).select(*put_back(names))
