@@ -149,8 +149,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def search(points: np.ndarray, queries: np.ndarray, radius: int, keep=None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of linked (point, query): a forest of the pairs at ``radius`` or less, equal fingerprints apart. ``keep``
-    tells from positions which pairs count."""
+    """Positions of linked (point, query): a forest of the pairs at ``radius`` or less, equal fingerprints apart. With
+    ``keep``, which tells from positions the pairs that count, all these pairs: they are still to be tested, so none may
+    stand for another."""
     rng = np.random.default_rng(SEED)
     found: list[tuple[np.ndarray, np.ndarray]] = []
     work = [(np.arange(len(points)), np.arange(len(queries)))]
@@ -169,8 +170,7 @@ def search(points: np.ndarray, queries: np.ndarray, radius: int, keep=None) -> t
                     good = keep(a, b)
                     a, b = a[good], b[good]
                 if len(a):
-                    a, b = _forest(a, len(points) + b)
-                    found.append((a, b))
+                    found.append(_forest(a, len(points) + b) if keep is None else (a, len(points) + b))
             continue
         vantage, median, far = cut
         seen = np.bitwise_count(queries[q] ^ vantage).astype(int)
@@ -249,8 +249,8 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, total: int = WIDE_TO
 
     A table is a sample of bits, a shard the rows that agree on them; inside a shard vantage-point trees search as above. The
     sampled bits follow the number of rows, so that shards stay small, and the tables follow the bits, so that two
-    fingerprints at ``distance`` share a shard with probability ``recall``, nearer ones with a higher one. Of a shard whose
-    pairs outnumber its rows a forest is given.
+    fingerprints at ``distance`` share a shard with probability ``recall``, nearer ones with a higher one. All pairs of a
+    shard are given, as no pair says anything of another before the texts are compared.
     """
     count = max(2, nodes.count())
     bits = max(4, math.ceil(math.log2(count / ROWS_A_BUCKET)))

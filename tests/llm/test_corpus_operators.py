@@ -152,6 +152,13 @@ def test_wide_pairs_carry_groups_over_batches(spark):
     assert got <= want and len(got) >= 0.9 * len(want) and len(want) >= 200
 
 
+def test_wide_pairs_of_a_dense_group_are_all_given(spark):
+    rows = [((1 << k) ^ 0x1234567, 1 << (k + 20), 100 - k) for k in range(12)]  # any two are 4 bits apart
+    frame = spark.createDataFrame(rows, "fp long, fp2 long, id long")
+    ids = sorted(r[2] for r in rows)
+    assert {(r.a, r.b) for r in simhash.wide_pairs(frame, recall=0.9999).collect()} == set(combinations(ids, 2))
+
+
 def test_simhash_null_keys_and_repeated_rows(spark):
     docs = [(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (7, "a b c d"), (None, "quite another text"), (9, "q w e r t")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
