@@ -13,12 +13,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerforge.llm import jaccard
 from offerforge.llm.components import components
 from offerforge.llm.frames import map_rows, put_back, set_aside, texts
-from offerforge.session import is_small, written
+from offerforge.session import written
 
 SEED = 42
 WORDS = 3
@@ -250,7 +251,8 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, total: int = WIDE_TO
     A table is a sample of bits, a shard the rows that agree on them; inside a shard vantage-point trees search as above. The
     sampled bits follow the number of rows, so that shards stay small, and the tables follow the bits, so that two
     fingerprints at ``distance`` share a shard with probability ``recall``, nearer ones with a higher one. All pairs of a
-    shard are given, as no pair says anything of another before the texts are compared.
+    shard are given, as no pair says anything of another before the texts are compared. It may miss pairs; ``group_similar``
+    does not use it.
     """
     count = max(2, nodes.count())
     bits = max(4, math.ceil(math.log2(count / ROWS_A_BUCKET)))
@@ -291,45 +293,13 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, total: int = WIDE_TO
     return dealt.mapInArrow(look, "a long, b long").distinct()
 
 
-def shingle_set(text: Column, words: int) -> Column:
-    """Distinct 32-bit hashes of all runs of ``words`` lower-cased words; of a shorter text its words as one run."""
-    found = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.transform(F.array(found), lambda w: F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(w) - words, F.lit(0))),
-        lambda k: F.hash(*[F.get(w, k + n) for n in range(words)]))))[0]
-
-
-def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b) of keys whose texts' sets of shingles have a Jaccard index of at least ``similarity``. Sets are
-    made only of texts that are in a pair."""
-    asked = written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"))
-    asked = F.broadcast(asked) if is_small(asked) else asked
-    sets = docs.join(asked, "doc_id", "left_semi").select("doc_id", shingle_set(F.col("text"), words).alias("set"))
-    sets = written(sets)
-    left, right = (sets.select(F.col("doc_id").alias(k), F.col("set").alias(f"set_{k}")) for k in ("a", "b"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b").distinct()
-
-
 def group_similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id and component_id, for near copies of a Jaccard index of at least ``similarity``.
 
-    Fingerprints within ``RADIUS`` are linked as they are. Of each group so found the smallest key goes on; pairs of these
-    within ``WIDE_RADIUS`` and ``WIDE_TOTAL`` are linked if their shingle sets are similar enough. Nulls, repeated and empty rows as in
-    ``group_near_duplicates``.
+    Groups are joined by such pairs alone and no pair is missed, see ``jaccard``. Nulls, repeated and empty rows as in
+    ``group_near_duplicates``; texts under one key count as one document.
     """
-    rows = texts(docs, key, text, "doc_id")
-    prints = written(fingerprints(docs, words, key, text, second=True))
-    nodes = prints.groupBy("fp").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "fp2"))).alias("m"))
-    nodes = written(nodes.where("m IS NOT NULL").select("fp", F.col("m.fp2").alias("fp2"), F.col("m.doc_id").alias("id")))
-    close = written(links(nodes, RADIUS))
-    joined = components(close)
-    later = joined.where("node != component").select(F.col("node").alias("id"))
-    pairs = written(wide_pairs(written(nodes.join(later, "id", "left_anti").select("fp", "fp2", "id"))))
-    joined = components(close.union(similar_links(rows, pairs, words, similarity)))
-    reached = nodes.join(joined, nodes["id"] == joined["node"], "left").select("fp", F.coalesce("component", "id").alias("component"))
-    return prints.join(reached, "fp", "left").select("doc_id", F.col("component").alias("component_id"))
+    return jaccard.group(texts(docs, key, text, "doc_id"), words, similarity)
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:

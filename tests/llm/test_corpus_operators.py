@@ -130,6 +130,43 @@ def test_similar_groups_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(component.values())) and kept.columns == frame.columns
 
 
+def _exact_groups(docs):
+    """Smallest key reachable over pairs of 0.8 or more."""
+    parent = {k: k for k in docs}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in _similar(docs):
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    return {k: root(k) for k in docs}
+
+
+def test_similar_groups_are_exact(spark):
+    """Copies at 0.8 of one another, of a base only, in chains, of few and of many words; a base with the largest key."""
+    docs = dict(duckdb.connect().execute(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall())
+    rng, key = random.Random(7), 10_000
+    for size in (9, 14, 60, 240, 1500):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for share in (0.01, 0.02, 0.03, 0.04, 0.05):
+            for _ in range(6):
+                words = list(base)
+                for _ in range(max(1, round(size * share))):
+                    words[rng.randrange(size)] = f"y{rng.randrange(10**6)}"
+                docs[key] = " ".join(words).upper() if key % 3 else "\n".join(words)
+                key += 1
+        docs[key + 50_000] = " ".join(base)
+        for k in range(1, 30):  # a chain: each a little further
+            docs[key] = " ".join(base[: max(1, size - k * max(1, size // 25))])
+            key += 1
+    docs |= {900_000: None, 900_001: "", 900_002: "GRÜN ist die Farbe", 900_003: "grün ist die farbe"}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()} == _exact_groups(docs)
+
+
 def test_wide_pairs_carry_groups_over_batches(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
