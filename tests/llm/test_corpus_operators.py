@@ -167,6 +167,16 @@ def test_similar_groups_are_exact(spark):
     assert {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()} == _exact_groups(docs)
 
 
+def test_equal_fingerprints_are_no_link(spark):
+    """One fingerprint by a phrase that is said over and over, but other words behind it; and a copy of the second text."""
+    docs = {k: "a b c d e f g " * 200 + " ".join(f"t{k}x{n}" for n in range(40)) for k in (1, 2, 3)}
+    docs[9] = docs[2].replace("t2x39", "other")
+    assert len({_fingerprint(t, 5) for t in docs.values()}) == 1
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()}
+    assert got == _exact_groups(docs) == {1: 1, 2: 2, 3: 3, 9: 2}
+
+
 def test_wide_pairs_carry_groups_over_batches(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
