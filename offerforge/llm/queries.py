@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerforge.llm import (
-    chat, decontaminate, licenses, maintext, packing, quality, reshard, simhash, tokenstore, urlrules,
+    chat, decontaminate, licenses, maintext, packing, quality, queries_words, reshard, simhash, tokenstore, urlrules,
 )
 from offerforge.llm.frames import table
 from offerforge.session import scratch_path
@@ -127,7 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat_windows, op2_quality_rules, op3_benchmark_leaks, op4_simhash_groups, op5_main_text, op6_packed_sequences,
         op7_url_filter, op8_token_files, op9_license_spans, op10_reshard, pipeline)
-}
+} | queries_words.QUERIES
 
 _CHAT_SQL = rf"""
 WITH RECURSIVE rows AS (
@@ -251,4 +251,4 @@ ruled AS (SELECT *, CASE {_LIST_SQL} END AS found FROM cut)
 SELECT page_id, host, path, found[1] AS rule,
   coalesce(found[2], CASE WHEN row IN (SELECT row FROM hits) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled"""
 
-ORACLES: dict[str, str] = {"op1_chat_windows": _CHAT_SQL, "op2_quality_rules": _QUALITY_SQL, "op7_url_filter": _URL_SQL}
+ORACLES: dict[str, str] = {"op1_chat_windows": _CHAT_SQL, "op2_quality_rules": _QUALITY_SQL, "op7_url_filter": _URL_SQL} | queries_words.ORACLES
