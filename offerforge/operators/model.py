@@ -1,19 +1,20 @@
-"""Propensity models on MLlib: split, train, score, importance, accuracy."""
+"""Propensity models: split, train, score, importance, accuracy. Forests are MLlib's, boosted trees those of ``boost``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerforge.functions.names import numeric_columns
+from offerforge.operators.boost import BoostedModel, fit_boosted
 from offerforge.operators.encode import fit_labels, yes_no
 from offerforge.operators.numeric import fit_stats
 from offerforge.session import shared_folder
@@ -49,12 +50,9 @@ def random_split(df: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SE
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """Fitted models with their feature names, the stand-in for a missing value of each, and the labels.
+    """A fitted forest with its feature names, the stand-in for a missing value of each, and the labels."""
 
-    One model gives the probabilities of all labels; several models give the margin of one label each.
-    """
-
-    models: tuple[Model, ...]
+    model: Model | None
     features: tuple[str, ...]
     missing: tuple[float, ...]
     labels: tuple[str, ...]
@@ -69,22 +67,12 @@ class TrainedModel:
 
     def score(self, df: DataFrame, name: str = "probability") -> DataFrame:
         """Adds the array of class probabilities, in label order."""
-        scored = self.assembled(df)
-        for i, model in enumerate(self.models):
-            named = model.copy().setPredictionCol(f"_y{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_p{i}")
-            scored = named.transform(scored)
-        if len(self.models) == 1:
-            return scored.select(*df.columns, vector_to_array("_p0").alias(name))
-        # softmax of the margins; a boosted model states half the log-odds
-        weights = F.array(*[F.exp(2 * F.get(vector_to_array(f"_r{i}"), F.lit(1))) for i in range(len(self.models))])
-        total = F.aggregate("_weights", F.lit(0.0), lambda a, w: a + w)
-        return scored.withColumn("_weights", weights).select(
-            *df.columns, F.transform("_weights", lambda w: w / total).alias(name)
-        )
+        named = self.model.copy().setPredictionCol("_y").setRawPredictionCol("_r").setProbabilityCol("_p")
+        return named.transform(self.assembled(df)).select(*df.columns, vector_to_array("_p").alias(name))
 
     def importance(self, n: int = TOP_FEATURES) -> DataFrame:
         """(feature, importance) of the n most important features."""
-        weights = sum(m.featureImportances.toArray() for m in self.models) / len(self.models)
+        weights = self.model.featureImportances.toArray()
         rows = sorted(zip(self.features, map(float, weights)), key=lambda item: (-item[1], item[0]))[:n]
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
@@ -95,13 +83,13 @@ def _stand_ins(df: DataFrame, features: Sequence[str]) -> tuple[float, ...]:
     return tuple((stats[c].low or 0.0) - 1.0 for c in features)
 
 
-def _fit(estimators: Mapping[str, Estimator], shell: TrainedModel, df: DataFrame, labels: Mapping[str, Column]) -> TrainedModel:
-    """Fits one estimator per label column on one assembled and cached table."""
+def _fit(estimator: Estimator, shell: TrainedModel, df: DataFrame, label: Column) -> TrainedModel:
+    """Fits the estimator on the assembled and cached table."""
     shared_folder(df.sparkSession)
-    known = shell.assembled(df).select("_features", *[c.cast("double").alias(n) for n, c in labels.items()])
-    data = known.filter(" and ".join(f"{n} is not null" for n in labels)).persist(StorageLevel.MEMORY_AND_DISK)
+    known = shell.assembled(df).select("_features", label.cast("double").alias("_label"))
+    data = known.filter("_label is not null").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return replace(shell, models=tuple(e.fit(data) for e in estimators.values()))
+        return replace(shell, model=estimator.fit(data))
     finally:
         data.unpersist()
 
@@ -111,38 +99,33 @@ def train_multiclass(
     target: str,
     key: str = "customer_id",
     features: Sequence[str] | None = None,
-    backend: str = "forest",
+    backend: str = "boosted",
     depth: int = DEPTH,
     trees: int = 20,
     rounds: int = ROUNDS,
     step: float = MULTICLASS_STEP,
     seed: int = SEED,
     subset: str = "auto",
-) -> TrainedModel:
+) -> TrainedModel | BoostedModel:
     """Class probabilities from trees over the numeric columns.
 
-    ``forest`` fits one random forest, each split over a ``subset`` of the features (``all``, ``sqrt``, a share; MLlib's
-    names). ``boosted`` fits one boosted model per class and takes the softmax of their margins; it is the closer but slower
-    choice.
+    ``boosted`` grows ``rounds`` trees per class that share one softmax (two classes share one tree). ``forest`` fits one
+    random forest of ``trees`` trees, each split over a ``subset`` of the features (``all``, ``sqrt``, a share; MLlib's
+    names).
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
     labels = tuple(fit_labels(df, target))
-    shell = TrainedModel((), features, _stand_ins(df, features), labels)
     names = F.array(*[F.lit(v) for v in labels])
     place = F.array_position(names, F.col(target).cast("string"))
     code = F.when(place > 0, place - 1)
+    if backend == "boosted":
+        return fit_boosted(df, features, labels, code, F.col(key), depth, rounds, step)
     if backend == "forest":
+        shell = TrainedModel(None, features, _stand_ins(df, features), labels)
         forest = RandomForestClassifier(
             labelCol="_label", featuresCol="_features", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy=subset
         )
-        return _fit({"_label": forest}, shell, df, {"_label": code})
-    if backend == "boosted":
-        targets = {f"_label{i}": (code == i).cast("int") for i in range(len(labels))}
-        boosters = {
-            n: GBTClassifier(labelCol=n, featuresCol="_features", maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed)
-            for n in targets
-        }
-        return _fit(boosters, shell, df, targets)
+        return _fit(forest, shell, df, code)
     raise ValueError(f"unknown backend {backend}")
 
 
@@ -156,22 +139,16 @@ def train_binary(
     step: float = BINARY_STEP,
     subsample: float = BINARY_SUBSAMPLE,
     child_weight: float = BINARY_CHILD_WEIGHT,
-    seed: int = SEED,
-) -> TrainedModel:
+) -> BoostedModel:
     """Boosted trees for a yes/no target; the second probability is that of ``yes``.
 
-    ``child_weight`` is in rows here: the least number of rows a leaf holds, never below one. MLlib gives the first tree the
-    full weight whatever ``step`` is, so scores lie further from one half than those of a booster that shrinks every tree;
-    a threshold tuned on such a booster has to be tuned anew.
+    ``child_weight`` is the least hessian of a leaf. Every tree, the first too, is shrunk by ``step``, so few rounds of a
+    small step leave all scores near one half. A round's rows are a ``subsample`` by a hash of the key.
     """
     features = tuple(features or [c for c in numeric_columns(df) if c not in (key, target)])
-    shell = TrainedModel((), features, _stand_ins(df, features), ("no", "yes"))
-    booster = GBTClassifier(
-        labelCol="_label", featuresCol="_features", maxDepth=depth, maxIter=rounds, stepSize=step,
-        subsamplingRate=subsample, minInstancesPerNode=max(1, round(child_weight)), seed=seed,
-    )
     known = yes_no(df, target) if dict(df.dtypes)[target] == "string" else df
-    return _fit({"_label": booster}, shell, known, {"_label": F.col(target)})
+    return fit_boosted(
+        known, features, ("no", "yes"), F.col(target), F.col(key), depth, rounds, step, child_weight, subsample)
 
 
 def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -19,9 +19,10 @@ from offerforge.functions.policy import (
 from offerforge.functions.rows import education_label, keyed_choice
 from offerforge.operators import profile
 from offerforge.operators.encode import EncoderPlan, fit_encoders
+from offerforge.operators.boost import BoostedModel
 from offerforge.operators.lookups import with_branch_distance, with_near_branch, with_population
 from offerforge.operators.model import (
-    TrainedModel, accuracy, key_split, train_binary, train_multiclass,
+    BINARY_STEP, ROUNDS, TrainedModel, accuracy, key_split, train_binary, train_multiclass,
 )
 from offerforge.operators.numeric import (
     exact_quantiles, highly_correlated, log_scale, outlier_report, tier_edges, top_correlations, with_city_tier,
@@ -257,17 +258,16 @@ class Recommended:
     """Offers on the snapshot of the test customers, the model, and its accuracy on them."""
 
     offers: DataFrame
-    model: TrainedModel
+    model: TrainedModel | BoostedModel
     accuracy: DataFrame | None
 
 
 def recommend_multiclass(
-    features: DataFrame, snapshot: DataFrame, target: str, name: str, k: int = 3, backend: str = "forest",
-    trees: int = 20, subset: str = "auto",
+    features: DataFrame, snapshot: DataFrame, target: str, name: str, k: int = 3, backend: str = "boosted",
 ) -> Recommended:
     """Trains on four fifths of the customers and gives the others their k best classes as ``name``."""
     train, test = key_split(features, KEY)
-    model = train_multiclass(train, target, KEY, backend=backend, trees=trees, subset=subset)
+    model = train_multiclass(train, target, KEY, backend=backend)
     scored = model.score(test).select(
         KEY, F.col(target).alias("_actual"), F.get(F.array(*[F.lit(v) for v in model.labels]),
                                                   top_index(F.col("probability")).cast("int")).alias("_predicted"),
@@ -278,11 +278,12 @@ def recommend_multiclass(
 
 
 def recommend_binary(
-    features: DataFrame, snapshot: DataFrame, target: str, product: str, name: str, threshold: float = OFFER_THRESHOLD
+    features: DataFrame, snapshot: DataFrame, target: str, product: str, name: str, threshold: float = OFFER_THRESHOLD,
+    rounds: int = ROUNDS, step: float = BINARY_STEP,
 ) -> Recommended:
     """Gives each test customer the product when the score is above the threshold."""
     train, test = key_split(features, KEY)
-    model = train_binary(train, target, KEY)
+    model = train_binary(train, target, KEY, rounds=rounds, step=step)
     scored = model.score(test).select(KEY, F.get("probability", F.lit(1)).alias("_score"))
     offers = scored.select(KEY, threshold_offer(F.col("_score"), product, threshold).alias(name))
     return Recommended(attach_offers(snapshot.drop(target), offers, KEY), model, None)
@@ -295,12 +296,12 @@ def recommend_card_up_sell(customers: DataFrame) -> DataFrame:
     return df.withColumn("top_reco", offers)
 
 
-def recommend_insurance(tables: InsuranceTables, backend: str = "forest", trees: int = 20) -> tuple[DataFrame, dict]:
+def recommend_insurance(tables: InsuranceTables, backend: str = "boosted") -> tuple[DataFrame, dict]:
     """Five models, their offers side by side, and the accuracy of each."""
     results, hits = {}, {}
     for name, features in tables.lines.items():
         done = recommend_multiclass(
-            features, features.select(KEY), f"{name}_addon", f"{name}_top3_reco", backend=backend, trees=trees
+            features, features.select(KEY), f"{name}_addon", f"{name}_top3_reco", backend=backend
         )
         results[name], hits[name] = done.offers, done.accuracy
     return combine_offers(results, tables.customer.features, KEY), hits

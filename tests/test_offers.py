@@ -153,3 +153,31 @@ def test_binary_scores_part_the_classes(spark):
     trained = model.train_binary(df, "target", rounds=3)
     means = dict(values(trained.score(df).groupBy("target").agg(F.avg(F.get("probability", F.lit(1))).alias("m")), "target", "m"))
     assert means["yes"] > means["no"]
+
+
+def test_small_steps_stay_near_one_half(spark):
+    df = planted(spark).withColumn("target", F.when(F.col("signal") > 0, "yes").otherwise("no"))
+    trained = model.train_binary(df, "target", rounds=10)
+    low, high = trained.score(df).agg(F.min(F.get("probability", F.lit(1))), F.max(F.get("probability", F.lit(1)))).first()
+    assert 0.45 < low < 0.5 < high < 0.56
+
+
+def test_boosting_does_not_depend_on_the_partitioning(spark):
+    def fitted(parts):
+        df = planted(spark).select("customer_id", "signal", F.xxhash64("customer_id").alias("noise"), "target")
+        return model.train_multiclass(df.repartition(parts), "target", rounds=2, depth=2)
+
+    one, many = fitted(1), fitted(7)
+    assert one.cuts == many.cuts
+    for a, b in zip([t for r in one.rounds for t in r], [t for r in many.rounds for t in r]):
+        assert [x.tolist() for x in (a.feature, a.cut, a.value)] == [x.tolist() for x in (b.feature, b.cut, b.value)]
+
+
+def test_boosting_with_missing_values_and_one_class(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else float(i % 3), "a" if i % 3 == 0 else "b") for i in range(60)],
+                               "customer_id long, x double, target string")
+    trained = model.train_multiclass(df, "target", rounds=3, depth=2)
+    best = trained.score(df).select("target", F.when(F.get("probability", F.lit(1)) > 0.5, "b").otherwise("a").alias("best"))
+    assert values(model.accuracy(best, "target", "best"), "accuracy") == [(100.0,)]
+    single = model.train_multiclass(df.filter("target = 'a'"), "target", rounds=3)
+    assert values(single.score(df).limit(2), "probability") == [([1.0],), ([1.0],)]
