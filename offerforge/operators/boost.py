@@ -147,6 +147,10 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
+def binned_values(column: pa.Array) -> np.ndarray:
+    return _matrix(column, np.uint8)
+
+
 def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column) -> DataFrame:
     """Bins, label, id and empty margins of every row with a label, dealt out evenly and written once."""
     rows = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(model.features)],
@@ -172,7 +176,7 @@ def advanced(rows: DataFrame, model: BoostedModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                margins = _matrix(batch.column(3), np.float64) + model.margins(_matrix(batch.column(0), np.uint8), model.rounds[-1:])
+                margins = _matrix(batch.column(3), np.float64) + model.margins(binned_values(batch.column(0)), model.rounds[-1:])
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:3], pa.array([m.tobytes() for m in margins], pa.binary())], names=batch.schema.names)
 
@@ -203,7 +207,7 @@ def gradient_sums(
                 continue
             ids = batch.column(2).to_numpy()
             kept = _in_sample(ids, round_, share) if share < 1.0 else np.ones(len(ids), bool)
-            cells = _matrix(batch.column(0), np.uint8)[kept]
+            cells = binned_values(batch.column(0))[kept]
             both = _gradients(_matrix(batch.column(3), np.float64)[kept], batch.column(1).to_numpy()[kept])
             for c, tree in enumerate(trees):
                 node = tree.nodes(cells) - first

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from offerforge.operators.tables import lookup_join
-from offerforge.session import is_small
+from offerforge.session import written
 
 NO_OFFER = "no recommendation"
 RANGE_KINDS = ("int", "non-list")
@@ -67,17 +67,15 @@ def with_final_offer(
     """Adds the first candidate that has no rules or meets all of them, else ``no recommendation``.
 
     ``candidates`` is an array of names in rank order, missing names skipped. A catalogue of usual size becomes one
-    expression on the row, without join or shuffle. A larger one is joined as a table. Both compare an attribute's text,
+    expression on the row, without join or shuffle. A larger one becomes an index that is joined. Both compare an attribute's text,
     or the number it spells, so they give the same offers.
     """
-    known = rules.filter(F.col("attribute").isin(df.columns)).select("attribute").distinct()
-    missing = rules.filter(~F.col("attribute").isin(df.columns)).select("attribute").distinct().orderBy("attribute").limit(20)
-    if names := [r.attribute for r in missing.collect()]:
-        raise ValueError(f"rules need columns the table does not have: {', '.join(names)}")
-    if not is_small(rules, max_compiled_rules):
-        return _joined_final_offer(df, candidates, rules, name, [r.attribute for r in known.collect()], case_sensitive)
+    listed = rules.limit(max_compiled_rules + 1).collect()
+    if len(listed) > max_compiled_rules:
+        return _indexed_final_offer(df, candidates, rules, name, case_sensitive)
+    _check_attributes({r.attribute for r in listed}, df)
     products = {}
-    for rule in rules.collect():
+    for rule in listed:
         products.setdefault(rule["product"], []).append(rule)
     refused = F.array_compact(
         F.array(*[F.when(~rules_met(rs, case_sensitive), p) for p, rs in products.items()]).cast("array<string>")
@@ -86,37 +84,49 @@ def with_final_offer(
     return df.withColumn(name, F.coalesce(first, F.lit(NO_OFFER)))
 
 
-def _joined_final_offer(
-    df: DataFrame, candidates: str, rules: DataFrame, name: str, attributes: Sequence[str], case_sensitive: bool
-) -> DataFrame:
-    """The same through a join: each distinct candidate list gets its products' rules, each row the lists of its own.
+def _check_attributes(attributes: set[str], df: DataFrame) -> None:
+    if missing := sorted(attributes - set(df.columns)):
+        raise ValueError(f"rules need columns the table does not have: {', '.join(missing[:20])}")
+
+
+def _indexed_final_offer(df: DataFrame, candidates: str, rules: DataFrame, name: str, case_sensitive: bool) -> DataFrame:
+    """The same through an index of the rules that counts hits.
 
-    Rows are never grouped, so keys may be missing or repeated. A product has a handful of rules, one or two per
-    attribute. Candidate lists that very many customers share are joined apart by ``lookup_join``.
+    Range rules of a product on one attribute are one interval, membership rules are filed by value. Each candidate of a
+    row looks up its product's entries with the row's own values; a product is eligible when as many of its rules are hit
+    as it has. No row carries a list of rules, and the work follows the candidates' attributes, not the catalogue. Rules
+    with two open bounds always hold and are not counted, rules of an unknown kind never hold. Popular products are dealt
+    out by ``lookup_join``. Rows are numbered and written first, so keys may be missing or repeated.
     """
-    text = F.create_map(*[x for a in sorted(attributes) for x in (F.lit(a), F.col(a).cast("string"))])
-    fields = ("attribute", "kind", "min", "max", "values")
-    listed = rules.groupBy("product").agg(F.collect_list(F.struct(*fields)).alias("_rules"))
-    lists = df.select(F.col(candidates).alias("_list")).filter(F.col("_list").isNotNull()).distinct()
-    found = lookup_join(lists.select("_list", F.posexplode(F.array_compact("_list")).alias("_pos", "product")), listed, ["product"])
-    ranked = found.groupBy("_list").agg(F.sort_array(F.collect_list(F.struct("_pos", "product", "_rules"))).alias("_ranked"))
-
-    def met(rule: Column) -> Column:
-        value = F.col("_text")[rule["attribute"]]
-        number = _number(value)
-        low_ok = rule["min"].isNull() | F.coalesce(number > rule["min"], F.lit(False))
-        high_ok = rule["max"].isNull() | F.coalesce(number < rule["max"], F.lit(False))
-        shown = value if case_sensitive else F.lower(value)
-        members = rule["values"] if case_sensitive else F.transform(rule["values"], F.lower)
-        return (
-            F.when(rule["kind"].isin(*RANGE_KINDS), low_ok & high_ok)
-            .when(rule["kind"] == MEMBER_KIND, F.coalesce(F.array_contains(members, shown), F.lit(False)))
-            .otherwise(False)
-        )
-
-    rows = lookup_join(df.withColumns({"_list": F.col(candidates), "_text": text}), ranked, ["_list"])
-    first = F.get(F.filter("_ranked", lambda c: c["_rules"].isNull() | F.forall(c["_rules"], met)), F.lit(0))
-    return rows.withColumn(name, F.coalesce(first["product"], F.lit(NO_OFFER))).drop("_list", "_text", "_ranked")
+    attributes = sorted(r.attribute for r in rules.select("attribute").distinct().limit(len(df.columns) + 21).collect())
+    _check_attributes(set(attributes), df)
+    numbered = written(df.withColumn("_row", F.monotonically_increasing_id()))
+    is_range = F.col("kind").isin(*RANGE_KINDS)
+    counted = rules.filter(~(is_range & F.col("min").isNull() & F.col("max").isNull()))
+    needed = written(counted.groupBy("product").agg(F.count(F.lit(1)).alias("_needed")))
+    ranges = counted.filter(is_range).groupBy("product", "attribute").agg(
+        F.max("min").alias("_low"), F.min("max").alias("_high"), F.count(F.lit(1)).alias("_ranges"))
+    shown = F.col("_value") if case_sensitive else F.lower("_value")
+    members = counted.filter(F.col("kind") == MEMBER_KIND).select("product", "rule_no", "attribute", F.explode("values").alias("_value"))
+    members = members.select("product", "rule_no", "attribute", shown.alias("_value")).filter("_value IS NOT NULL").distinct()
+    members = members.groupBy("product", "attribute", "_value").agg(F.count(F.lit(1)).alias("_members"))
+
+    values = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("_text")) for a in attributes])
+    offered = numbered.select("_row", F.posexplode(F.array_compact(candidates)).alias("_pos", "product"), values.alias("_values"))
+    free = lookup_join(offered.drop("_values"), needed, ["product"]).filter("_needed IS NULL").select("_row", "_pos", "product")
+    asked = offered.select("_row", "_pos", "product", F.explode("_values").alias("_v")).select("_row", "_pos", "product", "_v.*")
+    shown = F.col("_text") if case_sensitive else F.lower("_text")
+    asked = asked.filter("_text IS NOT NULL").withColumn("_value", shown)
+    found = lookup_join(lookup_join(asked, written(ranges), ["product", "attribute"]), written(members), ["product", "attribute", "_value"])
+    number = _number(F.col("_text"))
+    inside = F.coalesce((F.col("_low").isNull() | (number > F.col("_low"))) & (F.col("_high").isNull() | (number < F.col("_high"))), F.lit(False))
+    hits = F.when(inside, F.coalesce("_ranges", F.lit(0))).otherwise(0) + F.coalesce("_members", F.lit(0))
+    hit = found.select("_row", "_pos", "product", hits.alias("_hits")).filter("_hits > 0")
+    hit = hit.groupBy("_row", "_pos", "product").agg(F.sum("_hits").alias("_hits"))
+    met = lookup_join(hit, needed, ["product"]).filter("_hits = _needed").select("_row", "_pos", "product")
+    first = met.unionByName(free).groupBy("_row").agg(F.min(F.struct("_pos", "product")).alias("_first"))
+    whole = numbered.join(first, "_row", "left").withColumn(name, F.coalesce("_first.product", F.lit(NO_OFFER)))
+    return whole.drop("_row", "_first")
 
 
 def with_final_offers(

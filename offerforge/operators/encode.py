@@ -15,7 +15,7 @@ from offerforge.session import BROADCAST_ROWS, written
 
 MAX_CATEGORIES = 1000
 RARE_PERCENT = 0.1
-VALUES_PER_RANGE = 100_000
+MAX_LABELS = 1000
 
 
 def fit_categories(
@@ -71,30 +71,21 @@ def code_categories(df: DataFrame, categories: Mapping[str, Sequence[str | None]
 def code_table(df: DataFrame, column: str, order_by: str | None = None, ranges: int | None = None) -> DataFrame:
     """(value, code) for a column of any cardinality, codes from 0 by value or by first appearance under ``order_by``.
 
-    A missing value has a code too, the last one by value. The values are numbered within ranges of their order;
-    range totals are added up first, so a very long list is not ordered in one task.
+    A missing value has a code too, the last one by value. Spark deals the values out by ranges of their order, from a
+    sample of its own, and sorts each range; a value's place in its range and the sizes of the ranges before it make the
+    code. Nothing is fetched, and the plan has the same size whatever the number of values; ``ranges`` forces a number.
     """
     order = F.min(order_by) if order_by else F.min(F.col(column))
     values = df.groupBy(F.col(column).alias("value")).agg(order.alias("_at"))
-    if ranges is None:
-        ranges = values.count() // VALUES_PER_RANGE + 1
-    if ranges == 1:
-        window = Window.orderBy(F.col("_at").asc_nulls_last(), F.col("value").asc_nulls_last())
-        return values.select("value", (F.row_number().over(window) - 1).cast("bigint").alias("code"))
-    # a hash sample of the distinct values gives range limits that balance and are the same on every run
-    share = max(values.count() // (ranges * 50), 1)
-    sample = values.filter((F.xxhash64("value") % share == 0) & F.col("_at").isNotNull()).select("_at")
-    limits = [r[0] for r in sample.orderBy("_at").collect()]  # about 50 for each range
-    limits = sorted(set(limits[:: max(len(limits) // ranges, 1)][1:]))
-    number = F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= F.col("_at"))) if limits else F.lit(0)
-    ranged = values.withColumn("_r", F.when(F.col("_at").isNull(), len(limits) + 1).otherwise(number))
-    totals = {r._r: r.n for r in ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("n")).collect()}
-    start, before = {}, 0
-    for r in sorted(totals):
-        start[r], before = before, before + totals[r]
-    offset = F.create_map(*[F.lit(x) for item in start.items() for x in item])[F.col("_r")]
-    window = Window.partitionBy("_r").orderBy("_at", F.col("value").asc_nulls_last())
-    return ranged.select("value", (F.row_number().over(window) - 1 + offset).cast("bigint").alias("code"))
+    by = [F.col("_at").asc_nulls_last(), F.col("value").asc_nulls_last()]
+    dealt = values.repartitionByRange(ranges, *by) if ranges else values.repartitionByRange(*by)
+    # the high bits of a row's number are its partition's, the low ones its place in the partition
+    number = F.monotonically_increasing_id()
+    place = number.bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = written(dealt.sortWithinPartitions(*by).select("value", F.shiftright(number, 33).alias("_r"), place.alias("_place")))
+    sizes = ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    before = sizes.select("_r", (F.sum("_n").over(Window.orderBy("_r")) - F.col("_n")).alias("_before"))
+    return ranged.join(F.broadcast(before), "_r").select("value", (F.col("_before") + F.col("_place")).alias("code"))
 
 
 def code_by_table(df: DataFrame, column: str, codes: DataFrame, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -165,9 +156,18 @@ def yes_no(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column) == "yes", F.lit(False)).cast("int"))
 
 
-def fit_labels(df: DataFrame, column: str) -> list[str]:
-    """Sorted labels of a target column, as many as it has; the code of a label is its position."""
-    return sorted(r.value for r in column_values(df, [column]).filter("value is not null").select("value").collect())
+def fit_labels(df: DataFrame, column: str, max_labels: int = MAX_LABELS) -> list[str]:
+    """Sorted labels of a target column, for a model that has an output for each; an error beyond ``max_labels``."""
+    found = column_values(df, [column]).filter("value is not null").select("value").limit(max_labels + 1).collect()
+    if len(found) > max_labels:
+        raise ValueError(f"more than {max_labels} labels in {column}")
+    return sorted(r.value for r in found)
+
+
+def encode_labels(df: DataFrame, column: str, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Labels replaced by their place in the order of all labels, however many; a missing label stays missing."""
+    codes = code_table(df.filter(F.col(column).isNotNull()), column)
+    return code_by_table(df, column, codes, max_broadcast_rows)
 
 
 def label_dictionary(df: DataFrame, column: str) -> DataFrame:

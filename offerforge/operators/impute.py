@@ -13,23 +13,22 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerforge.functions.names import numeric_columns
+from offerforge.operators.encode import fit_labels
+from offerforge.operators.entropy import DEPTH, tree_importances
 from offerforge.operators.numeric import correlations, fit_stats, with_range_number
 from offerforge.operators.tables import lookup_join
 from offerforge.session import shared_folder, written
 
-# Neighbours and correlated columns for numbers; neighbours, features and trees for categories.
+# Neighbours and correlated columns for numbers; neighbours and features for categories.
 NUMERIC_NEIGHBOURS = 2
 CORRELATED_COLUMNS = 5
 CATEGORY_NEIGHBOURS = 7
 CATEGORY_FEATURES = 3
-IMPORTANCE_TREES = 5
 
 START_CELLS = 256
 DONORS_PER_CELL = 2000
@@ -252,21 +251,12 @@ def impute_category(
     return _filled(df, column, features, values, F.lit(None).cast("string"))
 
 
-def importance_spread(df: DataFrame, column: str, features: Sequence[str], seed: int = 123) -> list[tuple[str, float]]:
-    """Features by the standard deviation of their importance over a few entropy trees, highest first."""
-    shared_folder(df.sparkSession)
-    known = df.filter(F.col(column).isNotNull()).select(column, *[F.col(f).cast("double") for f in features])
-    indexed = StringIndexer(inputCol=column, outputCol="_label").fit(known).transform(known)
-    vectors = VectorAssembler(inputCols=list(features), outputCol="_features").transform(indexed)
-    forest = RandomForestClassifier(
-        labelCol="_label", featuresCol="_features", numTrees=IMPORTANCE_TREES, impurity="entropy",
-        featureSubsetStrategy=str(min(2, len(features))), bootstrap=False, seed=seed,
-    ).fit(vectors)
-    trees = [t.featureImportances.toArray() for t in forest.trees]
-    mean = [sum(t[i] for t in trees) / len(trees) for i in range(len(features))]
-    spread = [
-        math.sqrt(sum((t[i] - m) ** 2 for t in trees) / len(trees)) for i, m in enumerate(mean)
-    ]
+def importance_spread(df: DataFrame, column: str, features: Sequence[str], seed: int = 123, depth: int = DEPTH) -> list[tuple[str, float]]:
+    """Features by the standard deviation of their importance over a few entropy trees, highest first, else in order."""
+    labels = fit_labels(df, column)
+    place = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(column).cast("string"))
+    found = tree_importances(df, F.when(place > 0, place - 1), len(labels), features, seed=seed, depth=depth)
+    spread = [round(float(s), 9) for s in found.std(axis=0)]
     return sorted(zip(features, spread), key=lambda item: -item[1])
 
 

@@ -6,6 +6,7 @@ import math
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+COLUMN_BLOCK = 256
+"""Columns whose cross products a task holds at once."""
 
 
 def exact_quantiles(
@@ -204,36 +207,54 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     return edges.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint")).orderBy("bin")
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(first, second, corr): Pearson correlation for every pair of columns, over the rows having both values.
+def _cross_sums(df: DataFrame, left: Sequence[str], right: Sequence[str], centre: Mapping[str, float]) -> DataFrame:
+    """Sums over the rows with both values, for every pair of a left and a later right column.
 
-    The first column stands before the second in ``columns``; the correlation is NULL when one of them is constant in
-    those rows. Each task adds up the cross products of its Arrow batches as small matrices and hands on one row per
-    pair, and these sums are combined by pair. The number of aggregates does not grow the generated code, as it would
-    with one covariance expression per pair, which is many times slower beyond a few columns.
+    A task holds six matrices of the two blocks' sizes and hands on one row per pair.
     """
-    columns = list(columns)
-    centre = np.array([s.mean or 0.0 for s in fit_stats(df, columns).values()])
-    upper = np.triu_indices(len(columns), 1)
-    names = np.array(columns)
+    columns = list(dict.fromkeys([*left, *right]))
+    place = {c: i for i, c in enumerate(columns)}
+    same = list(left) == list(right)
+    pairs = np.triu_indices(len(left), 1) if same else tuple(x.ravel() for x in np.indices((len(left), len(right))))
+    first, second = np.array(left)[pairs[0]], np.array(right)[pairs[1]]
+    at, to = [place[c] for c in left], [place[c] for c in right]
+    middle = np.array([centre[c] for c in columns])
 
     def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = None
         for batch in batches:
-            values = batch.to_numpy(dtype=float) - centre
+            values = batch.to_numpy(dtype=float) - middle
             known = (~np.isnan(values)).astype(float)
             values = np.nan_to_num(values)
             squares = values * values
-            part = [known.T @ known, values.T @ known, known.T @ values, squares.T @ known, known.T @ squares,
-                    values.T @ values]
+            part = [known[:, at].T @ known[:, to], values[:, at].T @ known[:, to], known[:, at].T @ values[:, to],
+                    squares[:, at].T @ known[:, to], known[:, at].T @ squares[:, to], values[:, at].T @ values[:, to]]
             sums = part if sums is None else [s + p for s, p in zip(sums, part)]
         if sums is not None:
-            out = {"first": names[upper[0]], "second": names[upper[1]]}
-            out |= {k: s[upper] for k, s in zip(("n", "sx", "sy", "sxx", "syy", "sxy"), sums)}
+            out = {"first": first, "second": second}
+            out |= {k: s[pairs] for k, s in zip(("n", "sx", "sy", "sxx", "syy", "sxy"), sums)}
             yield pd.DataFrame(out)
 
     schema = "first string, second string, n double, sx double, sy double, sxx double, syy double, sxy double"
-    parts = df.select(*[F.col(c).cast("double") for c in columns]).mapInPandas(partial_sums, schema)
+    return df.select(*[F.col(c).cast("double") for c in columns]).mapInPandas(partial_sums, schema)
+
+
+def correlations(df: DataFrame, columns: Sequence[str], block: int = COLUMN_BLOCK) -> DataFrame:
+    """(first, second, corr): Pearson correlation for every pair of columns, over the rows having both values.
+
+    The first column stands before the second in ``columns``; the correlation is NULL when one of them is constant in
+    those rows. Columns are taken in blocks, and every pair of blocks is a scan of its own that reads only their columns:
+    each task adds up the cross products of its Arrow batches as matrices of at most ``block`` by ``block``, whatever the
+    number of columns, and these sums are combined by pair. The number of aggregates does not grow the generated code, as
+    it would with one covariance expression per pair, which is many times slower beyond a few columns.
+    """
+    columns = list(columns)
+    centre = {c: s.mean or 0.0 for c, s in fit_stats(df, columns).items()}
+    blocks = [columns[i : i + block] for i in range(0, len(columns), block)]
+    parts = reduce(DataFrame.unionByName, [
+        _cross_sums(df, left, right, centre) for i, left in enumerate(blocks) for right in blocks[i:]
+        if left is not right or len(left) > 1 or len(blocks) == 1
+    ])
     totals = parts.groupBy("first", "second").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     spread = [F.col(f"s{v}{v}") - F.try_divide(F.pow(f"s{v}", F.lit(2)), F.col("n")) for v in "xy"]
     # what is left of a constant column after cancellation is rounding noise, not spread

@@ -9,12 +9,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerforge.session import BROADCAST_ROWS, is_small, written
+from offerforge.session import BROADCAST_ROWS, is_small, scratch_path, written
 
 HOT_SHARE = 0.001
 """A key with more than this share of the rows is joined apart; there can be at most 1 / HOT_SHARE such keys."""
 
 
+BUCKETS = 256
+"""Buckets of a table that is joined on its key again and again."""
 SALTS = 64
 """Parts that the rows of a hot or missing key are dealt to."""
 
@@ -52,8 +54,23 @@ def keep_last(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def outer_master(tables: Mapping[str, DataFrame], key: str = "customer_id") -> DataFrame:
-    """Full outer join of many tables on one key.
+def bucketed(df: DataFrame, name: str, key: str = "customer_id", buckets: int = BUCKETS) -> DataFrame:
+    """``df`` written to the shared folder in buckets of the key, one sorted file each, and read as a table.
+
+    Joins and aggregates on the key of such tables need no shuffle, however often they are run; choose ``buckets`` so that
+    one fits in a task's memory, and the same number for tables that meet.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table_name = path.rsplit("/", 1)[1].replace("-", "_")
+    writer = df.repartition(buckets, key).write.option("path", path).bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(table_name)
+    return spark.table(table_name)
+
+
+def outer_master(tables: Mapping[str, DataFrame], key: str = "customer_id", buckets: int | None = None) -> DataFrame:
+    """Full outer join of many tables on one key. With ``buckets``, the tables are ``bucketed`` in that number: then only
+    the keys are shuffled, to the buckets' partitioning.
 
     The keys of all tables, once each, are the spine; the tables are joined to it one after the other on its partitioning,
     so each table is shuffled once. Rows without a key match nothing and follow behind. A column name found in several
@@ -66,6 +83,7 @@ def outer_master(tables: Mapping[str, DataFrame], key: str = "customer_id") -> D
         for name, t in tables.items()
     ]
     spine = union_keys(renamed, key).filter(F.col(key).isNotNull())
+    spine = spine.repartition(buckets, key) if buckets else spine
     whole = reduce(lambda left, right: left.join(right.filter(F.col(key).isNotNull()), key, "left"), renamed, spine)
     lost = [t.filter(F.col(key).isNull()) for t in renamed]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lost, whole)

@@ -51,6 +51,12 @@ def corr_pairs_wide(spark, sf_dir):
     return numeric.correlations(spread, _COLUMNS).withColumn("corr", F.round("corr", 6))
 
 
+@query("corr_pairs_blocked", f"WITH {_LINES} {_PAIRS}")
+def corr_pairs_blocked(spark, sf_dir):
+    """The same pairs with the columns taken two at a time, as thousands of columns would be in larger blocks."""
+    return numeric.correlations(line_numbers(spark, sf_dir), _COLUMNS, block=2).withColumn("corr", F.round("corr", 6))
+
+
 @query(
     "top_corr",
     f"WITH {_LINES} SELECT first, second, corr FROM ({_PAIRS}) ORDER BY corr DESC NULLS LAST, first, second LIMIT 2",

@@ -15,8 +15,8 @@ from offerforge.plans.jobs import consolidate_card, recommend_card_up_sell
 from offerforge.plans.queries_features import MONTHS, _ROW_STATS, monthly_orders
 from offerforge.plans.queries_relational import consolidation_steps
 from offerforge.plans.registry import query, table
-from offerforge.session import written
-from offerforge.sources.rules import CATALOGUES, catalogue_rules, rule_rows
+from offerforge.session import scratch_path, written
+from offerforge.sources.rules import CATALOGUES, catalogue_rules, read_rule_file, rule_lines, rule_rows
 
 # --- card ladder --------------------------------------------------------------------------------------------------
 
@@ -349,6 +349,41 @@ def rule_paths_agree(spark, sf_dir):
     return both.select("o_orderkey", "customer_id", "compiled", "joined")
 
 
+@query(
+    "rule_file",
+    """
+SELECT 'brands' AS block, p_brand AS product, 0 AS rule_no, 'income' AS attribute, 'int' AS kind, min(p_size)::DOUBLE - 1 AS "min",
+  NULL::DOUBLE AS "max", NULL AS members, NULL AS refused FROM part GROUP BY p_brand
+UNION ALL SELECT 'brands', p_brand, 1, 'town', 'list', NULL, NULL, string_agg(DISTINCT p_type, '|' ORDER BY p_type), NULL
+FROM part GROUP BY p_brand
+UNION ALL SELECT 'nations', n_name, n_regionkey::INTEGER, 'balance', CASE WHEN n_nationkey % 5 = 4 THEN 'regex' ELSE 'non-list' END, 0,
+  CASE WHEN n_nationkey % 5 <> 3 THEN n_nationkey END, NULL,
+  CASE n_nationkey % 5 WHEN 4 THEN 'unknown kind' WHEN 3 THEN 'bound is no number' END FROM nation
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'not a rule' FROM region""",
+)
+def rule_file(spark, sf_dir):
+    """Two blocks of rules and broken lines written to rule files and read back, each line a rule or the reason why not."""
+    none = F.lit(None)
+    brands = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("product"))
+    sized = brands.agg((F.min("p_size").cast("double") - 1).alias("min")).select(
+        "product", F.lit(0).alias("rule_no"), F.lit("income").alias("attribute"), F.lit("int").alias("kind"), "min",
+        none.cast("double").alias("max"), none.cast("array<string>").alias("values"))
+    packed = brands.agg(F.array_sort(F.collect_set("p_type")).alias("values")).select(
+        "product", F.lit(1).alias("rule_no"), F.lit("town").alias("attribute"), F.lit("list").alias("kind"),
+        none.cast("double").alias("min"), none.cast("double").alias("max"), "values")
+    lines = rule_lines(sized.unionByName(packed), "brands")
+    # as people write them: open bounds as false, numbers bare
+    case = F.col("n_nationkey") % 5
+    nations = table(spark, sf_dir, "nation").select(F.format_string(
+        '{"block": "nations", "product": "%s", "rule_no": %d, "attribute": "balance", "type": "%s", "required_values": {"min": 0, "max": %s}}',
+        "n_name", "n_regionkey", F.when(case == 4, "regex").otherwise("non-list"),
+        F.when(case == 3, '"many"').otherwise(F.col("n_nationkey").cast("string"))).alias("value"))
+    broken = table(spark, sf_dir, "region").select(F.concat(F.lit('{"block": "brands", "product": '), "r_regionkey").alias("value"))
+    path = scratch_path(spark, "rules")
+    lines.unionByName(nations).unionByName(broken).write.text(path)
+    return read_rule_file(spark, path).withColumn("members", F.array_join("values", "|")).drop("values")
+
+
 _JOBS = ("Lawyer", "Doctor", "Business", "Engineer")
 
 

@@ -78,22 +78,23 @@ def consolidate_wide_numbers(spark, sf_dir):
 
 
 _AGGREGATES = {
-    "order_sums": "SELECT o_custkey AS customer_id, count(*) AS n_rows, round(sum(o_totalprice), 2) AS amount FROM orders "
-    "WHERE o_orderstatus = 'F' GROUP BY o_custkey",
+    "order_sums": "SELECT o_custkey + 40 AS customer_id, count(*) AS n_rows, round(sum(o_totalprice), 2) AS amount FROM orders "
+    "GROUP BY o_custkey",
     "event_sums": "SELECT user_id AS customer_id, count(*) AS n_rows, round(sum(\"value\"), 2) AS event_value FROM events GROUP BY user_id",
-    "profiles": "SELECT c_custkey AS customer_id, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0",
+    "profiles": "SELECT c_custkey * 2 AS customer_id, c_mktsegment, c_acctbal FROM customer",
 }
 
 
 def _aggregates(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("customer_id")).agg(
+    """Order and event sums and profiles of all customers, their keys shifted so that each table lacks some."""
+    orders = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") + 40).alias("customer_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("amount")
     )
     events = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("customer_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 2).alias("event_value")
     )
-    profiles = table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(
-        F.col("c_custkey").alias("customer_id"), "c_mktsegment", "c_acctbal"
+    profiles = table(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") * 2).alias("customer_id"), "c_mktsegment", "c_acctbal"
     )
     return {"orders": orders, "events": events, "profiles": profiles}
 
@@ -111,6 +112,31 @@ def outer_master(spark, sf_dir):
     return ops.outer_master(_aggregates(spark, sf_dir))
 
 
+@query(
+    "bucketed_master",
+    with_sql(
+        "",
+        "SELECT customer_id, o.n_rows AS orders_n_rows, amount, e.n_rows AS events_n_rows, event_value, c_mktsegment, c_acctbal "
+        "FROM order_sums o FULL JOIN event_sums e USING (customer_id) FULL JOIN profiles p USING (customer_id)",
+        **_AGGREGATES,
+    ),
+)
+def bucketed_master(spark, sf_dir):
+    """The same from tables written in buckets of the key, none of which is shuffled again."""
+    tables = {n: ops.bucketed(df, n, "customer_id", 16) for n, df in _aggregates(spark, sf_dir).items()}
+    return ops.outer_master(tables, buckets=16)
+
+
+@query(
+    "bucketed_attach",
+    with_sql("", "SELECT customer_id, c_mktsegment, c_acctbal, n_rows, amount FROM profiles JOIN order_sums USING (customer_id)", **_AGGREGATES),
+)
+def bucketed_attach(spark, sf_dir):
+    """Results attached to a snapshot, both in buckets of the key."""
+    parts = _aggregates(spark, sf_dir)
+    return ops.attach(*(ops.bucketed(parts[n], n, "customer_id", 16) for n in ("profiles", "orders")))
+
+
 @query(
     "inner_fanout",
     with_sql(
@@ -317,7 +343,7 @@ def yes_no_target(spark, sf_dir):
 )
 def label_encode(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    return encode.code_categories(orders, {"o_orderpriority": encode.fit_labels(orders, "o_orderpriority")})
+    return encode.encode_labels(orders, "o_orderpriority")
 
 
 @query(

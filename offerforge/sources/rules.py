@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RULE_SCHEMA = T.StructType(
@@ -81,8 +82,60 @@ def rule_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), RULE_SCHEMA)
 
 
+FILE_SCHEMA = (
+    "block string, product string, rule_no int, attribute string, type string, "
+    "required_values struct<min:string,max:string>, values array<string>, _corrupt string"
+)
+"""A rule file's lines: one JSON object per rule. Bounds are read as text, as open ones may be written as false."""
+KINDS = ("int", "non-list", "list")
+
+
+def read_rule_file(spark: SparkSession, path: str) -> DataFrame:
+    """``block``, the columns of a rule table and ``refused`` for every line of the rule files under ``path``.
+
+    Spark reads and checks the lines where they are. ``refused`` names the first fault of a line, NULL where there is none:
+    not an object of this form, a name missing, a kind not known, a bound that is no number, a list without values. An open
+    bound is left out, null or false; 0 is a bound.
+    """
+    lines = spark.read.schema(FILE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+
+    def bound(side: str) -> tuple[Column, Column]:
+        text = F.nullif(F.lower(F.trim(F.col(f"required_values.{side}"))), F.lit("false"))
+        number = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+        return number.alias(side), text.isNotNull() & number.isNull()
+
+    (low, bad_low), (high, bad_high) = bound("min"), bound("max")
+    no_values = (F.col("type") == "list") & (F.coalesce(F.size(F.array_compact("values")), F.lit(0)) <= 0)
+    faults = [
+        (F.col("_corrupt").isNotNull(), "not a rule"),
+        (F.col("block").isNull() | F.col("product").isNull() | F.col("attribute").isNull(), "name missing"),
+        (~F.coalesce(F.col("type").isin(*KINDS), F.lit(False)), "unknown kind"),
+        (bad_low | bad_high, "bound is no number"),
+        (no_values, "list without values"),
+    ]
+    refused = F.coalesce(*[F.when(fault, F.lit(text)) for fault, text in faults])
+    return lines.select(
+        "block", "product", "rule_no", "attribute", F.col("type").alias("kind"), low, high, "values", refused.alias("refused"))
+
+
+def read_rule_block(spark: SparkSession, path: str, block: str) -> DataFrame:
+    """Rule table of one block; an error that names some faults when any line of the files is refused."""
+    lines = read_rule_file(spark, path)
+    if faults := lines.filter("refused IS NOT NULL").limit(20).collect():
+        named = (f"{r.block}/{r.product}/{r.rule_no}: {r.refused}" for r in faults)
+        raise ValueError(f"rule files under {path} are refused: {'; '.join(named)}")
+    return lines.filter(F.col("block") == block).select(*RULE_SCHEMA.names)
+
+
+def rule_lines(rules: DataFrame, block: str) -> DataFrame:
+    """``value``: the lines of a rule file for one block, to be written with ``write.text``."""
+    bounds = F.struct(F.col("min").cast("string").alias("min"), F.col("max").cast("string").alias("max")).alias("required_values")
+    fields = [F.lit(block).alias("block"), "product", "rule_no", "attribute", F.col("kind").alias("type"), bounds, "values"]
+    return rules.select(F.to_json(F.struct(*fields)).alias("value"))
+
+
 def read_rules(spark: SparkSession, path: str, block: str) -> DataFrame:
-    """One named block of a YAML rule file as rule rows; ``path`` may be on any file system Spark reads."""
+    """One named block of a small hand-written YAML rule file as rule rows; ``path`` may be on any file system Spark reads."""
     import yaml
 
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerforge.functions import dates, geo, names, policy, rows
 from offerforge.operators import lookups, profile
-from offerforge.operators.tables import consolidate_transactions, keep_last, lookup_join, outer_master
+from offerforge.operators.tables import attach, bucketed, consolidate_transactions, keep_last, lookup_join, outer_master
 from offerforge.sources import tables as src
 
 AS_OF = date(2002, 1, 15)
@@ -118,6 +118,25 @@ def test_lookup_join_spreads_missing_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
 
 
+def test_bucketed_tables_are_not_shuffled_again(spark):
+    def made(n, name):
+        df = spark.range(n).select(F.when(F.col("id") > 2, F.col("id")).alias("customer_id"), F.md5(F.col("id").cast("string")).alias(name))
+        return bucketed(df, name, buckets=8)
+
+    tables = {n: made(k, n) for n, k in (("one", 500), ("two", 700))}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        master, attached = outer_master(tables, buckets=8), attach(tables["one"], tables["two"])
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (master, attached)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plans[0].splitlines() if "Exchange" in line]
+    assert plans[0].count("SortMergeJoin") == 2 and len(dealt) <= 2 and not any("one" in x or "two" in x for x in dealt)
+    assert "SortMergeJoin" in plans[1] and "Exchange" not in plans[1]
+    assert master.count() == 697 + 6 and attached.count() == 497
+
+
 def test_outer_master_shuffles_each_table_once(spark):
     small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -102,6 +102,24 @@ def test_code_table_in_ranges_is_a_ranking(spark):
     assert [got[v] for v in sorted(got)] == list(range(5000))
 
 
+def test_code_table_in_fifty_ranges_keeps_a_short_plan(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 9 > 0, F.md5(F.col("id").cast("string"))).alias("t"), "id")
+    codes = encode.code_table(df, "t", ranges=50)
+    got = {r.value: r.code for r in codes.collect()}
+    known = sorted(v for v in got if v is not None)
+    assert [got[v] for v in known] == list(range(len(known))) and got[None] == len(known)
+    assert len(codes._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    first = {r.value: r.code for r in encode.code_table(df, "t", "id", 50).collect()}
+    assert first[None] == 0 and sorted(first.values()) == list(range(len(first)))
+
+
+def test_correlations_in_blocks_equal_those_at_once(spark):
+    df = spark.range(300).select(*[(F.when(F.col("id") % (i + 5) > 0, F.sin(F.col("id") * (i + 1)) + F.col("id") * i)).alias(f"c{i}") for i in range(7)])
+    whole, parts = (
+        {(r.first, r.second): r["corr"] for r in numeric.correlations(df, df.columns, block).collect()} for block in (256, 3))
+    assert parts == pytest.approx(whole) and len(parts) == 21
+
+
 def test_too_many_categories_is_an_error(spark):
     with pytest.raises(ValueError, match="categories"):
         encode.fit_categories(spark.range(50).select(F.col("id").cast("string").alias("t")), ["t"], 10)

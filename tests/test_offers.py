@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerforge.operators import eligibility, model, recommend
-from offerforge.sources.rules import CATALOGUES, catalogue_rules, read_rules, rule_rows
+from offerforge.sources.rules import (
+    CATALOGUES, catalogue_rules, read_rule_block, read_rule_file, read_rules, rule_lines, rule_rows,
+)
 
 
 def values(df, *columns):
@@ -118,6 +120,21 @@ def test_rule_file_and_shipped_catalogue_agree(spark, tmp_path):
     assert got == sorted(map(str, catalogue_rules(spark, "medical_insurance").collect()))
 
 
+def test_rule_block_is_read_whole_or_refused(spark, tmp_path):
+    rules = catalogue_rules(spark, "motor_insurance").unionByName(catalogue_rules(spark, "occupation"))
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    rule_lines(rules, "all").write.text(good)
+    assert sorted(map(str, read_rule_block(spark, good, "all").collect())) == sorted(map(str, rules.collect()))
+    assert read_rule_block(spark, good, "none").count() == 0
+    lines = ['{"block": "b", "product": "p", "rule_no": 0, "attribute": "a", "type": "int", "required_values": {"min": false, "max": 0}}',
+             '{"block": "b", "product": "p", "rule_no": 1, "attribute": "a", "type": "list", "values": [null]}', "nothing"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(bad)
+    found = sorted(map(str, values(read_rule_file(spark, bad), "min", "max", "refused")))
+    assert found == sorted(map(str, [(None, 0.0, None), (None, None, "list without values"), (None, None, "not a rule")]))
+    with pytest.raises(ValueError, match="list without values"):
+        read_rule_block(spark, bad, "b")
+
+
 def test_split_is_stable_disjoint_and_whole(spark):
     df = spark.range(2000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("customer_id"))
     parts = [model.key_split(df.repartition(n)) for n in (1, 7)]
