@@ -59,17 +59,26 @@ def _numbered(donors: DataFrame, point: str, name: str, marks: Sequence[float],
 
 
 def _cells(donors: DataFrame, d: int) -> DataFrame:
-    """Count and bounds of every non-empty cell of the finest level."""
+    """Count and bounds of every non-empty cell of each search's finest level."""
     bounds = [f(f"_f{i}").alias(f"_{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    return donors.groupBy(*_bins(d)).agg(F.count(F.lit(1)).alias("_n"), *bounds)
+    return donors.groupBy("_s", "_bits", *_bins(d)).agg(F.count(F.lit(1)).alias("_n"), *bounds)
 
 
-def _coarser(cells: DataFrame, d: int, bits: int, split: int | None = None) -> DataFrame:
-    """The same cells merged by dropping the last ``bits`` bits of their numbers, all bits beyond ``split`` coordinates."""
+def _shift(level: int) -> Column:
+    """Last bits of a search's finest cell numbers that are dropped at a level."""
+    return F.greatest(F.col("_bits") - level, F.lit(0))
+
+
+def _dropped(number: str, bits: Column) -> Column:
+    return F.floor(F.col(number) / F.pow(F.lit(2.0), bits)).cast("bigint")
+
+
+def _coarser(cells: DataFrame, d: int, level: int, split: int | None = None) -> DataFrame:
+    """The cells merged to a level; coordinates beyond ``split`` are not told apart."""
     split = d if split is None else split
-    keys = [(F.shiftright(b, bits) if i < split else F.lit(0).cast("bigint")).alias(b) for i, b in enumerate(_bins(d))]
+    keys = [(_dropped(b, _shift(level)) if i < split else F.lit(0).cast("bigint")).alias(b) for i, b in enumerate(_bins(d))]
     bounds = [f(f"_{n}{i}").alias(f"_{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    return cells.groupBy(*keys).agg(F.sum("_n").alias("_n"), *bounds)
+    return cells.groupBy("_s", "_bits", *keys).agg(F.sum("_n").alias("_n"), *bounds)
 
 
 def _nearest_square(d: int) -> Column:
@@ -91,11 +100,11 @@ def _pruned(frontier: DataFrame, d: int, k: int) -> DataFrame:
     carried along, with a hair of slack for rounding.
     """
     sure = F.when(F.col("_n") >= k, _farthest_square(d))
-    bound = F.min(F.least("_limit", sure)).over(Window.partitionBy("_q"))
+    bound = F.min(F.least("_limit", sure)).over(Window.partitionBy("_s", "_q"))
     return (
         frontier.withColumn("_limit", bound)
         .filter(_nearest_square(d) <= F.col("_limit") * (1 + 1e-9))
-        .select("_q", "_limit", *[f"_f{i}" for i in range(d)], *_bins(d))
+        .select("_s", "_q", "_limit", *[f"_f{i}" for i in range(d)], *_bins(d))
     )
 
 
@@ -107,69 +116,70 @@ def nearest_donors(
     ``queries`` holds ``_q`` (unique) and ``donors`` holds ``_key`` and ``_value``; both hold coordinates ``_f0`` to
     ``_f<d-1>`` without missing values.
     """
+    one = {"_s": F.lit(0), "_m": F.lit((1 << d) - 1)}
+    return masked_donors(queries.withColumns(one), donors.withColumns(one), d, k, donors_per_cell).drop("_s", "_m")
+
+
+def masked_donors(
+    queries: DataFrame, donors: DataFrame, d: int, k: int, donors_per_cell: int = DONORS_PER_CELL
+) -> DataFrame:
+    """(_s, _m, _q, _d, _key, _value): the k nearest donors of each query within its search ``_s``, for all searches at once.
+
+    Both tables hold the search and its mask ``_m``, whose bits tell the coordinates that count in it; the others are 0 in
+    its rows. The search is part of the key of the cells. Each has cells as fine as its donors and coordinates ask for, and
+    all descend the levels together, so the number of jobs does not follow the number of searches.
+    """
     points = [f"_f{i}" for i in range(d)]
     # of donors at one point only the first k by key can count, and the ranking drops the others before the shuffle
-    same = Window.partitionBy(*points).orderBy("_key")
+    same = Window.partitionBy("_s", *points).orderBy("_key")
     donors = written(donors.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank"))
 
-    # one sketch per coordinate; the number of cells follows from the count of the same pass
+    # one sketch per coordinate over the donors it counts for, and the cells' bits of every search from its size
     marks = [i / 2**MAX_BITS for i in range(1, 2**MAX_BITS)]
-    fit = donors.agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile_approx(p, marks, 10_000).alias(p) for p in points]
-    ).first()
-    if fit.n == 0:
+    seen = [F.when(F.col("_m").bitwiseAND(1 << i) > 0, F.col(p)) for i, p in enumerate(points)]
+    fit = donors.agg(*[F.percentile_approx(x, marks, 10_000).alias(p) for x, p in zip(seen, points)]).first()
+    wide = F.log2(F.greatest(F.count(F.lit(1)) / donors_per_cell, F.lit(2.0))) / F.bit_count("_m")
+    sizes = written(donors.groupBy("_s", "_m").agg(F.greatest(F.ceil(wide), F.lit(1)).cast("int").alias("_bits")))
+    bits = sizes.agg(F.max("_bits")).first()[0]  # a row per search
+    if bits is None:
         return _no_neighbours(queries, donors)
-    bits = max(math.ceil(math.log2(max(fit.n / donors_per_cell, 2)) / d), 1)
     for b, p in zip(_bins(d), points):
-        donors = _numbered(donors, p, b, fit[p], bits)
+        donors = _numbered(donors, p, b, fit[p] or [], bits)
+    donors = donors.join(F.broadcast(sizes.drop("_m")), "_s")
+    donors = donors.withColumns({b: _dropped(b, bits - F.col("_bits")) for b in _bins(d)})
 
-    finest = _cells(donors, d)
+    finest = written(_cells(donors, d))
     level = min(bits, max(int(math.log2(START_CELLS) / d), 1))
     split = min(d, int(math.log2(START_CELLS)))  # coordinates told apart at the start; the others from the first step on
-    if level < bits or split < d:
-        finest = written(finest)
-        top = _coarser(finest, d, bits - level, split).collect()  # at most START_CELLS rows
-    else:
-        top = finest.collect()
-    names = [*_bins(d), "_n", *[f"_{n}{i}" for i in range(d) for n in ("lo", "hi")]]
-    table = F.expr(f"array({', '.join(_struct_text(row, names) for row in top)})")
-    frontier = _pruned(
-        queries.withColumns({"_limit": F.lit(float("inf")), "_c": F.explode(table)}).select(
-            "_q", "_limit", *points, "_c.*"
-        ),
-        d, k,
-    )
+    top = _coarser(finest, d, level, split).drop("_bits")  # at most START_CELLS rows per search
+    asked = queries.select("_s", "_q", *points, F.lit(float("inf")).alias("_limit"))
+    frontier = _pruned(asked.join(F.broadcast(top), "_s"), d, k)
     while level < bits or split < d:
         step = min(max(CHILD_BITS // d, 1), bits - level)
         level += step
-        cells = _coarser(finest, d, bits - level) if level < bits else finest
-        children = cells.withColumns(
-            {f"_p{i}": F.shiftright(b, step) if i < split else F.lit(0).cast("bigint") for i, b in enumerate(_bins(d))}
-        )
+        fewer = _shift(level - step) - _shift(level)
+        children = _coarser(finest, d, level).withColumns(
+            {f"_p{i}": _dropped(b, fewer) if i < split else F.lit(0).cast("bigint") for i, b in enumerate(_bins(d))}
+        ).drop("_bits")
         split = d
         parents = frontier.withColumnsRenamed({b: f"_p{i}" for i, b in enumerate(_bins(d))})
-        frontier = _pruned(parents.join(children, [f"_p{i}" for i in range(d)]), d, k)
+        frontier = _pruned(parents.join(children, ["_s", *[f"_p{i}" for i in range(d)]]), d, k)
 
-    near = frontier.select("_q", *[F.col(p).alias(f"_at{i}") for i, p in enumerate(points)], *_bins(d))
+    near = frontier.select("_s", "_q", *[F.col(p).alias(f"_at{i}") for i, p in enumerate(points)], *_bins(d))
     square = reduce(add, [(F.col(f"_at{i}") - F.col(p)) * (F.col(f"_at{i}") - F.col(p)) for i, p in enumerate(points)])
-    met = near.join(donors, _bins(d)).select("_q", square.alias("_d"), "_key", "_value")
-    return _first(met, k)
-
-
-def _struct_text(row, names: Sequence[str]) -> str:
-    fields = (f"'{n}', {row[n]!r}D" if isinstance(row[n], float) else f"'{n}', {row[n]}" for n in names)
-    return f"named_struct({', '.join(fields)})"
+    met = near.join(donors, ["_s", *_bins(d)]).select("_s", "_m", "_q", square.alias("_d"), "_key", "_value")
+    return _first(met, k, "_s", "_q")
 
 
-def _first(candidates: DataFrame, k: int) -> DataFrame:
-    window = Window.partitionBy("_q").orderBy("_d", "_key")
+def _first(candidates: DataFrame, k: int, *by: str) -> DataFrame:
+    window = Window.partitionBy(*by).orderBy("_d", "_key")
     return candidates.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def _no_neighbours(queries: DataFrame, donors: DataFrame) -> DataFrame:
     """An empty result."""
     nobody = F.lit(None).cast(queries.schema["_q"].dataType).alias("_q")
-    return donors.filter(F.lit(False)).select(nobody, F.lit(0.0).alias("_d"), "_key", "_value")
+    return donors.filter(F.lit(False)).select("_s", "_m", nobody, F.lit(0.0).alias("_d"), "_key", "_value")
 
 
 def _neighbours(
@@ -177,49 +187,69 @@ def _neighbours(
 ) -> DataFrame:
     """Nearest donors of every distinct feature vector among the rows missing ``column``.
 
-    Distances use the coordinates both rows have, scaled up by the share they are of all ``coordinates``. Rows are
-    split by which features they have, a handful of cases, and each set of shared features is one search per kind of donor.
+    Distances use the coordinates both rows have, scaled up by the share they are of all ``coordinates``. Which features a
+    row has is a mask. A search is a donors' mask with the part of it that a query shares; a donor takes part in the
+    searches of all queries' masks, a query in those of all donors' masks, and all of them are one ``masked_donors``.
     """
-    pattern = F.concat(*[F.when(F.col(f).isNull(), "0").otherwise("1") for f in features])
+    d = len(features)
+    have = reduce(add, [F.when(F.col(f).isNull(), 0).otherwise(1 << i) for i, f in enumerate(features)])
     base = df.select(
         F.col(key).alias("_key"), F.col(column).alias("_value"), F.struct(*features).alias("_q"),
-        *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)], pattern.alias("_pattern"),
+        *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)], have.alias("_have"),
     )
-    cases = base.groupBy("_pattern", F.col("_value").isNull().alias("open")).count().collect()
-    found = []
-    for offered in sorted(r._pattern for r in cases if not r.open):
-        donors = base.filter(F.col("_value").isNotNull() & (F.col("_pattern") == offered))
-        searches: dict[tuple[int, ...], list[str]] = {}
-        for have in sorted(r._pattern for r in cases if r.open):
-            shared = tuple(i for i in range(len(features)) if have[i] == offered[i] == "1")
-            searches.setdefault(shared, []).append(have)
-        for shared, haves in searches.items():
-            if not shared:
-                continue
-            queries = base.filter(F.col("_value").isNull() & F.col("_pattern").isin(haves)).dropDuplicates(["_q"])
-            as_points = [F.col(f"_x{i}").alias(f"_f{n}") for n, i in enumerate(shared)]
-            near = nearest_donors(
-                queries.select("_q", *as_points), donors.select("_key", "_value", *as_points), len(shared), k,
-                donors_per_cell,
-            )
-            found.append(near.withColumn("_d", F.col("_d") * (coordinates / len(shared))))
-    if not found:
-        return _no_neighbours(base, base)
-    return found[0] if len(found) == 1 else _first(reduce(DataFrame.unionByName, found), k)
-
-
-def _filled(df: DataFrame, column: str, features: Sequence[str], values: DataFrame, default: Column) -> DataFrame:
-    """Missing values from ``values(_q, _new)``; rows that have a value take no part in the join."""
-    values = written(values)
-    complete = df.filter(F.col(column).isNotNull())
-    missing = df.filter(F.col(column).isNull()).withColumn("_q", F.struct(*features))
-    joined = lookup_join(missing, values, ["_q"])
-    filled = F.coalesce("_new", default).alias(column)
-    names = [filled if c == column else F.col(c) for c in df.columns]
-    whole = [filled.cast("double").alias(column) if c == column else F.col(c) for c in df.columns]
-    number = isinstance(values.schema["_new"].dataType, T.DoubleType)
-    head = [F.col(c).cast("double").alias(c) if c == column and number else F.col(c) for c in df.columns]
-    return complete.select(*head).unionByName(joined.select(*(whole if number else names)))
+    masks = base.agg(  # at most one entry per mask
+        F.collect_set(F.when(F.col("_value").isNull(), F.col("_have"))).alias("asked"),
+        F.collect_set(F.when(F.col("_value").isNotNull(), F.col("_have"))).alias("offered")).first()
+
+    def searched(rows: DataFrame, others: Sequence[int], offers: bool) -> DataFrame:
+        """Rows with their searches; coordinates outside a search's mask are 0."""
+        def search(other: Column) -> Column:
+            shared = F.col("_have").bitwiseAND(other)
+            whose = F.col("_have") if offers else other
+            return F.struct((whose * (1 << d) + shared).alias("_s"), shared.alias("_m"))
+
+        listed = F.array_distinct(F.transform(F.array(*[F.lit(m) for m in sorted(others)]).cast("array<int>"), search))
+        rows = rows.withColumn("_r", F.explode(listed)).select("*", "_r.*").filter("_m <> 0")
+        return rows.withColumns(
+            {f"_f{i}": F.when(F.col("_m").bitwiseAND(1 << i) > 0, F.col(f"_x{i}")).otherwise(0.0) for i in range(d)})
+
+    points = [f"_f{i}" for i in range(d)]
+    queries = searched(base.filter("_value IS NULL").dropDuplicates(["_q"]), masks.offered, False)
+    donors = searched(base.filter("_value IS NOT NULL"), masks.asked, True)
+    near = masked_donors(
+        queries.select("_s", "_m", "_q", *points), donors.select("_s", "_m", "_key", "_value", *points), d, k, donors_per_cell)
+    near = near.withColumn("_d", F.col("_d") * F.lit(coordinates) / F.bit_count("_m")).drop("_s", "_m")
+    return near if len(masks.offered) < 2 else _first(near, k, "_q")
+
+
+def _answers(missing: DataFrame, features: Sequence[str], values: DataFrame, default: Column) -> DataFrame:
+    """The rows of ``missing`` with ``_new``, from ``values(_q, _new)`` or the default."""
+    joined = lookup_join(missing.withColumn("_q", F.struct(*features)), written(values), ["_q"])
+    return joined.withColumn("_new", F.coalesce("_new", default)).drop("_q")
+
+
+def _filled(df: DataFrame, column: str, answers: DataFrame) -> DataFrame:
+    """``df`` with its rows that miss ``column`` taken from ``answers``."""
+    kind = answers.schema["_new"].dataType
+    complete = df.filter(F.col(column).isNotNull()).withColumn(column, F.col(column).cast(kind))
+    return complete.unionByName(answers.withColumn(column, F.col("_new")).select(*df.columns))
+
+
+def _number_answers(
+    df: DataFrame, column: str, features: Sequence[str], key: str, k: int, donors_per_cell: int
+) -> DataFrame:
+    near = _neighbours(df, column, features, key, k, len(features) + 1, donors_per_cell)
+    values = near.groupBy("_q").agg(F.avg(F.col("_value").cast("double")).alias("_new"))
+    mean = F.lit(fit_stats(df, [column])[column].mean).cast("double")
+    return _answers(df.filter(F.col(column).isNull()), features, values, mean)
+
+
+def _category_answers(
+    df: DataFrame, column: str, features: Sequence[str], key: str, k: int, donors_per_cell: int
+) -> DataFrame:
+    near = _neighbours(df, column, features, key, k, len(features), donors_per_cell)
+    values = near.groupBy("_q").agg(F.mode("_value", True).alias("_new"))
+    return _answers(df.filter(F.col(column).isNull()), features, values, F.lit(None).cast("string"))
 
 
 def impute_numeric(
@@ -231,10 +261,7 @@ def impute_numeric(
     donors_per_cell: int = DONORS_PER_CELL,
 ) -> DataFrame:
     """Missing numbers as the mean of the k nearest rows on ``features``; the column mean where no row is comparable."""
-    near = _neighbours(df, column, features, key, k, len(features) + 1, donors_per_cell)
-    values = near.groupBy("_q").agg(F.avg(F.col("_value").cast("double")).alias("_new"))
-    mean = fit_stats(df, [column])[column].mean
-    return _filled(df, column, features, values, F.lit(mean).cast("double"))
+    return _filled(df, column, _number_answers(df, column, features, key, k, donors_per_cell))
 
 
 def impute_category(
@@ -246,9 +273,7 @@ def impute_category(
     donors_per_cell: int = DONORS_PER_CELL,
 ) -> DataFrame:
     """Missing categories by majority among the k nearest rows, the smallest category on a tie."""
-    near = _neighbours(df, column, features, key, k, len(features), donors_per_cell)
-    values = near.groupBy("_q").agg(F.mode("_value", True).alias("_new"))
-    return _filled(df, column, features, values, F.lit(None).cast("string"))
+    return _filled(df, column, _category_answers(df, column, features, key, k, donors_per_cell))
 
 
 def importance_spread(df: DataFrame, column: str, features: Sequence[str], seed: int = 123, depth: int = DEPTH) -> list[tuple[str, float]]:
@@ -269,10 +294,12 @@ def impute_missing(
     """Fills every column with missing values, numbers first, each from the table as completed so far.
 
     A number is filled from its most correlated columns, by sign, a category from the numeric columns, filled ones
-    included, whose importance varies most. The table is written after each column, which keeps the plan short.
+    included, whose importance varies most. Rows are numbered and written once; what later columns rest on is kept as a
+    table of the numbers alone, and all answers, one row per hole, are joined to the rows at the end.
     """
     shared_folder(df.sparkSession)
     columns = [c for c in df.columns if c != key] if columns is None else list(columns)
+    df = written(df.withColumn("_row", F.monotonically_increasing_id()))
     known = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first().asDict()
     holes = {c: known["_rows"] - known[c] for c in columns}
     numeric = [c for c in numeric_columns(df) if c in columns]
@@ -280,18 +307,39 @@ def impute_missing(
     if any(holes[c] for c in numeric):
         for r in correlations(df, numeric).collect():
             pairs[r.first, r.second] = pairs[r.second, r.first] = r["corr"]
+    numbers, answers = df.select("_row", key, *numeric), []
     for column in [c for c in numeric if holes[c]]:
         others = [c for c in numeric if pairs.get((column, c)) is not None]
         features = sorted(others, key=lambda c: -pairs[column, c])[: CORRELATED_COLUMNS - 1]
         if features:
-            df = written(impute_numeric(df, column, features, key, donors_per_cell=donors_per_cell))
+            found = written(_number_answers(numbers, column, features, key, NUMERIC_NEIGHBOURS, donors_per_cell))
+            answers.append(found.select("_row", F.lit(column).alias("_column"), F.col("_new").alias("_number"), F.lit(None).cast("string").alias("_text")))
+            numbers = written(_filled(numbers, column, found))
         else:  # no row is comparable
-            df = df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(fit_stats(df, [column])[column].mean)))
+            mean = fit_stats(df, [column])[column].mean
+            numbers = numbers.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(mean)))
+            df = df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(mean)))
     complete = [c for c in numeric if known[c]]  # by now without holes
     texts = [c for c in columns if c not in numeric and holes[c]]
     if texts and not complete:
         raise ValueError(f"no numeric column with a value to fill {', '.join(texts)} from")
+    if texts:
+        told = numbers.join(df.select("_row", *texts), "_row")
+        told = written(told) if len(texts) > 1 else told
     for column in texts:
-        features = [f for f, _ in importance_spread(df, column, complete)[:CATEGORY_FEATURES]]
-        df = written(impute_category(df, column, features, key, donors_per_cell=donors_per_cell))
-    return df
+        features = [f for f, _ in importance_spread(told, column, complete)[:CATEGORY_FEATURES]]
+        found = _category_answers(told, column, features, key, CATEGORY_NEIGHBOURS, donors_per_cell)
+        answers.append(found.select("_row", F.lit(column).alias("_column"), F.lit(None).cast("double").alias("_number"), F.col("_new").cast("string").alias("_text")))
+    if not answers:
+        return df.drop("_row")
+    by_row = reduce(DataFrame.unionByName, answers).groupBy("_row")
+
+    def answer(column: str) -> Column:
+        return F.max(F.when(F.col("_column") == column, F.col("_number" if column in numeric else "_text"))).alias(f"_new_{column}")
+
+    filled = [c for c in columns if holes[c] and (c in texts or any(pairs.get((c, o)) is not None for o in numeric))]
+    whole = df.join(by_row.agg(*[answer(c) for c in filled]), "_row", "left")
+    kinds = {c: "double" if c in numeric else "string" for c in filled}
+    return whole.select(*[
+        F.coalesce(F.col(c).cast(kinds[c]), F.col(f"_new_{c}")).alias(c) if c in filled else F.col(c) for c in df.columns if c != "_row"
+    ])
