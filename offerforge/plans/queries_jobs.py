@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerforge.operators import model, recommend
+from offerforge.operators.eligibility import with_final_offers
 from offerforge.operators.profile import value_frequency
 from offerforge.plans import fixtures as fx
 from offerforge.plans import jobs
@@ -13,12 +14,12 @@ from offerforge.plans.fixtures import AS_OF, CTES, age_sql, tenure_sql, with_sql
 from offerforge.plans.queries_features import (
     ADDRESSES, EDGES_ROW_SQL, KM_SQL, LOCATED, TIER_SQL, choice_sql,
 )
-from offerforge.plans.queries_offers import CARD_OFFERS, LINES, _final_sql, insurance_candidates
+from offerforge.plans.queries_offers import CARD_OFFERS, LINES, _final_sql, _line_steps, insurance_candidates
 from offerforge.plans.queries_relational import consolidation_steps, rounded_amounts
 from offerforge.plans.registry import query, table
 from offerforge.session import scratch_path, written
 from offerforge.sources.rules import catalogue_rules
-from offerforge.sources.tables import read_csv_table, write_csv_table
+from offerforge.sources.tables import candidate_names, read_csv_table, write_csv_table
 
 FUNDS = ("Equity", "Debt", "Hybrid")
 TIERS = ("Basic", "Silver", "Gold", "Platinum")
@@ -303,9 +304,9 @@ _CARD_DERIVED = (
 )
 
 
-def preprocessed_card_cross_sell(spark, sf_dir) -> jobs.Preprocessed:
+def preprocessed_card_cross_sell(spark, sf_dir, **replaced) -> jobs.Preprocessed:
     return jobs.preprocess(
-        card_customers(spark, sf_dir), jobs.PREPROCESS["card_cross_sell"], AS_OF, fx.cities(spark, sf_dir), order_by="row_no"
+        card_customers(spark, sf_dir).withColumns(replaced), jobs.PREPROCESS["card_cross_sell"], AS_OF, fx.cities(spark, sf_dir), order_by="row_no"
     )
 
 
@@ -584,13 +585,6 @@ def _ranked(done: jobs.Recommended, name: str) -> DataFrame:
     return recommend.explode_offers(done.offers, name, "customer_id", "age")
 
 
-@query("job_card_cross_sell_offers")
-def job_card_cross_sell_offers(spark, sf_dir):
-    done = preprocessed_card_cross_sell(spark, sf_dir)
-    name = "credit_cross_sell_top3_reco"
-    return _ranked(jobs.recommend_multiclass(done.features, done.snapshot, "card_type", name), name)
-
-
 @query(
     "job_card_up_sell_offers",
     with_sql(
@@ -620,6 +614,22 @@ def _answers(done: jobs.Recommended, name: str) -> DataFrame:
     )
 
 
+CARDS = ("Silver", "Gold", "Platinum")
+
+
+@query(
+    "job_card_cross_sell_offers",
+    with_sql(
+        "customers", f"SELECT customer_id, age, {_pick('length(occupation)', CARDS)} AS best, true AS sure, CAST(3 AS BIGINT) AS n_offers, "
+        f"true AS descending, true AS whole FROM derived WHERE {_IN_TEST.format(key='customer_id')}", derived=_CARD_DERIVED),
+)
+def job_card_cross_sell_offers(spark, sf_dir):
+    """Cards of the test customers, learnt where the occupation tells the card."""
+    done = preprocessed_card_cross_sell(spark, sf_dir, card_type=fx.pick(F.length("occupation"), CARDS))
+    name = "credit_cross_sell_top3_reco"
+    return _answers(jobs.recommend_multiclass(done.features, done.snapshot, "card_type", name), name)
+
+
 def _register_multiclass(job: str, target: str, name: str, load, labels: int) -> None:
     sql = with_sql(
         "customers", f"SELECT customer_id, age, {_TARGET_SQL[job]} AS best, true AS sure, "
@@ -664,20 +674,92 @@ def job_funds_accuracy(spark, sf_dir):
     return jobs.recommend_multiclass(done.features, done.snapshot, "fund_type", "fund_top3_reco").accuracy
 
 
-@query("job_insurance_up_sell_offers")
+# What tells the add-on of each line: the policy's column, the value, the add-on for it and that for all others.
+ADDONS = {
+    "travel": ("travel_addon", "channel", "Online", "Ticket Protector", "Cancellation Plan"),
+    "motor": ("motor_addon", "collision_type", "Rear", "Parked Car", "Multi-Vehicle Collision"),
+    "medical": ("medical_addon", "smoker", "Yes", "Cardiovascular", "Dental"),
+    "home": ("addon", "alarm", "Y", "Lock", "Garden"),
+    "property": ("addon", "tenure_kind", "Let", "Fire", "Flood"),
+}
+
+
+def told_tables(spark, sf_dir, *lines: str) -> jobs.InsuranceTables:
+    """The job's tables with add-ons that a feature tells, and incomes in the range of the rules."""
+    customer = fx.customers(spark, sf_dir).select(
+        "customer_id", "occupation", "marital_status", "dob", "customer_to_bank", "city", (F.col("income") * 20).alias("income"), "branch_group"
+    )
+    policies = {}
+    for line in lines:
+        target, column, value, addon, other = ADDONS[line]
+        told = F.when(F.col(column) == value, addon).otherwise(other)
+        policies[line] = getattr(fx, f"{line}_policy")(spark, sf_dir).withColumn(target, told)
+    return jobs.preprocess_insurance(customer, policies, AS_OF, fx.cities(spark, sf_dir))
+
+
+def _told_sql(line: str) -> str:
+    """Test customers of a line with their two add-ons in order."""
+    _, column, value, addon, other = ADDONS[line]
+    first, second = (f"CASE WHEN {column} = '{value}' THEN '{a.lower()}' ELSE '{b.lower()}' END" for a, b in ((addon, other), (other, addon)))
+    return (
+        f"SELECT lower(customer_id) AS customer_id, {first} AS first, {second} AS second FROM {line}_policy JOIN customers USING (customer_id) "
+        f"WHERE {_IN_TEST.format(key='lower(customer_id)')}"
+    )
+
+
+@query(
+    "job_insurance_up_sell_offers",
+    with_sql(
+        "customers " + " ".join(f"{line}_policy" for line in ADDONS),
+        " UNION ALL ".join(
+            f"SELECT customer_id, '{line}' AS line, {rank} AS rank, {which} AS label FROM told_{line}"
+            for line in ADDONS for rank, which in ((1, "first"), (2, "second"))),
+        **{f"told_{line}": _told_sql(line) for line in ADDONS}),
+)
 def job_insurance_up_sell_offers(spark, sf_dir):
-    combined, _ = jobs.recommend_insurance(insurance_tables(spark, sf_dir))
-    return combined.select("customer_id", *[
-        F.get(f"{line}_top3_reco", F.lit(0))["label"].alias(f"{line}_best") for line in _LINE_SQL
-    ])
+    """The best add-ons of all five lines, side by side by customer, unfolded to rows."""
+    combined, _ = jobs.recommend_insurance(told_tables(spark, sf_dir, *ADDONS))
+    listed = F.map_from_arrays(F.array(*[F.lit(x) for x in ADDONS]), F.array(*[F.col(f"{x}_top3_reco") for x in ADDONS]))
+    by_line = written(combined.select("customer_id", listed.alias("_offers"))).select("customer_id", F.explode("_offers").alias("line", "_o"))
+    return recommend.explode_offers(by_line, "_o", "customer_id", "line").drop("score")
+
+
+def _chain_sql() -> str:
+    steps = {k: v for k, v in _line_steps().items() if not k.endswith("_candidates")}
+    told = {f"told_{x}": _told_sql(x) for x in LINES}
+    candidates = {
+        f"{x}_candidates": f"SELECT a.customer_id, unnest([first, second]) AS product, unnest([1, 2]) AS r FROM attributes a "
+        f"JOIN told_{x} t ON lower(a.customer_id) = t.customer_id" for x in LINES
+    }
+    columns = ", ".join(f"coalesce({x}_final.product, 'no recommendation') AS {x}_final_reco" for x in LINES)
+    joins = " ".join(f"LEFT JOIN {x}_final USING (customer_id)" for x in LINES)
+    scored = " UNION ".join(f"SELECT customer_id FROM told_{x}" for x in LINES)
+    return with_sql(
+        "customers motor_policy travel_policy medical_policy",
+        f"SELECT lower(customer_id) AS customer_id, {columns} FROM attributes {joins} WHERE lower(customer_id) IN ({scored})",
+        **told, **{k: steps[k] for k in ("attributes", "facts")}, **candidates,
+        **{k: v for k, v in steps.items() if k not in ("attributes", "facts")})
+
+
+@query("job_insurance_chain", _chain_sql())
+def job_insurance_chain(spark, sf_dir):
+    """Add-ons recommended by three models, combined, written as score text, read back and cut by the rule catalogues."""
+    tables = told_tables(spark, sf_dir, *LINES)
+    combined, _ = jobs.recommend_insurance(tables)
+    names = [f"{x}_top3_reco" for x in LINES]
+    facts = tables.master.select("customer_id", "age", "income", "agency", "policy_annual_premium", "vehicle_age_yrs", "bmi")
+    offered = combined.select("customer_id", *[recommend.offers_map(F.col(n)).alias(n) for n in names]).join(facts, "customer_id")
+    path = scratch_path(spark, "combined_recommendations")
+    write_csv_table(offered, path)
+    read = read_csv_table(spark, path, offered.withColumns({n: F.lit("") for n in names}).schema)
+    read = read.withColumns({f"{x}_top3": candidate_names(F.col(f"{x}_top3_reco")) for x in LINES})
+    catalogues = {f"{x}_final_reco": (f"{x}_top3", catalogue_rules(spark, f"{x}_insurance")) for x in LINES}
+    return with_final_offers(read, catalogues).select("customer_id", *catalogues)
 
 
 @query("job_insurance_rule_validation", _final_sql(LINES))
 def job_insurance_rule_validation(spark, sf_dir):
     """Candidates written as score text in CSV, read back, validated against the three catalogues."""
-    from offerforge.operators.eligibility import with_final_offers
-    from offerforge.sources.tables import candidate_names
-
     customers = insurance_candidates(spark, sf_dir)
     names = {f"{x}_top3": f"{x}_top3_reco" for x in LINES}
     as_map = {

@@ -412,10 +412,33 @@ def knn_impute_category(spark, sf_dir):
     return filled.select("p_partkey", "type")
 
 
-@query("impute_all_columns")
+def _step_sql(column: str, table_name: str, features: tuple[str, ...], scale: str, k: int) -> str:
+    """Key and ranked donors of the rows of a step's table that miss a column, over features some may lack."""
+    square = " + ".join(f"coalesce((q.{f} - d.{f}) * (q.{f} - d.{f}), 0)" for f in features)
+    return (
+        f"SELECT k, v FROM (SELECT q.p_partkey AS k, d.{column} AS v, row_number() OVER (PARTITION BY q.p_partkey ORDER BY ({square}) "
+        f"* {scale}, d.p_partkey) AS r FROM {table_name} q, {table_name} d WHERE q.{column} IS NULL AND d.{column} IS NOT NULL) WHERE r <= {k}"
+    )
+
+
+_ALL_SQL = (
+    f"WITH parts AS ({_HOLED}), n1 AS ("
+    + _step_sql("size", "parts", ("price", "name_length"), "(3.0 / (CASE WHEN q.price IS NULL OR d.price IS NULL THEN 1 ELSE 2 END))", 2)
+    + "), t1 AS (SELECT p.* REPLACE (coalesce(size, m) AS size) FROM parts p LEFT JOIN (SELECT k, avg(v) AS m FROM n1 GROUP BY k) ON p_partkey = k), n2 AS ("
+    + _step_sql("price", "t1", ("size", "name_length"), "1", 2)
+    + "), t2 AS (SELECT p.* REPLACE (coalesce(price, m) AS price) FROM t1 p LEFT JOIN (SELECT k, avg(v) AS m FROM n2 GROUP BY k) ON p_partkey = k), n3 AS ("
+    + _step_sql("type", "t2", ("size", "price", "name_length"), "1", 7)
+    + "), votes AS (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY count(*) DESC, v) AS r FROM n3 GROUP BY k, v) "
+    "SELECT p_partkey, round(size, 6) AS size, round(price, 6) AS price, name_length, coalesce(type, v) AS type FROM t2 "
+    "LEFT JOIN votes ON p_partkey = k AND r = 1"
+)
+
+
+@query("impute_all_columns", _ALL_SQL)
 def impute_all_columns(spark, sf_dir):
     """Numbers from correlated columns, then types from the features of varying importance."""
-    return impute.impute_missing(holed_parts(spark, sf_dir), "p_partkey")
+    filled = impute.impute_missing(holed_parts(spark, sf_dir), "p_partkey")
+    return filled.withColumns({c: F.round(c, 6) for c in ("size", "price")})
 
 
 # --- split --------------------------------------------------------------------------------------------------------
