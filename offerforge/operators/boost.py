@@ -26,6 +26,7 @@ BINS = 64
 SMOOTHING = 1.0
 """Added to the hessian of a leaf."""
 LEAST_GAIN = 1e-6
+ROWS_PER_TASK = 20_000
 
 _ROWS = "bins binary, label int, id long, margins binary"
 _SUMS = "class int, node int, feature int, bin int, g long, h long"
@@ -134,12 +135,13 @@ def _gradients(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.
     return np.rint((chances - hit) * UNITS), np.rint(factor * chances * (1.0 - chances) * UNITS)
 
 
-def fit_bins(df: DataFrame, features: Sequence[str], bins: int = BINS) -> tuple[tuple[float, ...], ...]:
-    """Limits of each feature's bins: distinct quantiles, fewer than ``bins``, from one sketch per feature."""
+def fit_bins(df: DataFrame, features: Sequence[str], bins: int = BINS) -> tuple[tuple[tuple[float, ...], ...], int]:
+    """Limits of each feature's bins (distinct quantiles, fewer than ``bins``, from one sketch per feature) and the number
+    of rows."""
     marks = [i / (bins - 2) for i in range(1, bins - 1)]
     known = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in features]
-    found = df.agg(*[F.percentile_approx(c, marks, 10_000).alias(f"_q{i}") for i, c in enumerate(known)]).first()
-    return tuple(tuple(sorted(set(found[i] or ()))) for i in range(len(features)))
+    found = df.agg(*[F.percentile_approx(c, marks, 10_000).alias(f"_q{i}") for i, c in enumerate(known)], F.count("*")).first()
+    return tuple(tuple(sorted(set(found[i] or ()))) for i in range(len(features))), found[-1]
 
 
 def _matrix(column: pa.Array, kind: type) -> np.ndarray:
@@ -151,8 +153,9 @@ def binned_values(column: pa.Array) -> np.ndarray:
     return _matrix(column, np.uint8)
 
 
-def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column) -> DataFrame:
-    """Bins, label, id and empty margins of every row with a label, dealt out evenly and written once."""
+def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column, n: int) -> DataFrame:
+    """Bins, label, id and empty margins of every row with a label, dealt out evenly to as many tasks as ``n`` rows are worth
+    and there are cores for, and written once."""
     rows = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(model.features)],
                      label.cast("int").alias("label"), F.xxhash64(key).alias("id")).where("label IS NOT NULL")
 
@@ -166,7 +169,8 @@ def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column)
                 names=["bins", "label", "id", "margins"])
 
     spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(most, n // ROWS_PER_TASK + 1)
     return written(rows.mapInArrow(run, _ROWS).repartition(parts))
 
 
@@ -295,10 +299,11 @@ def fit_boosted(
 ) -> BoostedModel:
     """Fits ``rounds`` trees per output. ``code`` is the place of a row's label, null for rows to leave out; ``key``
     decides on the sample of a round, so reruns agree."""
-    model = BoostedModel(tuple(features), tuple(labels), fit_bins(df, features, bins))
+    cuts, n = fit_bins(df, features, bins)
+    model = BoostedModel(tuple(features), tuple(labels), cuts)
     if len(labels) < 2:
         return model
-    rows = binned_rows(df, model, code, key)
+    rows = binned_rows(df, model, code, key, n)
     for number in range(rounds):
         model = replace(model, rounds=(*model.rounds, grow(rows, model, depth, step, child_weight, bins, subsample)))
         if number + 1 < rounds:

@@ -94,8 +94,8 @@ def tree_importances(
 
     ``code`` is the place of a row's label, null for rows to leave out. A tree without a split has importances of 0.
     """
-    shell = BoostedModel(tuple(features), ("one", "other"), fit_bins(df, features, bins))
-    rows = binned_rows(df, shell, code, code)
+    cuts, n = fit_bins(df, features, bins)
+    rows = binned_rows(df, BoostedModel(tuple(features), ("one", "other"), cuts), code, code, n)
     grown, taken = [Tree.empty(depth) for _ in range(trees)], np.zeros((trees, len(features)))
     for level in range(depth):
         splits = best_cuts(label_counts(rows, grown, len(features), labels, level, bins), features, seed, tried).collect()

@@ -74,8 +74,9 @@ def boosted_sums(spark, sf_dir):
     """Gradient and hessian sums that three rounds of one-split trees see: each round rests on all before it."""
     orders = status_orders(spark, sf_dir)
     features = ("month", "digit")
-    model = boost.BoostedModel(features, STATUSES, boost.fit_bins(orders, features))
-    rows, seen = boost.binned_rows(orders, model, F.col("place"), F.col("o_orderkey")), []
+    cuts, n = boost.fit_bins(orders, features)
+    model = boost.BoostedModel(features, STATUSES, cuts)
+    rows, seen = boost.binned_rows(orders, model, F.col("place"), F.col("o_orderkey"), n), []
     roots = tuple(boost.Tree.empty(1) for _ in STATUSES)
     for number in (1, 2, 3):
         sums = boost.gradient_sums(rows, model, roots, 0)
