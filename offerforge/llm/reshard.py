@@ -1,7 +1,7 @@
 """Resharding with the fewest moved bytes: a minimum-cost flow from old shard sizes to new capacities.
 
 The flow is solved over shards only. Within an old shard the rows stand in blocks; a block's place among the shard's bytes
-decides where it goes, and only blocks that a boundary cuts are looked at row by row.
+decides where it goes, and only blocks that a boundary cuts are looked at row by row, without their texts.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from offerforge.llm.frames import put_back, set_aside
 from offerforge.session import written
 
 BLOCK_BYTES = 8 << 20
+MOST_BLOCKS = 50_000
+"""Blocks of all shards together; beyond it they grow. Their table is broadcast, one row of a few numbers each."""
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]] | None = None) -> list[list[int]]:
@@ -89,16 +91,18 @@ def plan(docs: DataFrame, old: Column, capacities: list[int] | int, key: str = "
     ``old`` numbers the old shards from 0. ``capacities`` lists the new shards' bytes, or is their number, for even ones.
     A row's size is its UTF-8 bytes and one more; a row belongs where its first byte falls, so a shard holds its capacity
     to within the rows at its ends. Staying bytes come first in an old shard's order, the order is by block, key and text
-    hash. Null texts count one byte, null keys are placed like others, rows alike go the same way or to neighbours. No rows
-    give no rows. Columns ``shard`` and ``_old`` of ``docs`` are replaced. ``docs`` is read twice.
+    hash. Null texts count one byte, null keys are placed like others, rows alike in key and text go the same way. No rows
+    give no rows. Columns ``shard`` and ``_old`` of ``docs`` are replaced, whatever the case of their letters. ``docs`` is
+    read twice: once for keys, sizes and hashes, which decide on the places, and once for the result, whose rows find
+    their shard in a table of the blocks; texts are not shuffled here.
     """
     spark = docs.sparkSession
-    rows = docs.select("*", old.cast("int").alias("__old"))
-    rows, names = set_aside(rows)
-    number = names.pop("__old")
+    own, names = set_aside(docs.withColumn("__the_old_shard", old.cast("int")))
+    number = names.pop("__the_old_shard")
     key, text = names[key], names[text]
-    rows = rows.withColumns({"_old": F.col(number), "_size": row_bytes(text), "_tie": F.xxhash64(key, text)})
-    sizes = {r["_old"]: r["n"] for r in rows.groupBy("_old").agg(F.sum("_size").alias("n")).collect()}
+    rows = own.withColumns({"_old": F.col(number), "_tie": F.xxhash64(key, text)})
+    narrow = written(rows.select("_old", F.col(key).alias("_key"), "_tie", row_bytes(text).alias("_size")))
+    sizes = {r["_old"]: r["n"] for r in narrow.groupBy("_old").agg(F.sum("_size").alias("n")).collect()}
     total = sum(sizes.values())
     if isinstance(capacities, int):
         capacities = even_capacities(total, capacities)
@@ -110,23 +114,30 @@ def plan(docs: DataFrame, old: Column, capacities: list[int] | int, key: str = "
             if out[j]:
                 moves.append((i, j, at, at + out[j]))
                 at += out[j]
-    flows = spark.createDataFrame(moves, "_old int, _to int, _low long, _high long")  # at most old times new shards
+    flows = F.broadcast(spark.createDataFrame(moves, "_old int, _to int, _low long, _high long"))  # at most old times new shards
 
-    blocks = max(1, total // max(1, len(supply)) // BLOCK_BYTES)
-    rows = rows.withColumn("_block", F.pmod("_tie", F.lit(blocks)))
-    placed = written(rows.groupBy("_old", "_block").agg(F.sum("_size").alias("_bytes")))
+    blocks = max(1, min(total // BLOCK_BYTES, MOST_BLOCKS) // max(1, len(supply)))
+    block = F.pmod("_tie", F.lit(blocks)).alias("_block")
+    narrow = narrow.select("*", block)
+    summed = written(narrow.groupBy("_old", "_block").agg(F.sum("_size").alias("_bytes")))
     before = Window.partitionBy("_old").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("_at", F.coalesce(F.sum("_bytes").over(before), F.lit(0)))
-    placed = placed.join(F.broadcast(flows), "_old").where("_low < _at + _bytes AND _high > _at")
-    placed = placed.groupBy("_old", "_block").agg(
-        F.first("_at").alias("_at"), F.when(F.count("*") == 1, F.first("_to")).alias("_to"))
-    rows = rows.join(placed, ["_old", "_block"])
-    whole = rows.where("_to IS NOT NULL")
-    within = Window.partitionBy("_old", "_block").orderBy(key, "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    split = rows.where("_to IS NULL").withColumn("_at", F.col("_at") + F.coalesce(F.sum("_size").over(within), F.lit(0)))
-    split = split.drop("_to").join(F.broadcast(flows), "_old").where("_at >= _low AND _at < _high")
-    columns = [*put_back(names, "_old", "shard"), "_old", F.col("_to").alias("shard")]
-    return whole.select(*columns).unionByName(split.select(*columns))
+    summed = summed.withColumn("_at", F.coalesce(F.sum("_bytes").over(before), F.lit(0)))
+    placed = summed.join(flows, "_old").where("_low < _at + _bytes AND _high > _at")
+    placed = written(placed.groupBy("_old", "_block").agg(
+        F.first("_at").alias("_at"), F.when(F.count("*") == 1, F.first("_to")).alias("_to")))
+    # a boundary cuts few blocks; only their rows are put in order, and give the first row of every part
+    cut = narrow.join(F.broadcast(placed.where("_to IS NULL").drop("_to")), ["_old", "_block"])
+    within = Window.partitionBy("_old", "_block").orderBy("_key", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_at", F.col("_at") + F.coalesce(F.sum("_size").over(within), F.lit(0)))
+    cut = cut.join(flows, "_old").where("_at >= _low AND _at < _high")
+    starts = cut.groupBy("_old", "_block", "_to").agg(F.min(F.struct("_key", "_tie")).alias("_first"))
+    starts = starts.groupBy("_old", "_block").agg(F.sort_array(F.collect_list(F.struct("_first", F.col("_to").alias("_part")))).alias("_parts"))
+    found = written(placed.select("_old", "_block", "_to").join(starts, ["_old", "_block"], "left"))  # at most MOST_BLOCKS rows
+
+    rows = rows.select("*", block).join(F.broadcast(found), ["_old", "_block"])
+    here = F.struct(F.col(key).alias("_key"), "_tie")
+    part = F.element_at(F.filter("_parts", lambda p: p["_first"] <= here), -1)["_part"]
+    return rows.select(*put_back(names, "_old", "shard"), "_old", F.coalesce("_to", part).alias("shard"))
 
 
 def rewrite(planned: DataFrame, path: str, affected_only: bool = False) -> None:
