@@ -60,12 +60,14 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.library.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added]  # a text that holds one of these strings is the library's alone
         self.model = self.library.model
         with open(path, encoding="utf-8") as file:
             self.word_ends = bool(json.load(file)["model"].get("end_of_word_suffix"))
         self.letters = _byte_letters()
         self.codes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.marks = _Words(lambda marks: self._model(marks) if marks else b"")
         self.plain = _Words(self._plain_word)
         self.spaced = _Words(self._spaced_word)
         self.words = re.compile(f"[^{SPACE}]+").findall
@@ -95,7 +97,10 @@ class TextEncoder:
     def _byte_word(self, word: str, space: str) -> bytes:
         """Letters with at most full stops and commas behind them go straight to the model: a merge never joins a letter
         and such a mark, so cutting them apart first would give the same ids."""
-        if word.rstrip(".,").isalpha():
+        letters = word.rstrip(".,")
+        if letters.isalpha():
+            if len(letters) < len(word):
+                return (self.spaced if space else self.plain)[letters] + self.marks[word[len(letters) :]]
             return self._model((space and self.letters[32]) + self._lettered(word))
         if word.split() != [word] or not set(SEPARATORS).isdisjoint(word):
             raise _Irregular
@@ -105,13 +110,17 @@ class TextEncoder:
         """Words of Latin letters before U+0250 are already normalised; the marks behind them form one more word."""
         letters = word.rstrip(".,")
         if letters.isalpha() and max(letters) < "İ":
-            low = self._lettered(letters.lower())
-            return self._model(low, word[len(letters) :]) if len(letters) < len(word) else self._model(low)
+            low = letters.lower()
+            if low == word:
+                return self._model(self._lettered(low))
+            return self.plain[low] + self.marks[word[len(letters) :]]
         return self._library(word)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return self._library(text)
         if self.word_ends:
             odd = any(c in text for c in SEPARATORS)
             return b"".join(map(self.plain.__getitem__, self.words(text) if odd else text.split()))
