@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerforge.llm.frames import arrow_schema
-from offerforge.session import scratch_path
+from offerforge.session import BROADCAST_ROWS, scratch_path
 
 # Fixed values of the contract: results per query and the score's constants.
 BEST = 10
@@ -295,6 +295,7 @@ def search(
         if not names or not n_docs:
             continue
         wanted = spark.createDataFrame([(t,) for t in names], "term string")
+        wanted = F.broadcast(wanted) if len(names) <= BROADCAST_ROWS else wanted
         counts = index.where("term IS NOT NULL").select("term", "df").join(wanted, "term").groupBy("term").agg(F.sum("df"))
         weights = {t.encode(): term_weight(n_docs, df) for t, df in counts.collect()}
         found.append(_searched(blocks, some, weights, n_docs, all_terms, k, doc_key, empty))
