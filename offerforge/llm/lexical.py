@@ -18,6 +18,7 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ BITS = 8
 LEAST_ENTRIES = 64
 BLOCK_BYTES, BLOCK_DOCS, BLOCK_CELLS = 2 << 20, 1024, 16 << 20
 """A block ends at so many bytes of text, documents, or bits of its matrix."""
-TERMS_AT_ONCE = 1_000_000
+TERMS_AT_ONCE = 200_000
 """Terms counted in a task before the counts are handed on."""
 QUERY_BYTES = 4 << 20
 """Bytes of query text in one pass over the index."""
@@ -118,9 +119,9 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def counted(vocabulary: _Vocabulary) -> Iterator[pa.RecordBatch]:
-        names = [t.decode() for t in vocabulary]
-        for at in range(0, len(names), 10_000):
-            part = names[at : at + 10_000]
+        names = iter(vocabulary)
+        for at in range(0, len(vocabulary), 10_000):
+            part = [t.decode() for t in islice(names, 10_000)]
             yield batch({"term": part, "df": vocabulary.df[at : at + len(part)]}, len(part))
 
     def block_row(block: _Block) -> pa.RecordBatch:
@@ -144,7 +145,7 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
                 entered = [digests[times >= least] for least in LEVELS]
                 entries = sum(map(len, entered))
                 width = BITS * max(LEAST_ENTRIES, 1 << (entries - 1).bit_length())
-                bits = np.concatenate([signature_rows(d, level, width).ravel() for level, d in enumerate(entered)])
+                bits = np.concatenate([signature_rows(d, level, width).ravel() for level, d in enumerate(entered)]).astype(np.int32)
                 block = blocks.setdefault(width, _Block(width))
                 block.add(own_key.as_py(), int(times.sum()), raw, bits)
                 if block.full():
