@@ -264,10 +264,11 @@ class Recommended:
 
 def recommend_multiclass(
     features: DataFrame, snapshot: DataFrame, target: str, name: str, k: int = 3, backend: str = "boosted",
+    rounds: int = ROUNDS,
 ) -> Recommended:
     """Trains on four fifths of the customers and gives the others their k best classes as ``name``."""
     train, test = key_split(features, KEY)
-    model = train_multiclass(train, target, KEY, backend=backend)
+    model = train_multiclass(train, target, KEY, backend=backend, rounds=rounds)
     scored = model.score(test).select(
         KEY, F.col(target).alias("_actual"), F.get(F.array(*[F.lit(v) for v in model.labels]),
                                                   top_index(F.col("probability")).cast("int")).alias("_predicted"),
@@ -296,12 +297,12 @@ def recommend_card_up_sell(customers: DataFrame) -> DataFrame:
     return df.withColumn("top_reco", offers)
 
 
-def recommend_insurance(tables: InsuranceTables, backend: str = "boosted") -> tuple[DataFrame, dict]:
+def recommend_insurance(tables: InsuranceTables, backend: str = "boosted", rounds: int = ROUNDS) -> tuple[DataFrame, dict]:
     """Five models, their offers side by side, and the accuracy of each."""
     results, hits = {}, {}
     for name, features in tables.lines.items():
         done = recommend_multiclass(
-            features, features.select(KEY), f"{name}_addon", f"{name}_top3_reco", backend=backend
+            features, features.select(KEY), f"{name}_addon", f"{name}_top3_reco", backend=backend, rounds=rounds
         )
         results[name], hits[name] = done.offers, done.accuracy
     return combine_offers(results, tables.customer.features, KEY), hits

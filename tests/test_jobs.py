@@ -38,7 +38,7 @@ def test_features_do_not_depend_on_partitions(spark, funds):
 
 
 def test_offers_are_for_test_customers_in_rank_order(funds):
-    done = jobs.recommend_multiclass(funds.features, funds.snapshot, "fund_type", "fund_top3_reco", trees=3)
+    done = jobs.recommend_multiclass(funds.features, funds.snapshot, "fund_type", "fund_top3_reco", rounds=2)
     rows = done.offers.withColumn("_b", split_bucket("customer_id")).collect()
     assert rows and all(r._b < 20 for r in rows)
     assert len(rows) == funds.features.filter(split_bucket("customer_id") < 20).count()
@@ -58,7 +58,7 @@ def test_binary_offer_is_empty_or_above_the_threshold(spark):
 
 def test_insurance_offers_for_customers_of_any_line(spark):
     tables = queries_jobs.insurance_tables(spark, SF_DIR, "travel", "medical")
-    combined, hits = jobs.recommend_insurance(tables, trees=2)
+    combined, hits = jobs.recommend_insurance(tables, rounds=2)
     rows = combined.collect()
     assert set(hits) == {"travel", "medical"}
     assert rows and all(r.travel_top3_reco or r.medical_top3_reco for r in rows)
