@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -324,6 +325,32 @@ def test_main_text_by_repeated_runs(spark):
     assert maintext.main_text(frame.where("false")).count() == 0
 
 
+def test_parts_of_names_and_open_quotes():
+    inside = "<article><p>text</p><div class='{}'>more</div></article>"
+    for name in ("post-comments", "comments_area", "adSlot", "cookie-bar", "nav-links", "sidebar-right", "x Ad"):
+        assert maintext.blocks(inside.format(name)) == [(maintext.KEEP, "text"), (maintext.DROP, "more")], name
+    for name in ("has-sidebar", "main-content", "download", "heading", "navy", "with-ads", "relatedness"):
+        assert maintext.blocks(inside.format(name)) == [(maintext.KEEP, "text"), (maintext.KEEP, "more")], name
+    page = "<article><a title='a > b' href=\"x>y\">one</a> <![CDATA[ gone > ]]><?php x?>two <p title=don't>three</article>"
+    assert " ".join(t for _, t in maintext.blocks(page)) == "one two three"
+    assert maintext.blocks("<article>a <b title=\"open>bold</b> c") == [(maintext.KEEP, "a bold c")]
+    for part in ("<a ", "<a x=\"", "<a x='>", "<![CDATA[", "<![CDATA[>", "<a =\">\" ", "<!--", "<", "</b>", "<div></x>", "<title>"):
+        began = time.perf_counter()
+        maintext.blocks(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - began < 10, part
+
+
+def test_copies_and_stock_phrases_stay(spark):
+    line = " ".join(f"w{k}" for k in range(maintext.RUN - 1))
+    rows = [(1, f"<p>first {line} apple</p>"), (2, f"<p>second {line} pear</p>"), (3, "<p>a page of its own</p><p>Menu</p>"),
+            (4, "<p>a page of its own</p><p>Menu</p>"), (5, "<p>Menu</p><article>kept</article>")]
+    rows += [(6, f"<p>third {line} last apple</p>"), (7, f"<p>fourth {line} last pear</p>")]
+    frame = spark.createDataFrame([(k, "http://h.org/", t) for k, t in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in maintext.main_text(frame).collect()}
+    assert got == {1: f"first {line} apple", 2: f"second {line} pear", 3: "a page of its own", 4: "a page of its own",
+                   5: "kept", 6: "third apple", 7: "fourth pear"}
+
+
 def test_repeated_runs_against_brute_force(spark):
     rng = random.Random(9)
     shared = [f"s{k}" for k in range(60)]
@@ -333,7 +360,7 @@ def test_repeated_runs_against_brute_force(spark):
         for _ in range(6):
             words += [f"u{k}_{rng.randrange(10**6)}" for _ in range(rng.randint(1, 5))]
             at = rng.randrange(50)
-            words += shared[at : at + rng.randint(1, 14)]
+            words += shared[at : at + rng.randint(1, 40)]
         pages.append((k, "http://h.org/", " ".join(words)))
     grams = defaultdict(set)
     for k, _, text in pages:
