@@ -7,16 +7,21 @@ history; both are out of the loss mask there, so each target counts once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerforge.operators.tables import lookup_join
+from offerforge.session import written
+
 BUDGET = 1024
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 256
 TARGET_ROLE = "assistant"
 SYSTEM_ROLE = "system"
-#: A window never spans two blocks of so many turn numbers, so a conversation of any length stays in rows of bounded size.
+#: A window never spans two blocks of so many turns, so a conversation of any length stays in rows of bounded size.
 BLOCK_TURNS = 256
+#: What an element of a block is: the system turn or a turn of the block before, repeated there, or a turn of its own.
+SYSTEM, TAIL, OWN = 0, 1, 2
 
 OPEN, HEAD_END, CLOSE = "<turn ", ">\n", "\n</turn>\n"
 
@@ -54,39 +59,34 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history_turns
     long for that stands alone with the system turn, and ``over_budget`` says so if even they do not fit: nothing is cut.
     The system turn is the conversation's first if its role is ``system``.
 
-    Null roles and texts count as empty. Rows with a null conversation or turn number belong to no conversation and are left
-    out. Rows with one turn number stand in the order of role and text; repeated rows are turns of their own. Empty texts
-    are turns. Other columns are left behind. No rows give no rows.
+    Turns count by their rank, whatever their numbers. A conversation of more than ``BLOCK_TURNS`` turns is cut into blocks;
+    a block knows the system turn and the last turns of the one before, so that its first window has history too. Null roles
+    and texts count as empty. A null conversation is one of its own, null turn numbers come first. Rows with one turn number
+    stand in the order of role and text; repeated rows are turns of their own. Empty texts are turns. Other columns are left
+    behind. No rows give no rows.
     """
+    if not 0 <= history_turns < BLOCK_TURNS:
+        raise ValueError(f"history_turns must be from 0 to {BLOCK_TURNS - 1}")
     turns = conversations.select(
         F.col(conversation).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    )
     head = F.concat(F.lit(OPEN), F.replace(escaped(F.col("role")), F.lit(">"), F.lit("&gt;")), F.lit(HEAD_END))
     turns = turns.withColumns({"head": head, "body": escaped(F.col("text"))})
     turns = turns.withColumn("n", tokens(F.concat("head", "body", F.lit(CLOSE))).cast("long"))
-    one = F.struct("turn", "role", "text", "head", "body", "n")
-
-    def grouped(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("all"))
-
-    first = grouped(turns.where(F.col("turn") < BLOCK_TURNS), "conv_id").withColumn("block", F.lit(0).cast("long"))
-    leads = F.col("all")[0]["role"] == SYSTEM_ROLE
-    first = first.withColumn("system", F.when(leads, F.col("all")[0])).withColumn(
-        "all", F.when(leads, F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0)))).otherwise(F.col("all")))
-    later = turns.where(F.col("turn") >= BLOCK_TURNS)
-    later = grouped(later.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS)), "conv_id", "block")
-    systems = turns.where((F.col("turn") < BLOCK_TURNS)).groupBy("conv_id").agg(F.min(one).alias("system"))
-    systems = systems.where(F.col("system.role") == SYSTEM_ROLE)
-    later = later.join(systems, "conv_id", "left").select(*first.columns)
-    held = first.unionByName(later)
-
+    held = _blocks(turns, history_turns)
+    own = F.filter("all", lambda t: t["kind"] > SYSTEM)
+    leads = (F.col("block") == 0) & (F.col("all")[0]["role"] == SYSTEM_ROLE) | (F.col("all")[0]["kind"] == SYSTEM)
     held = held.withColumns({
+        "system": F.when(leads, F.col("all")[0]),
+        "all": F.when(leads & (F.col("block") == 0), F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(0)))).otherwise(own)})
+    held = held.withColumns({
+        "tail": F.size(F.filter("all", lambda t: t["kind"] == TAIL)),
         "sums": F.aggregate("all", F.array(F.lit(0).cast("long")), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t["n"]))),
         "extra": F.coalesce(F.col("system.n"), F.lit(0).cast("long")),
     })
     spans = _let(F.col("sums"), lambda sums: F.aggregate(
-        F.sequence(F.lit(1), F.size("all")),
+        F.sequence(F.col("tail") + 1, F.size("all")),
         F.array().cast("array<struct<start:int,stop:int,history:int>>"),
         lambda done, k: _let(F.try_element_at(done, F.lit(-1)), lambda last: F.when(
             F.size(done).__gt__(0) & (sums[k] - sums[last["start"] - 1 - last["history"]] + F.col("extra") <= budget),
@@ -121,6 +121,43 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history_turns
         used.alias("tokens"), (used > budget).alias("over_budget"), loss.alias("loss_spans"))
 
 
+def _blocks(turns: DataFrame, history_turns: int) -> DataFrame:
+    """conv_id, block, all: the turns of a block in order, each with its ``kind``.
+
+    Most conversations fit one block and are gathered as they are. Those that do not are ranked first: inside ranges of turn
+    numbers, whose sizes give the ranks before them, so that no conversation is ordered as a whole.
+    """
+    what = ("turn", "role", "text", "head", "body", "n")
+    # told apart by hash: a short conversation taken for a long one is handled alike
+    turns = turns.withColumns({"conv": F.xxhash64("conv_id"), "range": F.floor(F.col("turn") / BLOCK_TURNS)})
+    ranges = written(turns.groupBy("conv_id", "conv", "range").agg(F.count("*").alias("rows")))
+    long = ranges.groupBy("conv").agg(F.sum("rows").alias("rows")).where(F.col("rows") > BLOCK_TURNS)
+    long = written(long.select("conv", F.lit(True).alias("long")))
+    turns = lookup_join(turns, long, ["conv"])
+    rows = turns.where("long IS NULL").select(
+        "conv_id", F.lit(0).cast("long").alias("block"), F.lit(OWN).alias("kind"), F.lit(0).cast("long").alias("rank"), *what)
+    if not long.isEmpty():
+        before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+        starts = lookup_join(ranges, long, ["conv"]).where("long").select(
+            "conv_id", "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+        inside = Window.partitionBy("conv_id", "range").orderBy("turn", "role", "text")
+        ranked = turns.where("long").withColumn("place", F.row_number().over(inside) - 1).alias("t").join(
+            starts.alias("s"), F.expr("t.conv_id <=> s.conv_id AND t.range <=> s.range"))
+        ranked = written(ranked.select("t.conv_id", *what, (F.col("place") + F.col("start")).alias("rank")))
+        block = F.floor(F.col("rank") / BLOCK_TURNS)
+        mine = ranked.select("conv_id", block.alias("block"), F.lit(OWN).alias("kind"), "rank", *what)
+        lasts = F.col("rank") % BLOCK_TURNS >= BLOCK_TURNS - history_turns
+        tails = ranked.where(lasts).select("conv_id", (block + 1).alias("block"), F.lit(TAIL).alias("kind"), "rank", *what)
+        sizes = ranked.groupBy("conv_id").agg(F.max(block).alias("blocks"))
+        systems = ranked.where((F.col("rank") == 0) & (F.col("role") == SYSTEM_ROLE)).alias("s").join(
+            sizes.alias("z"), F.expr("s.conv_id <=> z.conv_id")).where("blocks > 0").select(
+            "s.conv_id", F.explode(F.sequence(F.lit(1).cast("long"), "blocks")).alias("block"), F.lit(SYSTEM).alias("kind"), "rank", *what)
+        for part in (mine, tails, systems):
+            rows = rows.unionByName(part)
+    held = rows.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list(F.struct("kind", "rank", *what))).alias("all"))
+    return held.where(F.element_at("all", -1)["kind"] == OWN)  # the last block hands its turns to none
+
+
 def read_turns(text: Column, repeated: Column) -> Column:
     """Array of (role, text) of a window's new turns, read back from its text."""
     parts = F.split(text, CLOSE)

@@ -31,9 +31,9 @@ def vocabulary(name: str) -> str:
 
 def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its windows: new turns in order, text under the loss mask."""
-    extra = spark.createDataFrame(
-        [(EXTRA_CONVERSATION, 0, "user", EXTRA_TEXT), (EXTRA_CONVERSATION, 1, "assistant", EXTRA_TEXT)],
-        "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(EXTRA_CONVERSATION).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA_TEXT).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     windows = chat.format_windows(rows).select(
         "conv_id", "block", "window", F.length("text").cast("long").alias("chars"),
@@ -132,14 +132,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _CHAT_SQL = rf"""
 WITH RECURSIVE rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  WHERE conv_id IS NOT NULL AND turn IS NOT NULL
   UNION ALL SELECT {EXTRA_CONVERSATION}, 0, 'user', '{EXTRA_TEXT}'
   UNION ALL SELECT {EXTRA_CONVERSATION}, 1, 'assistant', '{EXTRA_TEXT}'),
 formed AS (
   SELECT *, '<turn ' || replace(replace(replace(replace(role, '&', '&amp;'), '<turn', '&lt;turn'), '</turn', '&lt;/turn'), '>', '&gt;')
     || '>' || chr(10) || replace(replace(replace(text, '&', '&amp;'), '<turn', '&lt;turn'), '</turn', '&lt;/turn')
     || chr(10) || '</turn>' || chr(10) AS whole,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM rows),
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM rows),
 counted AS (
   SELECT *, len(regexp_extract_all(whole, '\p{{L}}{{1,4}}|\p{{N}}|[^\p{{L}}\p{{N}}\s]')) AS n, length(whole) AS chars FROM formed),
 led AS (
@@ -147,7 +146,7 @@ led AS (
 body AS (
   SELECT c.conv_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY place) AS k, n, chars,
     coalesce(extra, 0) AS extra, coalesce(extra_chars, 0) AS extra_chars
-  FROM counted c LEFT JOIN led l ON c.conv_id = l.conv_id WHERE NOT (place = 1 AND l.conv_id IS NOT NULL)),
+  FROM counted c LEFT JOIN led l ON c.conv_id IS NOT DISTINCT FROM l.conv_id WHERE NOT (place = 1 AND l.extra IS NOT NULL)),
 step AS (
   SELECT conv_id, k, n, chars, extra, extra_chars,
     coalesce(lag(n, 1) OVER w, 0) AS n1, coalesce(lag(n, 2) OVER w, 0) AS n2,
@@ -166,7 +165,7 @@ walk AS (
       WHEN s.k > 2 AND n1 + n2 <= {chat.HISTORY_TOKENS} AND n1 + n2 + s.n + s.extra <= {chat.BUDGET} THEN c1 + c2 + s.extra_chars
       WHEN n1 <= {chat.HISTORY_TOKENS} AND n1 + s.n + s.extra <= {chat.BUDGET} THEN c1 + s.extra_chars
       ELSE s.extra_chars END
-  FROM walk w JOIN step s ON s.conv_id = w.conv_id AND s.k = w.k + 1),
+  FROM walk w JOIN step s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.k = w.k + 1),
 ends AS (SELECT conv_id, max(windows) AS windows, max(total) AS total FROM walk GROUP BY conv_id)
 SELECT c.conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
@@ -174,7 +173,8 @@ SELECT c.conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = '{chat.TARGET_ROLE}'), '')) AS loss_sha256,
   CAST(coalesce(any_value(e.total), any_value(extra_chars)) AS BIGINT) AS formatted_chars,
   CAST(coalesce(any_value(e.windows), 1) AS BIGINT) AS n_windows
-FROM counted c LEFT JOIN ends e ON c.conv_id = e.conv_id LEFT JOIN led l ON c.conv_id = l.conv_id GROUP BY c.conv_id"""
+FROM counted c LEFT JOIN ends e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+  LEFT JOIN led l ON c.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY c.conv_id"""
 
 _RULES_SQL = ", ".join(
     f"('{r.name}', {k}, {c})" for r in quality.RULES for k, c in enumerate(r.ladder))
@@ -222,7 +222,7 @@ _LIST_SQL = " ".join(
     f"WHEN (host = '{site}' OR ends_with(host, '.{site}')) AND starts_with(path, '{start}') THEN ['{site + start}', '{verdict}']"
     for verdict, site, start in sorted(URL_RULES, key=lambda r: (-len(r[1] + r[2]), r)))
 _URL_SQL = rf"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
   SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
@@ -237,14 +237,11 @@ items AS (
       WHERE x != '')),
 sets AS (
   SELECT row, page_id, [item] AS s FROM items
-  UNION ALL SELECT a.row, a.page_id, [a.item, b.item] FROM items a JOIN items b ON a.row = b.row AND a.item < b.item
-  UNION ALL SELECT a.row, a.page_id, [a.item, b.item, c.item] FROM items a JOIN items b ON a.row = b.row AND a.item < b.item
-    JOIN items c ON a.row = c.row AND b.item < c.item),
+  UNION ALL SELECT a.row, a.page_id, list_append(a.s, b.item) FROM sets a JOIN items b ON a.row = b.row AND a.s[-1] < b.item),
 marks AS (SELECT doc_id, quality = 0 OR toxic = 1 AS bad FROM labels WHERE quality = 0 OR toxic = 1 IS NOT NULL),
-total AS (SELECT count(*) AS n FROM (SELECT DISTINCT row, page_id FROM items) i JOIN marks m ON i.page_id = m.doc_id),
 mined AS (
   SELECT s FROM sets JOIN marks ON page_id = doc_id GROUP BY s
-  HAVING count(*) FILTER (bad) >= greatest({urlrules.LEAST_PAGES}, (SELECT ceil({urlrules.LEAST_SUPPORT} * n) FROM total))
+  HAVING count(*) FILTER (bad) >= {urlrules.LEAST_PAGES}
     AND count(*) FILTER (bad) >= {urlrules.LEAST_CONFIDENCE} * count(*)),
 hits AS (SELECT DISTINCT row FROM sets JOIN mined USING (s)),
 ruled AS (SELECT *, CASE {_LIST_SQL} END AS found FROM cut)

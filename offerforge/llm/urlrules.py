@@ -6,8 +6,6 @@ where a shorter rule is at least as sure. They match through an inverted index:
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +13,9 @@ from pyspark.sql import functions as F
 from offerforge.llm.frames import put_back, set_aside
 from offerforge.session import is_small, written
 
-LEAST_SUPPORT = 0.002
-LEAST_PAGES = 5
+#: Bad pages that a rule needs, a number and no share, so a bad host is found in a table of any size.
+LEAST_PAGES = 20
 LEAST_CONFIDENCE = 0.8
-MOST_TOKENS = 3
 BAD = "label=block"
 SMALL_RULES = 10_000
 
@@ -37,8 +34,8 @@ def path(url: Column) -> Column:
 def rule_verdict(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """Struct (rule, verdict) of the longest (verdict, host, path) that fits, else null.
 
-    A rule fits its host and all its subdomains if the path starts with the rule's. The longest host wins over a shorter
-    one, then the longest path.
+    A rule fits its host and all its subdomains if the path starts with the rule's. The one with the longest host and path
+    together wins.
     """
     out = None
     for verdict, site, start in sorted(rules, key=lambda r: (-len(r[1] + r[2]), r)):
@@ -61,13 +58,12 @@ def tokens(url: Column) -> Column:
                                      lambda x: ~x.isin("host:", "label:")))
 
 
-def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", least_support: float = LEAST_SUPPORT,
-         least_confidence: float = LEAST_CONFIDENCE, most_tokens: int = MOST_TOKENS) -> DataFrame:
+def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", least_pages: int = LEAST_PAGES,
+         least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """Rules (tokens, anchor, support long, confidence) from rows with a url and a boolean ``bad``.
 
-    A rule's tokens stand together with the label in at least ``least_support`` of the rows and in ``LEAST_PAGES`` of them,
-    and at least ``least_confidence`` of the rows with them are bad. No rule holds another one that is at least as sure.
-    Rows with a null label count as not labelled. Without labelled rows there are no rules.
+    A rule's tokens, of any number, stand together with the label in at least ``least_pages`` rows, and at least
+    ``least_confidence`` of the rows with them are bad. No rule holds another one that is at least as sure. Rows with a null label count as not labelled. Without labelled rows there are no rules.
     """
     spark = labelled.sparkSession
     rows = written(labelled.where(F.col(bad).isNotNull()).select(
@@ -77,12 +73,11 @@ def mine(labelled: DataFrame, url: str = "url", bad: str = "bad", least_support:
     kinds = "tokens array<string>, anchor string, support long, confidence double"
     if not total:
         return spark.createDataFrame([], kinds)
-    least = (max(LEAST_PAGES, math.ceil(least_support * total)) - 0.5) / total  # between two counts, so rounding is no matter
+    least = (least_pages - 0.5) / total  # between two counts, so rounding is no matter
     if least > 1:
         return spark.createDataFrame([], kinds)
     sets = FPGrowth(itemsCol="items", minSupport=least, minConfidence=1.0).fit(rows).freqItemsets
-    sets = written(sets.where(F.size(F.array_remove("items", BAD)) <= most_tokens).select(
-        F.sort_array("items").alias("items"), "freq"))
+    sets = written(sets.select(F.sort_array("items").alias("items"), "freq"))
     bad_sets = sets.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("n"))
     rules = bad_sets.where(F.size("items") > 0).join(sets, "items").select(
         F.col("items").alias("tokens"), F.col("n").alias("support"), (F.col("n") / F.col("freq")).alias("confidence"))

@@ -315,8 +315,11 @@ def _chats():
             text = " ".join(rng.choices(["word", "</turn>", "<turn user>", "&lt;", "\\n", "\u00e9", "\n"], k=rng.randrange(60)))
             rows.append((conv, start + k, ["user", "assistant", "tool>\n"][k % 3], text))
     rows += [(50, k, ["user", "assistant"][k % 2], f"turn {k}") for k in range(600)]
-    rows += [(51, 0, "system", "only this"), (52, 0, None, None), (52, 0, None, None), (None, 1, "user", "lost"), (53, None, "user", "lost"),
+    rows += [(51, 0, "system", "only this"), (52, 0, None, None), (52, 0, None, None), (None, 1, "user", "of none"), (None, None, "assistant", "not numbered"), (53, None, "user", "not numbered"), (53, 0, "user", "numbered"),
              (54, 0, "assistant", "long " * 4000), (54, 1, "user", "")]
+    rows += [(55, 1000 * k, ["system", "user", "assistant", "user"][k], f"sparse {k} " + "w " * 60) for k in range(4)]
+    rows += [(56, 300 + 7 * k, ["user", "assistant"][k % 2] if k else "system", f"late {k}") for k in range(600)]
+    rows += [(57, 5, "assistant", f"one number {k % 50}") for k in range(300)]
     return rows
 
 
@@ -325,7 +328,7 @@ def test_windows_cover_each_turn_once_within_budget(spark):
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, window int, head string")
     found = chat.format_windows(frame, budget=budget, history_turns=3, history_tokens=40)
     found = found.withColumns({"read": chat.read_turns(F.col("text"), F.col("repeated")), "loss": chat.loss_text(F.col("text"), F.col("loss_spans"))})
-    windows = sorted(found.collect(), key=lambda r: (r.conv_id, r.block, r.window))
+    windows = sorted(found.collect(), key=lambda r: (r.conv_id or -1, r.block, r.window))
     turns, loss = defaultdict(list), defaultdict(str)
     for w in windows:
         turns[w.conv_id] += [tuple(t) for t in w.read]
@@ -336,13 +339,16 @@ def test_windows_cover_each_turn_once_within_budget(spark):
         if w.over_budget:
             assert w.turns - w.repeated <= 1 + (w.window == w.block == 0 and w.text.startswith("<turn system>"))
     want, said = defaultdict(list), defaultdict(str)
-    for conv, turn, role, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: (r[0], r[1], r[2] or "", r[3] or "")):
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or -1, -1 if r[1] is None else r[1], r[2] or "", r[3] or "")):
         want[conv].append((role or "", text or ""))
         said[conv] += (text or "") if role == "assistant" else ""
     assert dict(turns) == dict(want)
     assert {k: v for k, v in loss.items() if v} == {k: v for k, v in said.items() if v}
     assert any(w.repeated > 1 for w in windows) and max(w.block for w in windows) == 2
-    system = [w for w in windows if w.conv_id % 3 == 0 and w.conv_id < 25]
+    assert {w.block for w in windows if w.conv_id in (50, 56)} == {0, 1, 2} and {w.block for w in windows if w.conv_id == 57} == {0, 1}
+    assert all(w.repeated == 3 + (w.conv_id == 56) for w in windows if w.conv_id in (50, 56) and w.block and not w.window)
+    assert [(w.repeated, w.text.count("<turn ")) for w in windows if w.conv_id == 55] == [(0, 2), (1, 2), (1, 2)]
+    system = [w for w in windows if w.conv_id in (55, 56) or w.conv_id is not None and w.conv_id % 3 == 0 and w.conv_id < 25]
     assert all(w.text.startswith("<turn system>\n") for w in system)
     assert chat.format_windows(frame.where("false")).count() == 0
 
@@ -382,8 +388,7 @@ def test_mined_rules_against_brute_force(spark):
                 for part in combinations(sorted(items[k]), size):
                     seen[part] += 1
                     bad[part] += label
-    least = max(urlrules.LEAST_PAGES, math.ceil(urlrules.LEAST_SUPPORT * sum(r[2] is not None and bool(items[r[0]]) for r in rows)))
-    rules = {p for p in seen if bad[p] >= least and bad[p] >= urlrules.LEAST_CONFIDENCE * seen[p]}
+    rules = {p for p in seen if bad[p] >= urlrules.LEAST_PAGES and bad[p] >= urlrules.LEAST_CONFIDENCE * seen[p]}
     mined = urlrules.mine(frame)
     judged = urlrules.judge(frame, mined)
     want = {k: any(set(p) <= items[k] for p in rules) for k, _, _ in rows}
