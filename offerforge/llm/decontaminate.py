@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from offerforge.llm.frames import map_rows, texts
 
 ERROR_RATE = 0.08
+#: Items of fewer characters are matched without edits and at the borders of words only.
 SHORTEST_ITEM = 24
 BLOCK_CHARS = 4_000_000
 
@@ -69,14 +70,14 @@ def best_end(pattern: str, text: str, most: int, anchored: bool = False) -> tupl
 class Matcher:
     """All occurrences of a block of items in a text."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], error_rate: float):
+    def __init__(self, items: tuple[tuple[int | None, str], ...], error_rate: float):
         import ahocorasick
 
         self.items: dict[str, list[int]] = {}
         for item, text in items:
             self.items.setdefault(normalized(text), []).append(item)
         self.known = list(self.items)
-        self.most = [budget(len(t), error_rate) for t in self.known]
+        self.most = [budget(len(t), error_rate) if len(t) >= SHORTEST_ITEM else 0 for t in self.known]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for n, item in enumerate(self.known):
             for at, piece in cut(item, self.most[n] + 1):
@@ -96,6 +97,9 @@ class Matcher:
         for n, at in begins.items():
             item, most = self.known[n], self.most[n]
             at.sort()
+            if len(item) < SHORTEST_ITEM:
+                found += self._words(text, n, at)
+                continue
             low = high = at[0]
             for begin in [*at[1:], None]:
                 if begin is not None and begin - high <= 2 * most + 1:
@@ -105,6 +109,18 @@ class Matcher:
                 low = high = begin
         return found
 
+    def _words(self, text: str, n: int, begins: list[int]) -> list[tuple[int, int, int, int]]:
+        """The occurrences of a short item that neither begin nor end inside a word."""
+        item, out, free = self.known[n], [], 0
+        for at in begins:
+            end = at + len(item)
+            inside = (at > 0 and text[at - 1].isalnum() and item[0].isalnum()
+                      or end < len(text) and text[end].isalnum() and item[-1].isalnum())
+            if at >= free and not inside:
+                out += [(i, 0, at, end) for i in self.items[item]]
+                free = end
+        return out
+
     def _near(self, text: str, n: int, low: int, high: int) -> list[tuple[int, int, int, int]]:
         """The occurrences within a window: the best one, then those of the parts before and behind it."""
         item, most, out, work = self.known[n], self.most[n], [], [(low, min(high, len(text)))]
@@ -126,7 +142,7 @@ class Matcher:
 
 
 @lru_cache(maxsize=2)
-def matcher(items: tuple[tuple[int, str], ...], error_rate: float) -> Matcher:
+def matcher(items: tuple[tuple[int | None, str], ...], error_rate: float) -> Matcher:
     return Matcher(items, error_rate)
 
 
@@ -149,14 +165,15 @@ def places(text: str, spots: list[int]) -> dict[int, int]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, item_key: str, item_text: str) -> Iterator[tuple[tuple[int, str], ...]]:
+def item_blocks(benchmark: DataFrame, item_key: str, item_text: str) -> Iterator[tuple[tuple[int | None, str], ...]]:
     """The items that can be matched, in blocks of about ``BLOCK_CHARS``; at least one block, perhaps empty."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("item"))
-    items = items.where("item_id IS NOT NULL AND length(trim(item)) > 0")
+    items = items.where("length(trim(item)) > 0")
     blocks = (items.agg(F.sum(F.length("item"))).first()[0] or 0) // BLOCK_CHARS + 1
     for block in range(blocks):
-        held = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
-        yield tuple(sorted((r[0], r[1]) for r in held if len(normalized(r[1])) >= SHORTEST_ITEM))
+        held = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+        found = [(r[0], r[1]) for r in held if len(words := r[1].split()) > 1 or words and len(words[0]) >= SHORTEST_ITEM]
+        yield tuple(sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, key: str = "doc_id", text: str = "text",
@@ -165,8 +182,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
 
     Texts are compared in lower case with white space as single blanks; up to ``error_rate`` of the item's length in
     edits is allowed. Occurrences of an item in a text do not overlap. Items shorter than ``SHORTEST_ITEM`` after
-    normalising, null and empty ones match nothing, as chance would find them. Null texts match nothing; repeated rows
-    and items each give their rows. The items are asked against all documents in blocks of bounded size, so a larger
+    normalising match exactly and between words; a single short word is no passage and matches nothing, like null and empty
+    items. Items with a null id are reported under it. Null texts match nothing; repeated rows and items each give their rows. The items are asked against all documents in blocks of bounded size, so a larger
     benchmark takes more passes and no more memory; the documents are not shuffled.
     """
     rows = texts(docs, key, text, "doc_id")
@@ -178,7 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
     return out
 
 
-def _finder(held: tuple[tuple[int, str], ...], error_rate: float):
+def _finder(held: tuple[tuple[int | None, str], ...], error_rate: float):
     def make(batch):
         if not held:
             return []
@@ -206,7 +223,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERR
     return docs
 
 
-def _leaky(held: tuple[tuple[int, str], ...], error_rate: float):
+def _leaky(held: tuple[tuple[int | None, str], ...], error_rate: float):
     @F.pandas_udf("boolean")
     def leaky(bodies: pd.Series) -> pd.Series:
         find = matcher(held, error_rate).matches

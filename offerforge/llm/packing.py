@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerforge.llm.encoder import encoder
-from offerforge.llm.frames import map_rows, texts
+from offerforge.llm.frames import map_rows, put_back, set_aside, texts
 from offerforge.session import written
 
 CAPACITY = 4096
@@ -137,10 +137,13 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("do
 
     ``cut`` is read twice, so it should be a written table. Rows of one length are numbered in buckets by a hash of the
     ``order`` columns and the buckets' counts are added up, so no length goes to one task, however many rows have it.
-    Rows alike in all ``order`` columns may change places, which changes nothing. No rows give no rows.
+    Rows alike in all ``order`` columns may change places, which changes nothing. Other columns are kept, but for
+    ``sequence_id`` and ``offset``, which are replaced. No rows give no rows.
     """
     spark = cut.sparkSession
-    numbered = cut.withColumns({"_n": F.xxhash64(*order)})
+    own, names = set_aside(cut)
+    order = [names[c] for c in order]
+    numbered = own.withColumns({"_n": F.xxhash64(*order), "length": F.col(names["length"])})
     total = cut.count()
     buckets = max(8, total // PIECES_A_BUCKET)
     numbered = numbered.withColumn("_bucket", F.pmod("_n", F.lit(buckets)))
@@ -163,7 +166,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("do
     at = F.filter("_places", lambda s: (F.col("_rank") >= s["_first"]) & (F.col("_rank") <= s["_last"]))[0]
     found = found.withColumn("_at", at).withColumn("_step", F.col("_rank") - F.col("_at._first"))
     return found.select(
-        *cut.columns,
+        *put_back(names, "sequence_id", "offset"),
         (F.col("_at._sequence") + F.floor(F.col("_step") / F.col("_at._each"))).cast("long").alias("sequence_id"),
         (F.col("_at._offset") + F.pmod("_step", "_at._each") * F.col("length")).cast("long").alias("offset"),
     )

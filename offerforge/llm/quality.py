@@ -53,28 +53,41 @@ def _repeated_words(words: Column) -> Column:
     """Words that stand in a window of three which occurs twice or more.
 
     Windows are hashed, the hash's high bits packed with the place into one number, and the numbers sorted: neighbours with
-    equal high bits are candidates, few in most texts. Among them equality is decided by the words themselves.
+    equal high bits are candidates, few in most texts. Among them equality is decided by the words themselves. Texts whose
+    places do not fit into ``PLACE_BITS`` have their hashes and places sorted side by side, which is slower.
     """
     mask = (1 << PLACE_BITS) - 1
 
+    def hashes(w: Column, of) -> Column:
+        return F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: of(F.xxhash64(w[i], w[i + 1], w[i + 2]), i)))
+
+    def packed(w: Column) -> Column:
+        return _let(
+            hashes(w, lambda h, i: h.bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))),
+            lambda s: F.transform(
+                F.filter(s, lambda x, i: (F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(s, i + 1), PLACE_BITS))
+                         | (F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(s, i - 1), PLACE_BITS))),
+                lambda x: x.bitwiseAND(F.lit(mask)).cast("int")))
+
+    def beside(w: Column) -> Column:
+        return _let(
+            hashes(w, lambda h, i: F.struct(h.alias("h"), i.cast("int").alias("i"))),
+            lambda s: F.transform(
+                F.filter(s, lambda x, i: (x["h"] == F.get(s, i + 1)["h"]) | (x["h"] == F.get(s, i - 1)["h"])), lambda x: x["i"]))
+
     def of(w: Column) -> Column:
-        hashes = F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]).bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long")))
-        return _let(F.array_sort(hashes), lambda s: _let(
-            F.filter(s, lambda x, i: (F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(s, i + 1), PLACE_BITS))
-                     | (F.shiftright(x, PLACE_BITS) == F.shiftright(F.get(s, i - 1), PLACE_BITS))),
+        return _let(
+            F.when(F.size(w) <= mask + 1, packed(w)).otherwise(beside(w)),
             lambda some: F.when(F.size(some) == 0, F.lit(0)).otherwise(_let(
-                F.array_sort(F.transform(some, lambda x: _let(
-                    x.bitwiseAND(F.lit(mask)).cast("int"),
-                    lambda i: F.struct(w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"), i.alias("i"))))),
+                F.array_sort(F.transform(
+                    some, lambda i: F.struct(w[i].alias("a"), w[i + 1].alias("b"), w[i + 2].alias("c"), i.alias("i")))),
                 lambda found: _let(
                     F.array_sort(F.transform(F.filter(
                         found, lambda x, k: _same(x, F.get(found, k + 1)) | _same(x, F.get(found, k - 1))), lambda x: x["i"])),
                     lambda at: F.aggregate(
                         at, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
                         lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")),
-                        lambda a: a["n"]))))))
+                        lambda a: a["n"])))))
 
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(words, of))
 
@@ -86,11 +99,11 @@ def _same(x: Column, y: Column) -> Column:
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and base_failed of the whole text.
 
-    Words are runs outside ASCII white space; a null text has none. A text may have up to ``2**PLACE_BITS`` words for its
-    repeats to be exact. Base columns that ``docs`` has already are replaced.
+    Words are runs outside ASCII white space; a null text has none. Base columns that ``docs`` has already, in whatever case
+    of letters, are replaced.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    kept = [c for c in docs.columns if c not in
+    kept = [c for c in docs.columns if c.lower() not in
             ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "_base")]
     words = F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -186,11 +199,16 @@ def quality(docs: DataFrame, labels: DataFrame, stratum: str = "lang", good: str
 
 def filtered(docs: DataFrame, labels: DataFrame, stratum: str = "lang", good: str = "quality = 1", rules: tuple[Rule, ...] = RULES,
              risk: float = RISK, error: float = ERROR, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns. The cutoffs are fitted first; the rows are then judged where
-    they are read, so no text is shuffled."""
+    """The rows of ``docs`` that are kept, with their columns. The cutoffs are fitted first, on measures written without the
+    texts; the rows are then judged where they are read, so no text is shuffled. A null key is judged and never labelled,
+    null and empty texts fail the base rules, repeated rows are judged alike, no rows give none."""
     narrow = docs.select(F.col(key).alias("doc_id"), F.col(stratum).alias("_stratum_"), F.col(text).alias("_text_"))
     marks = labels.select(F.col(key).alias("doc_id"), F.expr(good).alias("_good")).where("doc_id IS NOT NULL AND _good")
-    cutoffs = written(fit_cutoffs(measured(narrow, "_text_").drop("_text_").join(marks, "doc_id"), "_stratum_", "_good", rules, risk, error))
+    keys = marks.select("doc_id").distinct()
+    if is_small(keys):
+        narrow = narrow.join(F.broadcast(keys), "doc_id", "left_semi")
+    rows = written(measured(narrow, "_text_").drop("_text_"))
+    cutoffs = written(fit_cutoffs(rows.join(marks, "doc_id"), "_stratum_", "_good", rules, risk, error))
     own, names = set_aside(docs)
     rows = judged(measured(own, names[text]), cutoffs, names[stratum], rules).where("kept")
     return rows.select(*put_back(names))

@@ -247,12 +247,14 @@ def _base(text):
     return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again))
 
 
-def test_base_columns_against_brute_force(spark):
+@pytest.mark.parametrize("bits", [24, 3])
+def test_base_columns_against_brute_force(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "PLACE_BITS", bits)
     rng = random.Random(8)
     texts = [None, "", " ", "\n\n", "a", "a b", "a b c", "a a a", "a a a a a", "a b c a b c", "#*$%&|<> \u00a0x\u00a0 \x1c", "x" * 5000,
              "word " * 5000, "\u4e2d \u6587 " * 20, "l\nl\n l\n\nl"]
     texts += ["".join(rng.choices(["a ", "b ", "c\n", "\t", "#x ", "\u00e9 "], k=rng.randrange(60))) for _ in range(300)]
-    frame = spark.createDataFrame([(k, t, 5, 1) for k, t in enumerate(texts)], "doc_id long, text string, n_words int, _base int")
+    frame = spark.createDataFrame([(k, t, 5, 1) for k, t in enumerate(texts)], "doc_id long, text string, N_Words int, _base int")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     got = {r.doc_id: tuple(r[n] for n in names) for r in quality.measured(frame).collect()}
     assert got == {k: _base(t) for k, t in enumerate(texts)}

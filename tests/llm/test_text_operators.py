@@ -116,6 +116,14 @@ def test_packing_against_the_library(spark, odd, none, documents):
     assert packing.pack_documents(none, WORD).count() == 0
 
 
+def test_packing_keeps_columns_of_its_own_names(spark):
+    cut = spark.createDataFrame([(k, 0, 7, k % 3 + 1, "a", 2, 9) for k in range(30)],
+                                "doc_id long, piece int, ids_crc32 long, length long, _rank string, Offset int, _bucket int")
+    rows = packing.pack(cut, 4).collect()
+    assert len(rows) == 30 and all(r["_rank"] == "a" and r["_bucket"] == 9 and r.offset + r.length <= 4 for r in rows)
+    assert Counter(rows[0].asDict().keys())["offset"] == 1 and len(rows[0]) == 8
+
+
 def test_buckets_number_a_hot_length(spark, monkeypatch):
     monkeypatch.setattr(packing, "PIECES_A_BUCKET", 50)
     docs = [(k, "one two three" if k % 3 else "four " * (k % 40)) for k in range(900)]
@@ -195,7 +203,8 @@ def test_leaks_against_brute_force(spark, none):
     rng = random.Random(5)
     words = ["alpha", "beta", "gamma", "delta", "of", "the", "in"]
     items = [(k, " ".join(rng.choices(words, k=12))) for k in range(8)]
-    items += [(8, "short"), (9, None), (10, ""), (11, items[0][1]), (None, "a text of an item without a key")]
+    items += [(8, "short"), (9, None), (10, ""), (11, items[0][1]), (None, "a text of an item without a key"),
+              (12, "Two  words")]
     docs, planted = [], set()
     for k in range(120):
         body = " ".join(rng.choices(words, k=20))
@@ -215,6 +224,7 @@ def test_leaks_against_brute_force(spark, none):
                         row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
                 if min(row) <= decontaminate.budget(len(raw), decontaminate.ERROR_RATE):
                     planted.add((doc, item, min(row)))
+    docs += [(203, "has two words, no two wordsmiths and not intwo words; Two\nWORDS"), (204, "now a Text of an item without a kay here")]
     docs += [(200, None), (201, ""), (None, items[2][1]), (202, items[3][1] + " " + items[3][1])]
     frame = spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, distance int")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -227,10 +237,13 @@ def test_leaks_against_brute_force(spark, none):
     texts = dict(docs)
     for r in rows:
         part = decontaminate.normalized(texts[r.doc_id][r.start_char : r.end_char])
-        assert _distance(part, items[r.item_id][1]) == r.distance
+        item = next(t for k, t in items if k == r.item_id)
+        assert _distance(part, decontaminate.normalized(item)) == r.distance
+    assert sorted((r.item_id, r.start_char, r.end_char) for r in rows if r.doc_id == 203) == [(12, 4, 13), (12, 54, 63)]
+    assert [(r.item_id, r.distance) for r in rows if r.doc_id == 204] == [(None, 1)]
     assert sum(r.doc_id is None for r in rows) == 1 and sum(r.doc_id == 202 for r in rows) == 2
     kept = decontaminate.without_leaks(frame, bench)
-    bad = {d for d, _, _ in planted} | {None, 202}
+    bad = {d for d, _, _ in planted} | {None, 202, 203, 204}
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, _ in docs if d not in bad)
     assert kept.columns == frame.columns
     empty = bench.where("false")
