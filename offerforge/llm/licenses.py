@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from offerforge.llm.frames import map_rows, texts
+from offerforge.llm.license_texts import TEMPLATES
 
 GRAM = 3
 WINDOW = 3
@@ -17,24 +18,6 @@ LEAST_COVERAGE = 0.6
 KEEP_WORDS = 500_000
 WORD = re.compile(r"\w+")
 
-# Public licence notices and the short statements that name a licence.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("apache-2.0 notice", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except "
-                          "in compliance with the License. You may obtain a copy of the License at"),
-    ("apache-2.0 statement", "Licensed under the Apache License, Version 2.0."),
-    ("bsd conditions", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                       "provided that the following conditions are met:"),
-    ("cc-by-nc-4.0 notice", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc-by-nc-4.0 statement", "Licensed under CC BY-NC 4.0."),
-    ("gpl-3.0 notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                       "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-                       "or (at your option) any later version."),
-    ("gpl-3.0 statement", "This work is licensed under the GNU General Public License, version 3."),
-    ("mit grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                  "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
-    ("mit statement", "Released under the MIT License."),
-)
-
 
 class _Hashes(dict):
     """64-bit hashes of lower-cased words; forgets all of them when it has ``KEEP_WORDS``."""
@@ -56,7 +39,8 @@ class Scanner:
         self.index: dict[int, list[tuple[int, int]]] = {}
         for n, words in enumerate(self.words):
             grams = self.grams(words)
-            for at in winnow(grams):
+            short = len(words) < GRAM + 2 * WINDOW  # so short that one changed word could hit all picked ones
+            for at in range(len(grams)) if short else winnow(grams):
                 self.index.setdefault(int(grams[at]), []).append((n, at))
         self.keys = np.array(sorted(self.index), dtype="<u8")
         self.coarse = np.zeros(1 << 16, dtype=bool)
@@ -86,10 +70,12 @@ class Scanner:
         for p in at.tolist():
             for n, spot in self.index[int(grams[p])]:
                 hits.setdefault(n, []).append((p - spot, p))
-        out, spans = [], None
-        for n, found in hits.items():
-            for matched, first, last in self._places(n, words, sorted(found)):
-                spans = spans or [m.span() for m in WORD.finditer(text)]
+        found = [(n, *place) for n, spots in hits.items() for place in self._places(n, words, sorted(spots))]
+        found.sort(key=lambda x: (-x[1], -x[1] / len(self.words[x[0]]), x[0], x[2]))
+        taken, out, spans = bytearray(len(words)), [], [m.span() for m in WORD.finditer(text)] if found else []
+        for n, matched, first, last in found:
+            if 2 * sum(taken[first : last + 1]) <= last + 1 - first:
+                taken[first : last + 1] = b"\1" * (last + 1 - first)
                 out.append({"template": self.names[n], "matched_words": matched, "template_words": len(self.words[n]),
                             "coverage": matched / len(self.words[n]), "start_char": spans[first][0],
                             "end_char": spans[last][1]})
@@ -97,25 +83,29 @@ class Scanner:
 
     def _places(self, n: int, words: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """Alignments around hits (begin of the template, place of the hit): of hits whose begins lie close together the
-        best one, then those of the hits before and behind it."""
-        out, work = [], []
-        group = [hits[0]]
-        for hit in [*hits[1:], None]:
-            if hit is not None and hit[0] - group[-1][0] <= BAND:
-                group.append(hit)
-            else:
-                work.append((group, 0, len(words)))
-                group = [hit]
-        while work:
-            group, begin, end = work.pop()
-            matched, first, last = align(self.words[n], words, group[0][0], group[-1][0], begin, end)
-            if matched < LEAST_COVERAGE * len(self.words[n]):
-                continue
-            out.append((matched, first, last))
-            for side, low, high in (([h for h in group if h[1] < first], begin, first),
-                                    ([h for h in group if h[1] > last], last + 1, end)):
-                if side:
-                    work.append((side, low, high))
+        best one, then those of the hits before and behind it. A chain of begins ends when it is as long as the template, and
+        what it has found is not looked at again, so the work grows with the hits."""
+        template, out, free, at = self.words[n], [], 0, 0
+        while at < len(hits):
+            stop = at + 1
+            while stop < len(hits) and hits[stop][0] - hits[stop - 1][0] <= BAND and hits[stop][0] - hits[at][0] <= len(template):
+                stop += 1
+            work = [([h for h in hits[at:stop] if h[1] >= free], free, len(words))]
+            at = stop
+            while work:
+                group, begin, end = work.pop()
+                if not group:
+                    continue
+                low, high = group[0][0], group[-1][0]
+                around = words[max(begin, low - BAND) : max(0, min(end, high + BAND + len(template)))]
+                if np.isin(template, around).sum() < LEAST_COVERAGE * len(template):
+                    continue
+                matched, first, last = align(template, words, low, high, begin, end)
+                if matched < LEAST_COVERAGE * len(template):
+                    continue
+                out.append((matched, first, last))
+                free = max(free, last + 1)
+                work += [([h for h in group if h[1] < first], begin, first), ([h for h in group if h[1] > last], last + 1, end)]
         return sorted(out, key=lambda x: x[1])
 
 
@@ -171,7 +161,9 @@ def license_spans(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     template_words, coverage, start_char, end_char (code points of the text).
 
     Words are runs of letters, digits and underscores in any case. A run of ``GRAM + WINDOW - 1`` words shared with a
-    template is always found. Each template is reported on its own, so a notice may come with the statement it begins with.
+    template is always found, of a short template any ``GRAM`` words. Where templates are found in the same words the one with
+    most matched words is reported, of equals the one covered best: so versions and relatives, which share most of their words,
+    are told apart, and a notice comes without the statement it begins with.
     Null and empty texts and texts of fewer than ``GRAM`` words have no row; repeated rows each have theirs. Templates are
     a parameter of a few kilobytes; documents are neither shuffled nor collected.
     """

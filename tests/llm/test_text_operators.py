@@ -265,25 +265,28 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
 def test_licenses_planted_and_edited(spark, odd, none):
     rng = random.Random(3)
     filler = ["lorem", "ipsum", "dolor", "sit", "amet", "the", "of", "under"]
-    docs, want = [], set()
-    for k in range(60):
-        name, text = licenses.TEMPLATES[k % len(licenses.TEMPLATES)]
+    names, docs = [n for n, _ in licenses.TEMPLATES], []
+    assert len(set(names)) == len(names)
+    for k, (_, text) in enumerate(licenses.TEMPLATES):
         body = " ".join(rng.choices(filler, k=200))
-        if k >= 30:  # every tenth word is another one
-            text = " ".join("foo" if n % 10 == 9 else w for n, w in enumerate(text.split()))
-        docs.append((k, f"{body}\n{text}\n{body}"))
-        want.add((k, name))
-    docs.append((60, " ".join(filler * 50)))
-    docs.append((61, "\u0130 " + licenses.TEMPLATES[8][1] + " x " + licenses.TEMPLATES[8][1].upper()))
+        edited = " ".join("foo" if n % 10 == 9 else w for n, w in enumerate(text.split()))
+        docs += [(k, f"{body}\n{text}\n{body}"), (100 + k, f"{body}\n{edited}\n{body}")]
+    mit = dict(licenses.TEMPLATES)["mit statement"]
+    docs += [(200, " ".join(filler * 50)), (201, "\u0130 " + mit + " x " + mit.upper()), (202, "Released with the MIT License."),
+             (203, f"{mit} " * 3000)]
     rows = licenses.license_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert want <= {(r.doc_id, r.template) for r in rows}
-    assert {r.doc_id for r in rows if r.doc_id == 60} == set()
-    twice = [dict(docs)[61][r.start_char : r.end_char] for r in rows if r.doc_id == 61]
-    assert sorted(twice) == ["RELEASED UNDER THE MIT LICENSE", "Released under the MIT License"]
+    found = defaultdict(list)
     for r in rows:
-        if r.doc_id < 30 and (r.doc_id, r.template) in want:
-            text = dict(licenses.TEMPLATES)[r.template]
-            assert r.coverage == 1.0 and text.startswith(dict(docs)[r.doc_id][r.start_char : r.end_char])
+        found[r.doc_id].append(r)
+    for k, (name, text) in enumerate(licenses.TEMPLATES):
+        (whole,) = found[k]
+        assert whole.template == name and whole.coverage == 1.0 and whole.matched_words == whole.template_words
+        assert text.startswith(dict(docs)[k][whole.start_char : whole.end_char])
+        (near,) = found[100 + k]
+        assert near.template.split("-")[0].split()[0] == name.split("-")[0].split()[0] and 0.6 <= near.coverage <= 1
+    assert not found[200] and [r.template for r in found[202]] == ["mit statement"] and len(found[203]) == 3000
+    twice = [dict(docs)[201][r.start_char : r.end_char] for r in found[201]]
+    assert sorted(twice) == ["RELEASED UNDER THE MIT LICENSE", "Released under the MIT License"]
     assert licenses.license_spans(odd).count() == 0 and licenses.license_spans(none).count() == 0
 
 
