@@ -1,8 +1,8 @@
 """Missing-value imputation from exact nearest neighbours.
 
 The search never compares every incomplete row with every complete one. Complete rows (donors) are put into the cells
-of a grid whose edges are quantiles, so cells are fine where rows are dense. Cells are summarised level by level with
-their bounds. The incomplete rows descend the levels and keep only cells that can hold one of their k nearest donors;
+of a grid whose edges are quantiles, so cells are fine where rows are dense. A wide coordinate is cut more often than a
+narrow one, so that cells are about as long as they are broad. Cells are summarised level by level with their bounds. The incomplete rows descend the levels and keep only cells that can hold one of their k nearest donors;
 the rest is excluded by the bounds, so the result is exact. Only at the last level do they meet the donors themselves.
 """
 
@@ -31,9 +31,11 @@ CATEGORY_NEIGHBOURS = 7
 CATEGORY_FEATURES = 3
 
 START_CELLS = 256
-DONORS_PER_CELL = 2000
+DONORS_PER_CELL = 64
 MAX_BITS = 10
 CHILD_BITS = 4
+MAX_LAG = 20
+MAX_CUT = 40
 
 
 def _bins(d: int) -> list[str]:
@@ -47,6 +49,8 @@ def _numbered(donors: DataFrame, point: str, name: str, marks: Sequence[float],
     """
     fine = max(bits - MAX_BITS, 0)
     every = 2 ** max(MAX_BITS - bits, 0)
+    if not bits:
+        return donors.withColumn(name, F.lit(0).cast("bigint"))
     cuts = sorted(set(marks[every - 1 :: every]))
     donors = with_range_number(donors, point, name, cuts)
     if not fine or len(cuts) < 2:
@@ -64,19 +68,44 @@ def _cells(donors: DataFrame, d: int) -> DataFrame:
     return donors.groupBy("_s", "_bits", *_bins(d)).agg(F.count(F.lit(1)).alias("_n"), *bounds)
 
 
-def _shift(level: int) -> Column:
-    """Last bits of a search's finest cell numbers that are dropped at a level."""
-    return F.greatest(F.col("_bits") - level, F.lit(0))
+def _cut_at(marks: Sequence[Sequence[float]]) -> tuple[list[int], list[int]]:
+    """For each coordinate: the level from which it is cut, and the most bits that tell its values apart.
+
+    The widest coordinate is cut from the first level on, one of half its width from the second. Width is that of the
+    middle nine tenths, or all of it where they are one value.
+    """
+    width = []
+    for m in marks:
+        middle = m[len(m) * 19 // 20] - m[len(m) // 20] if m else 0.0
+        width.append(middle or (m[-1] - m[0] if m else 0.0))
+    widest = max(width)
+    lags = [min(round(math.log2(widest / w)), MAX_LAG) if w > 0 and math.isfinite(widest / w) else MAX_LAG for w in width]
+    distinct = [len(set(m)) for m in marks]
+    most = [MAX_CUT if n >= 2 ** (MAX_BITS - 1) else n.bit_length() for n in distinct]
+    return [lag if math.isfinite(widest) else 0 for lag in lags], most
+
+
+def _cut_bits(level: Column, lag: int, most: int) -> Column:
+    """Bits of a coordinate's cell number at a level."""
+    return F.least(F.greatest(level - lag, F.lit(0)), F.lit(most))
+
+
+def _cut_sum(level: int, cut: tuple[list[int], list[int]]) -> int:
+    return sum(min(max(level - lag, 0), most) for lag, most in zip(*cut))
 
 
 def _dropped(number: str, bits: Column) -> Column:
     return F.floor(F.col(number) / F.pow(F.lit(2.0), bits)).cast("bigint")
 
 
-def _coarser(cells: DataFrame, d: int, level: int, split: int | None = None) -> DataFrame:
+def _coarser(cells: DataFrame, cut: tuple[list[int], list[int]], level: int, split: int | None = None) -> DataFrame:
     """The cells merged to a level; coordinates beyond ``split`` are not told apart."""
+    d = len(cut[0])
     split = d if split is None else split
-    keys = [(_dropped(b, _shift(level)) if i < split else F.lit(0).cast("bigint")).alias(b) for i, b in enumerate(_bins(d))]
+    keys = []
+    for i, (b, lag, most) in enumerate(zip(_bins(d), *cut)):
+        last = _cut_bits(F.col("_bits"), lag, most) - _cut_bits(F.least("_bits", F.lit(level)), lag, most)
+        keys.append((_dropped(b, last) if i < split else F.lit(0).cast("bigint")).alias(b))
     bounds = [f(f"_{n}{i}").alias(f"_{n}{i}") for i in range(d) for f, n in ((F.min, "lo"), (F.max, "hi"))]
     return cells.groupBy("_s", "_bits", *keys).agg(F.sum("_n").alias("_n"), *bounds)
 
@@ -97,8 +126,9 @@ def _pruned(frontier: DataFrame, d: int, k: int) -> DataFrame:
     """Keeps the cells that may hold one of the k nearest donors of their query.
 
     A cell with at least k donors bounds the k-th distance by its farthest point. The bound found at coarser levels is
-    carried along, with a hair of slack for rounding.
+    carried along, with a hair of slack for rounding, and is used before rows are shuffled.
     """
+    frontier = frontier.filter(_nearest_square(d) <= F.col("_limit") * (1 + 1e-9))
     sure = F.when(F.col("_n") >= k, _farthest_square(d))
     bound = F.min(F.least("_limit", sure)).over(Window.partitionBy("_s", "_q"))
     return (
@@ -134,41 +164,54 @@ def masked_donors(
     same = Window.partitionBy("_s", *points).orderBy("_key")
     donors = written(donors.withColumn("_rank", F.row_number().over(same)).filter(F.col("_rank") <= k).drop("_rank"))
 
-    # one sketch per coordinate over the donors it counts for, and the cells' bits of every search from its size
+    # one sketch per coordinate over the donors it counts for, and the level of every search's finest cells from its size
     marks = [i / 2**MAX_BITS for i in range(1, 2**MAX_BITS)]
     seen = [F.when(F.col("_m").bitwiseAND(1 << i) > 0, F.col(p)) for i, p in enumerate(points)]
     fit = donors.agg(*[F.percentile_approx(x, marks, 10_000).alias(p) for x, p in zip(seen, points)]).first()
-    wide = F.log2(F.greatest(F.count(F.lit(1)) / donors_per_cell, F.lit(2.0))) / F.bit_count("_m")
-    sizes = written(donors.groupBy("_s", "_m").agg(F.greatest(F.ceil(wide), F.lit(1)).cast("int").alias("_bits")))
+    cut = _cut_at([fit[p] or [] for p in points])
+
+    def cuts(level: Column) -> Column:
+        return reduce(add, [
+            F.when(F.col("_m").bitwiseAND(1 << i) > 0, _cut_bits(level, lag, most)).otherwise(0) for i, (lag, most) in enumerate(zip(*cut))])
+
+    wide = F.log2(F.greatest(F.col("_n") / donors_per_cell, F.lit(2.0)))
+    levels = F.sequence(F.lit(1), F.lit(MAX_LAG + MAX_CUT))
+    deep = F.coalesce(F.array_min(F.filter(levels, lambda level: cuts(level) >= wide)), F.lit(MAX_LAG + MAX_BITS))
+    sizes = donors.groupBy("_s", "_m").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bits", deep.cast("int"))
+    sizes = written(sizes.select("_s", "_bits"))
     bits = sizes.agg(F.max("_bits")).first()[0]  # a row per search
     if bits is None:
         return _no_neighbours(queries, donors)
-    for b, p in zip(_bins(d), points):
-        donors = _numbered(donors, p, b, fit[p] or [], bits)
-    donors = donors.join(F.broadcast(sizes.drop("_m")), "_s")
-    donors = donors.withColumns({b: _dropped(b, bits - F.col("_bits")) for b in _bins(d)})
+    for b, p, lag, most in zip(_bins(d), points, *cut):
+        donors = _numbered(donors, p, b, fit[p] or [], min(max(bits - lag, 0), most))
+    donors = donors.join(F.broadcast(sizes), "_s")
+    donors = donors.withColumns({
+        b: _dropped(b, F.lit(min(max(bits - lag, 0), most)) - _cut_bits(F.col("_bits"), lag, most)) for b, lag, most in zip(_bins(d), *cut)})
 
     finest = written(_cells(donors, d))
-    level = min(bits, max(int(math.log2(START_CELLS) / d), 1))
-    split = min(d, int(math.log2(START_CELLS)))  # coordinates told apart at the start; the others from the first step on
-    top = _coarser(finest, d, level, split).drop("_bits")  # at most START_CELLS rows per search
+    start = int(math.log2(START_CELLS))
+    level = max([n for n in range(1, bits + 1) if _cut_sum(n, cut) <= start], default=1)
+    split = min(d, start)  # coordinates told apart at the start; the others from the first step on
+    top = _coarser(finest, cut, level, split).drop("_bits")  # at most START_CELLS rows per search
     asked = queries.select("_s", "_q", *points, F.lit(float("inf")).alias("_limit"))
     frontier = _pruned(asked.join(F.broadcast(top), "_s"), d, k)
     while level < bits or split < d:
-        step = min(max(CHILD_BITS // d, 1), bits - level)
-        level += step
-        fewer = _shift(level - step) - _shift(level)
-        children = _coarser(finest, d, level).withColumns(
-            {f"_p{i}": _dropped(b, fewer) if i < split else F.lit(0).cast("bigint") for i, b in enumerate(_bins(d))}
-        ).drop("_bits")
+        last = level
+        level = max([n for n in range(last + 1, bits + 1) if _cut_sum(n, cut) - _cut_sum(last, cut) <= CHILD_BITS],
+                    default=min(last + 1, bits))
+        parent = {}
+        for i, (b, lag, most) in enumerate(zip(_bins(d), *cut)):
+            fewer = _cut_bits(F.least("_bits", F.lit(level)), lag, most) - _cut_bits(F.least("_bits", F.lit(last)), lag, most)
+            parent[f"_p{i}"] = _dropped(b, fewer) if i < split else F.lit(0).cast("bigint")
+        children = _coarser(finest, cut, level).withColumns(parent).drop("_bits")
         split = d
         parents = frontier.withColumnsRenamed({b: f"_p{i}" for i, b in enumerate(_bins(d))})
         frontier = _pruned(parents.join(children, ["_s", *[f"_p{i}" for i in range(d)]]), d, k)
 
-    near = frontier.select("_s", "_q", *[F.col(p).alias(f"_at{i}") for i, p in enumerate(points)], *_bins(d))
+    near = frontier.select("_s", "_q", "_limit", *[F.col(p).alias(f"_at{i}") for i, p in enumerate(points)], *_bins(d))
     square = reduce(add, [(F.col(f"_at{i}") - F.col(p)) * (F.col(f"_at{i}") - F.col(p)) for i, p in enumerate(points)])
-    met = near.join(donors, ["_s", *_bins(d)]).select("_s", "_m", "_q", square.alias("_d"), "_key", "_value")
-    return _first(met, k, "_s", "_q")
+    met = near.join(donors, ["_s", *_bins(d)]).filter(square <= F.col("_limit") * (1 + 1e-9))
+    return _first(met.select("_s", "_m", "_q", square.alias("_d"), "_key", "_value"), k, "_s", "_q")
 
 
 def _first(candidates: DataFrame, k: int, *by: str) -> DataFrame:
