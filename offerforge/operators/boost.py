@@ -1,6 +1,7 @@
 """Boosted trees from aggregates: one softmax over all classes, second-order gains, every tree shrunk by the step.
 
-Features are binned once. A level of a round's trees, of all classes together, is one pass: tasks add up gradient and
+Features are binned once. Rows alike in bins and label have the same margins throughout, so they are one row with their number,
+unless a round takes a sample of them. A level of a round's trees, of all classes together, is one pass: tasks add up gradient and
 hessian by (class, node, feature, bin), Spark adds the tasks' sums, forms running sums over the bins and keeps the best
 split of each node. The driver sees one row per node. Sums are kept in whole units of 2^-24, so they do not depend on
 the order of the rows: the same table gives the same model whatever its partitioning.
@@ -28,7 +29,7 @@ SMOOTHING = 1.0
 LEAST_GAIN = 1e-6
 ROWS_PER_TASK = 20_000
 
-_ROWS = "bins binary, label int, id long, margins binary"
+_ROWS = "bins binary, label int, id long, margins binary, n long"
 _SUMS = "class int, node int, feature int, bin int, g long, h long"
 
 
@@ -146,32 +147,46 @@ def fit_bins(df: DataFrame, features: Sequence[str], bins: int = BINS) -> tuple[
 
 def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     """Rows of equally long binary values as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+    _, ends, data = column.buffers()
+    size = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(ends, size)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind).reshape(len(column), -1)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a matrix as a binary value."""
+    wide = rows.shape[1] * rows.itemsize
+    ends = np.arange(0, (len(rows) + 1) * wide, wide, dtype=np.int32) if wide else np.zeros(len(rows) + 1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
 def binned_values(column: pa.Array) -> np.ndarray:
     return _matrix(column, np.uint8)
 
 
-def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column, n: int) -> DataFrame:
-    """Bins, label, id and empty margins of every row with a label, dealt out evenly to as many tasks as ``n`` rows are worth
-    and there are cores for, and written once."""
+def binned_rows(df: DataFrame, model: BoostedModel, label: Column, key: Column, n: int, alike: bool = True) -> DataFrame:
+    """Bins, label, id, empty margins and number ``n`` of the rows with a label, dealt out evenly to as many tasks as they are
+    worth and there are cores for, and written once. Rows ``alike`` in bins and label are one row, without an id; else every
+    row stands for itself."""
     rows = df.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(model.features)],
                      label.cast("int").alias("label"), F.xxhash64(key).alias("id")).where("label IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.columns
-            bins = model.binned([c.to_numpy(zero_copy_only=False) for c in columns[:-2]])
-            nothing = np.zeros(model.outputs).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b.tobytes() for b in bins], pa.binary()), *columns[-2:], pa.array([nothing] * len(bins), pa.binary())],
-                names=["bins", "label", "id", "margins"])
+            bins = model.binned([c.to_numpy(zero_copy_only=False) for c in batch.columns[:-2]])
+            yield pa.RecordBatch.from_arrays([_binary(bins), *batch.columns[-2:]], names=["bins", "label", "id"])
 
+    made = rows.mapInArrow(run, "bins binary, label int, id long")
+    if alike:
+        made = written(made.groupBy("bins", "label").agg(F.lit(0).cast("bigint").alias("id"), F.count("*").alias("n")))
+        n = made.count()
+    else:
+        made = made.withColumn("n", F.lit(1).cast("bigint"))
+    nothing = F.lit(bytes(8 * model.outputs)).alias("margins")
     spark = df.sparkSession
     most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     parts = min(most, n // ROWS_PER_TASK + 1)
-    return written(rows.mapInArrow(run, _ROWS).repartition(parts))
+    return written(made.select("bins", "label", "id", nothing, "n").repartition(parts))
 
 
 def advanced(rows: DataFrame, model: BoostedModel) -> DataFrame:
@@ -182,7 +197,7 @@ def advanced(rows: DataFrame, model: BoostedModel) -> DataFrame:
             if batch.num_rows:
                 margins = _matrix(batch.column(3), np.float64) + model.margins(binned_values(batch.column(0)), model.rounds[-1:])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:3], pa.array([m.tobytes() for m in margins], pa.binary())], names=batch.schema.names)
+                    [*batch.columns[:3], _binary(margins), batch.column(4)], names=batch.schema.names)
 
     return written(rows.mapInArrow(run, _ROWS))
 
@@ -209,10 +224,11 @@ def gradient_sums(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(2).to_numpy()
+            ids, times = batch.column(2).to_numpy(), batch.column(4).to_numpy()
             kept = _in_sample(ids, round_, share) if share < 1.0 else np.ones(len(ids), bool)
             cells = binned_values(batch.column(0))[kept]
             both = _gradients(_matrix(batch.column(3), np.float64)[kept], batch.column(1).to_numpy()[kept])
+            both = [values * times[kept][:, None] for values in both]
             for c, tree in enumerate(trees):
                 node = tree.nodes(cells) - first
                 here = node >= 0
@@ -303,7 +319,7 @@ def fit_boosted(
     model = BoostedModel(tuple(features), tuple(labels), cuts)
     if len(labels) < 2:
         return model
-    rows = binned_rows(df, model, code, key, n)
+    rows = binned_rows(df, model, code, key, n, alike=subsample >= 1.0)
     for number in range(rounds):
         model = replace(model, rounds=(*model.rounds, grow(rows, model, depth, step, child_weight, bins, subsample)))
         if number + 1 < rounds:

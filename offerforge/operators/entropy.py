@@ -34,13 +34,13 @@ def label_counts(rows: DataFrame, trees: Sequence[Tree], features: int, labels:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cells, label = binned_values(batch.column(0)), batch.column(1).to_numpy()
+            cells, label, times = binned_values(batch.column(0)), batch.column(1).to_numpy(), batch.column(4).to_numpy()
             for t, tree in enumerate(trees):
                 node = tree.nodes(cells) - first
                 here = node >= 0
                 for f in range(features):
                     at = (node[here] * bins + cells[here, f]) * labels + label[here]
-                    counts[t, f] += np.bincount(at, minlength=wide * bins * labels)
+                    counts[t, f] += np.bincount(at, times[here], wide * bins * labels).astype(np.int64)
         t, f, at = np.nonzero(counts)
         if len(t):
             columns = [t, first + at // (bins * labels), f, at // labels % bins, at % labels]

@@ -198,3 +198,27 @@ def test_boosting_with_missing_values_and_one_class(spark):
     assert values(model.accuracy(best, "target", "best"), "accuracy") == [(100.0,)]
     single = model.train_multiclass(df.filter("target = 'a'"), "target", rounds=3)
     assert values(single.score(df).limit(2), "probability") == [([1.0],), ([1.0],)]
+
+
+def test_rows_alike_are_one_row_of_boosted_trees(spark):
+    """The passes read as many rows as there are kinds of rows, and their sums are those of all rows."""
+    from offerforge.operators import boost
+
+    df = spark.range(2400).selectExpr("id", "id % 12 AS month", "int(id % 3) AS y")
+    cuts, n = boost.fit_bins(df, ["month"])
+    model = boost.BoostedModel(("month",), ("a", "b", "c"), cuts)
+    roots = tuple(boost.Tree.empty(1) for _ in range(3))
+    one, each = (boost.binned_rows(df, model, F.col("y"), F.col("id"), n, alike=a) for a in (True, False))
+    assert one.count() == 12 and one.agg(F.sum("n")).first()[0] == 2400 and each.count() == 2400
+    sums = [sorted(map(tuple, boost.gradient_sums(x, model, roots, 0).collect())) for x in (one, each)]
+    assert sums[0] == sums[1] and sums[0]
+
+
+def test_rows_alike_count_in_entropy_trees(spark):
+    from offerforge.operators import boost, entropy
+
+    df = spark.range(700).selectExpr("id", "id % 7 AS f", "int(id % 7 > 3) AS y")
+    cuts, n = boost.fit_bins(df, ["f"])
+    rows = boost.binned_rows(df, boost.BoostedModel(("f",), ("a", "b"), cuts), F.col("y"), F.col("y"), n)
+    counts = entropy.label_counts(rows, [boost.Tree.empty(1)], 1, 2, 0).collect()
+    assert rows.count() == 7 and [r["n"] for r in counts] == [100] * 7
