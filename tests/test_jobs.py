@@ -92,3 +92,19 @@ def test_loan_enrichment_rules(spark):
             assert r.occupation != "Engineer" or r.self_employed == "No"
         else:
             assert r.occupation in ("Plumber", "Welder", "BrickLayer") and r.self_employed == "Yes"
+
+
+def test_insurance_lines_are_trained_at_the_same_time(spark, monkeypatch):
+    """Each of two lines waits for the other; one after the other they would not end."""
+    import threading
+
+    gate, frame = threading.Barrier(2), spark.createDataFrame([("a", 1)], "customer_id string, x int")
+
+    def waits(features, snapshot, target, name, **options):
+        gate.wait(30)
+        return jobs.Recommended(frame.withColumnRenamed("x", name), None, None)
+
+    monkeypatch.setattr(jobs, "recommend_multiclass", waits)
+    tables = jobs.InsuranceTables({"one": frame, "two": frame}, jobs.Preprocessed(frame, frame, None), frame)
+    combined, hits = jobs.recommend_insurance(tables)
+    assert list(hits) == ["one", "two"] and combined.count() == 1
