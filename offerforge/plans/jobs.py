@@ -24,7 +24,7 @@ from offerforge.operators.encode import EncoderPlan, fit_encoders
 from offerforge.operators.boost import BoostedModel
 from offerforge.operators.lookups import with_branch_distance, with_near_branch, with_population
 from offerforge.operators.model import (
-    BINARY_STEP, ROUNDS, TrainedModel, accuracy, key_split, train_binary, train_multiclass,
+    BINARY_STEP, MULTICLASS_STEP, ROUNDS, TrainedModel, accuracy, key_split, train_binary, train_multiclass,
 )
 from offerforge.operators.numeric import (
     exact_quantiles, highly_correlated, log_scale, outlier_report, tier_edges, top_correlations, with_city_tier,
@@ -266,29 +266,39 @@ class Recommended:
 
 def recommend_multiclass(
     features: DataFrame, snapshot: DataFrame, target: str, name: str, k: int = 3, backend: str = "boosted",
-    rounds: int = ROUNDS,
+    rounds: int = ROUNDS, forest: str | None = None,
 ) -> Recommended:
-    """Trains on four fifths of the customers and gives the others their k best classes as ``name``."""
+    """Trains on four fifths of the customers and gives the others their k best classes as ``name``; with ``forest`` also
+    those of a forest that tries all features at every split, under that name."""
     train, test = key_split(features, KEY)
     model = train_multiclass(train, target, KEY, backend=backend, rounds=rounds)
-    scored = model.score(test).select(
+    scored, more = model.score(test), []
+    if forest:
+        second = train_multiclass(train, target, KEY, backend="forest", subset="all")
+        scored = second.score(scored, "_chances")
+        more = [top_offers(F.col("_chances"), second.labels, k).alias(forest)]
+    scored = scored.select(
         KEY, F.col(target).alias("_actual"), F.get(F.array(*[F.lit(v) for v in model.labels]),
                                                   top_index(F.col("probability")).cast("int")).alias("_predicted"),
-        top_offers(F.col("probability"), model.labels, k).alias(name),
+        top_offers(F.col("probability"), model.labels, k).alias(name), *more,
     )
-    offers = attach_offers(snapshot.drop(target), scored.select(KEY, name), KEY)
+    offers = attach_offers(snapshot.drop(target), scored.drop("_actual", "_predicted"), KEY)
     return Recommended(offers, model, accuracy(scored, "_actual", "_predicted"))
 
 
 def recommend_binary(
     features: DataFrame, snapshot: DataFrame, target: str, product: str, name: str, threshold: float = OFFER_THRESHOLD,
-    rounds: int = ROUNDS, step: float = BINARY_STEP,
+    rounds: int = ROUNDS, step: float = BINARY_STEP, wide: str | None = None,
 ) -> Recommended:
-    """Gives each test customer the product when the score is above the threshold."""
+    """Gives each test customer the product when the score is above the threshold; with ``wide`` also by a model of the step
+    of several classes, under that name, whose scores reach both sides of the threshold in a few rounds."""
     train, test = key_split(features, KEY)
     model = train_binary(train, target, KEY, rounds=rounds, step=step)
-    scored = model.score(test).select(KEY, F.get("probability", F.lit(1)).alias("_score"))
-    offers = scored.select(KEY, threshold_offer(F.col("_score"), product, threshold).alias(name))
+    scored, names = model.score(test), {name: "probability"}
+    if wide:
+        scored = train_binary(train, target, KEY, rounds=rounds, step=MULTICLASS_STEP).score(scored, "_chances")
+        names[wide] = "_chances"
+    offers = scored.select(KEY, *[threshold_offer(F.get(p, F.lit(1)), product, threshold).alias(n) for n, p in names.items()])
     return Recommended(attach_offers(snapshot.drop(target), offers, KEY), model, None)
 
 

@@ -108,3 +108,12 @@ def test_insurance_lines_are_trained_at_the_same_time(spark, monkeypatch):
     tables = jobs.InsuranceTables({"one": frame, "two": frame}, jobs.Preprocessed(frame, frame, None), frame)
     combined, hits = jobs.recommend_insurance(tables)
     assert list(hits) == ["one", "two"] and combined.count() == 1
+
+
+def test_offers_of_a_wide_step_and_of_a_forest(spark):
+    """Only those who say yes get the offer of the wide step, and the forest is sure of what one feature tells."""
+    df = spark.range(600).selectExpr("concat('c', id) AS customer_id", "id % 3 AS f", "CASE WHEN id % 3 = 1 THEN 'yes' ELSE 'no' END AS y")
+    done = jobs.recommend_binary(df, df, "y", "card", "slow", wide="quick").offers.collect()
+    assert done and all(len(r["slow"]) == 1 and len(r["quick"]) == (r["f"] == 1) for r in done)
+    ranked = jobs.recommend_multiclass(df, df, "y", "boosted", forest="forest").offers.collect()
+    assert ranked and all(r["forest"][0]["score"] == 1 and r["forest"][0]["label"] == ("yes" if r["f"] == 1 else "no") for r in ranked)
