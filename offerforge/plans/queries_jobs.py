@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerforge.operators import model, recommend
@@ -603,16 +603,24 @@ def job_card_up_sell_offers(spark, sf_dir):
 _IN_TEST = "CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 20"
 
 
-def _answers(done: jobs.Recommended, name: str, forest: str | None = None) -> DataFrame:
-    """The best offer of each test customer and what must hold of all of them: how many, their order, their sum; of offers of
-    a forest the best with its score as well."""
+def _held(name: str, prefix: str = "") -> list[Column]:
+    """What must hold of all offers under ``name``: how many, their order, their sum."""
     offers = F.col(name)
     scores = F.transform(offers, lambda o: o["score"])
+    return [
+        F.size(offers).cast("bigint").alias(f"{prefix}n_offers"), (F.sort_array(scores, asc=False) == scores).alias(f"{prefix}descending"),
+        (F.abs(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias(f"{prefix}whole"),
+    ]
+
+
+def _answers(done: jobs.Recommended, name: str, forest: str | None = None, forest_held: bool = False) -> DataFrame:
+    """The best offer of each test customer and what must hold of all of them; of offers of a forest the best with its score
+    as well, with ``forest_held`` also what must hold of all of these."""
+    offers = F.col(name)
     return done.offers.select(
-        "customer_id", "age", offers[0]["label"].alias("best"), (offers[0]["score"] > 0.5).alias("sure"),
-        F.size(offers).cast("bigint").alias("n_offers"), (F.sort_array(scores, asc=False) == scores).alias("descending"),
-        (F.abs(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).alias("whole"),
+        "customer_id", "age", offers[0]["label"].alias("best"), (offers[0]["score"] > 0.5).alias("sure"), *_held(name),
         *([F.get(forest, F.lit(0))["label"].alias("forest_best"), F.round(F.get(forest, F.lit(0))["score"], 9).alias("best_score")] if forest else []),
+        *(_held(forest, "forest_") if forest and forest_held else []),
     )
 
 
@@ -632,8 +640,11 @@ def job_card_cross_sell_offers(spark, sf_dir):
     return _answers(jobs.recommend_multiclass(done.features, done.snapshot, "card_type", name), name)
 
 
-def _register_multiclass(job: str, target: str, name: str, load, labels: int, forest: str | None = "_forest") -> None:
+def _register_multiclass(job: str, target: str, name: str, load, labels: int, forest: str | None = "_forest",
+                         forest_held: bool = False) -> None:
     more = f", {_TARGET_SQL[job]} AS forest_best, CAST(1 AS DOUBLE) AS best_score" if forest else ""
+    if forest and forest_held:
+        more += f", CAST({labels} AS BIGINT) AS forest_n_offers, true AS forest_descending, true AS forest_whole"
     sql = with_sql(
         "customers", f"SELECT customer_id, age, {_TARGET_SQL[job]} AS best, true AS sure, "
         f"CAST({labels} AS BIGINT) AS n_offers, true AS descending, true AS whole{more} FROM derived "
@@ -643,11 +654,11 @@ def _register_multiclass(job: str, target: str, name: str, load, labels: int, fo
     def offers(spark, sf_dir):
         """The best offers of the boosted trees, and the best one of a forest, which scores what one feature tells with 1."""
         done = load(spark, sf_dir, job)
-        return _answers(jobs.recommend_multiclass(done.features, done.snapshot, target, name, forest=forest), name, forest)
+        return _answers(jobs.recommend_multiclass(done.features, done.snapshot, target, name, forest=forest), name, forest, forest_held)
 
 
 _register_multiclass("funds", "fund_type", "fund_top3_reco", preprocessed_account, 3)
-_register_multiclass("savings_account", "savings_account_avl", "savings_top3_reco", preprocessed_account, 3)
+_register_multiclass("savings_account", "savings_account_avl", "savings_top3_reco", preprocessed_account, 3, forest_held=True)
 _register_multiclass("insurance_cross_sell", "insurance", "insurance_cross_sell_top3_reco", preprocessed_account, 2, None)
 _register_multiclass("loan_cross_sell", "loan_availed", "loan_cross_sell_top3_reco", preprocessed_loan, 3)
 _register_multiclass("loan_up_sell", "loan_availed2", "loan_upsell_top3_reco", preprocessed_loan, 3)

@@ -117,3 +117,14 @@ def test_offers_of_a_wide_step_and_of_a_forest(spark):
     assert done and all(len(r["slow"]) == 1 and len(r["quick"]) == (r["f"] == 1) for r in done)
     ranked = jobs.recommend_multiclass(df, df, "y", "boosted", forest="forest").offers.collect()
     assert ranked and all(r["forest"][0]["score"] == 1 and r["forest"][0]["label"] == ("yes" if r["f"] == 1 else "no") for r in ranked)
+
+
+def test_offers_of_the_forest_are_checked_as_a_whole(spark):
+    """All offers of the forest count, not its best one alone: how many, their order, their sum."""
+    offer = "array<struct<label:string,score:double>>"
+    rows = [("a", 1, [("x", 0.9), ("y", 0.1)], [("x", 1.0), ("y", 0.0), ("z", 0.0)]),
+            ("b", 2, [("x", 0.9), ("y", 0.1)], [("x", 0.2), ("y", 0.7)])]
+    done = jobs.Recommended(spark.createDataFrame(rows, f"customer_id string, age int, top {offer}, _forest {offer}"), None, None)
+    found = queries_jobs._answers(done, "top", "_forest", forest_held=True).orderBy("customer_id")
+    held = found.select("forest_n_offers", "forest_descending", "forest_whole").collect()
+    assert [tuple(r) for r in held] == [(3, True, True), (2, False, False)]
