@@ -660,7 +660,7 @@ def _register_multiclass(job: str, target: str, name: str, load, labels: int, fo
 _register_multiclass("funds", "fund_type", "fund_top3_reco", preprocessed_account, 3)
 _register_multiclass("savings_account", "savings_account_avl", "savings_top3_reco", preprocessed_account, 3, forest_held=True)
 _register_multiclass("insurance_cross_sell", "insurance", "insurance_cross_sell_top3_reco", preprocessed_account, 2, None)
-_register_multiclass("loan_cross_sell", "loan_availed", "loan_cross_sell_top3_reco", preprocessed_loan, 3)
+_register_multiclass("loan_cross_sell", "loan_availed", "loan_cross_sell_top3_reco", preprocessed_loan, 3, forest_held=True)
 _register_multiclass("loan_up_sell", "loan_availed2", "loan_upsell_top3_reco", preprocessed_loan, 3)
 
 
