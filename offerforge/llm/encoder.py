@@ -2,7 +2,7 @@
 
 Both kinds of vocabulary cut a text at white space before they merge, so the ids of a text are the ids of its words in
 order. A word costs a call into the library once; its ids are kept as little-endian bytes. The kept words are bounded
-(``KEEP_WORDS`` twice), which changes the speed and never the ids.
+(``KEEP_WORDS`` that stay and ``LATE_WORDS`` that take turns), which changes the speed and never the ids.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
-KEEP_WORDS = 200_000
+KEEP_WORDS = 500_000
+LATE_WORDS = 100_000
 LONGEST_KEPT = 64
 #: White space as the vocabularies' patterns know it (Unicode White_Space).
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -26,22 +27,25 @@ class _Irregular(Exception):
 
 
 class _Words(dict):
-    """Ids by word; holds the last ``KEEP_WORDS`` to twice as many words."""
+    """Ids by word. The first ``KEEP_WORDS`` words stay, as common words come early; later ones are held until there are
+    ``LATE_WORDS`` of them, then these start anew."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.late = encode, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
+        ids = self.late.get(word)
         if ids is None:
             ids = self.encode(word)
             if len(word) > LONGEST_KEPT:
                 return ids
-        if len(self) >= KEEP_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = ids
+            if len(self) < KEEP_WORDS:
+                self[word] = ids
+            else:
+                if len(self.late) >= LATE_WORDS:
+                    self.late.clear()
+                self.late[word] = ids
         return ids
 
 

@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from offerforge.llm import decontaminate, licenses, maintext, packing, tokenstore
+from offerforge.llm import decontaminate, encoder, licenses, maintext, packing, tokenstore
 from offerforge.llm.encoder import TextEncoder
 from offerforge.session import scratch_path
 
@@ -393,3 +393,14 @@ def test_repeated_runs_against_brute_force(spark):
     frame = spark.createDataFrame([(k, u, f"<body>{t}</body>") for k, u, t in pages], "page_id long, url string, html string")
     assert {r.page_id: r.text for r in maintext.main_text(frame).collect()} == want
     assert any(w != t for (_, _, t), w in zip(pages, want.values(), strict=True))
+
+
+def test_kept_words_change_speed_only(monkeypatch):
+    """Common words stay when the store is full, later ones come and go; ids are those of a full store."""
+    monkeypatch.setattr(encoder, "KEEP_WORDS", 3)
+    monkeypatch.setattr(encoder, "LATE_WORDS", 2)
+    text = "one two three four five six. one two three four five six, seven one two\nthree four"
+    small, plain = TextEncoder(BYTE), Tokenizer.from_file(BYTE)
+    for _ in range(2):
+        assert np.frombuffer(small.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(small.spaced) == 3 and 0 < len(small.spaced.late) <= 2 and "two" in small.spaced
