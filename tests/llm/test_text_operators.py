@@ -395,6 +395,44 @@ def test_repeated_runs_against_brute_force(spark):
     assert any(w != t for (_, _, t), w in zip(pages, want.values(), strict=True))
 
 
+def test_repeats_are_neighbours_of_sorted_suffixes():
+    """Any cut of the sorted array gives the repeats of the whole: runs on all pages, runs twice on one page, whole blocks."""
+    rng = random.Random(5)
+    shared = [f"s{k}" for k in range(30)]
+    pages = {p: " ".join([f"u{p}"] + shared[: 20 + p % 9] + ["x"] * (24 if p == 2 else 1)) for p in range(12)}
+    pages[12] = "x " * 30
+    array = sorted((1, s, p, place, n, p != 3) for p, t in pages.items() for s, place, n in maintext._suffixes([(maintext.OPEN, t)]))
+    runs = defaultdict(list)
+    for _, suffix, page, place, length, opens in array:
+        runs[suffix].append((page, place, length, opens))
+    want = {row[:3] for rows in runs.values() if len({r[0] for r in rows}) > 1 for row in rows if row[3]}
+    assert want and {p for p, _, _ in want} == set(pages) - {3}
+    for parts in (1, 2, 5, 40, len(array)):
+        cuts = [0, *sorted(rng.sample(range(1, len(array)), parts - 1)), len(array)]
+        found = [r for a, b in zip(cuts, cuts[1:], strict=False) for r in maintext._repeats(array[a:b])]
+        seen = defaultdict(set)
+        for edge, page, place, _ in found:
+            if place < 0:
+                seen[edge].add(page)
+        assert {r[1:] for r in found if r[2] >= 0 and (r[0] is None or len(seen[r[0]]) > 1)} == want, parts
+
+
+def test_one_run_on_every_page_spreads_over_tasks(spark):
+    notice = " ".join(f"n{k}" for k in range(25))
+    pages = [(k, "http://h.org/", f"<p>{notice} own{k}</p>") for k in range(60)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.page_id: r.text for r in maintext.main_text(frame).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: f"own{k}" for k in range(60)}
+
+
 def test_kept_words_change_speed_only(monkeypatch):
     """Common words stay when the store is full, later ones come and go; ids are those of a full store."""
     monkeypatch.setattr(encoder, "KEEP_WORDS", 3)
