@@ -21,8 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, Jaccard 0.8), that with the smallest number. Of rows
-    with that number one stays; null texts count as empty, rows without a number all stay. No rows give none."""
+    """One document of each group of near copies (five words, Jaccard 0.8), that with the smallest number. Fingerprints at 3
+    bits or less, found through vantage-point trees, are tested first, an exact search finds what is left. Of rows with that number one stays; null texts count as empty, rows without a number all stay. No rows give none."""
     return simhash.keep_one(docs)
 
 

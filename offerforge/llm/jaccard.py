@@ -1,6 +1,7 @@
 """Groups of texts whose sets of shingles have a Jaccard index of at least a bound, found exactly.
 
-Texts with equal sets become one node. Two sets over the bound share a shingle in the first part of each, in any order that
+Texts with equal sets become one node. Pairs that another search finds nearest, if one is given, are tested first; what
+they join is not tested again. For the rest: two sets over the bound share a shingle in the first part of each, in any order that
 is the same for all: the rare ones come first, so few texts meet there by chance. Of those that meet at a shingle all are
 tested with the one where it stands foremost, and then only pairs that are not in one group yet. Lengths, places and parity
 sketches rule out pairs before their sets are compared; none rules out a pair over the bound.
@@ -9,6 +10,7 @@ sketches rule out pairs before their sets are compared; none rules out a pair ov
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -185,9 +187,9 @@ def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: flo
     return both.where(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float, nearest: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between ``id`` of rows of ``nodes`` (id, size, first, sketch, bits; each set once) that join all, and only,
-    what pairs of at least ``similarity`` join."""
+    what pairs of at least ``similarity`` join. Pairs (a, b) of ``nearest`` are tested first."""
     share, most = similarity / (1 + similarity), (1 - similarity) / (1 + similarity)
 
     def may(i, m, j, n):
@@ -205,7 +207,16 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> D
         return written(similar_links(docs, written(_near(a, nodes, similarity)), words, similarity))
 
     stars = held.where(may(F.col("place"), F.col("size"), F.col("lead.place"), F.col("lead.size")))
-    found = tested(stars.select(F.col("id").alias("a"), F.col("lead.id").alias("b")))
+    stars = stars.select(F.col("id").alias("a"), F.col("lead.id").alias("b")).where("a != b").distinct()
+    if nearest is None:
+        found = tested(stars)
+    else:
+        found = tested(nearest)
+        joined = components(found)
+        for k in "ab":
+            stars = stars.join(joined.select(F.col("node").alias(k), F.col("component").alias(f"group_{k}")), k, "left")
+        apart_yet = F.coalesce("group_a", "a") != F.coalesce("group_b", "b")
+        found = found.union(tested(stars.where(apart_yet).select("a", "b")))
     joined = components(found)
     named = held.join(joined, held["id"] == joined["node"], "left").select(
         "token", "id", "size", "place", F.col("lead.id").alias("lead"), F.coalesce("component", "id").alias("group"))
@@ -224,8 +235,9 @@ def links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> D
     return found.union(tested(others.select(c["xid"].alias("a"), c["yid"].alias("b"))))
 
 
-def group(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id and component_id, the smallest doc_id that links reach.
+def group(docs: DataFrame, words: int, similarity: float, nearest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id and component_id, the smallest doc_id that links reach. ``nearest`` gives
+    pairs (a, b) of the keys (doc_id) of the texts that stand for a set; they are tested before all others.
 
     Texts with one set are one node, named by its smallest key; rows with a null key have the component of their set's other
     rows, null if none has a key.
@@ -238,7 +250,8 @@ def group(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     nodes = rows.join(named, (rows["doc_id"] == named["id"]) & (rows["high"] == named["high"]) & (rows["low"] == named["low"]))
     nodes = nodes.select("id", rows["high"], rows["low"], "size", "first", "sketch", "bits")
     nodes = written(nodes.dropDuplicates(["id", "high", "low"]))
-    joined = components(links(docs, nodes, words, similarity))
+    pairs = nearest(nodes.select(F.col("id").alias("doc_id")).distinct()) if nearest else None
+    joined = components(links(docs, nodes, words, similarity, pairs))
     reached = named.join(joined, named["id"] == joined["node"], "left").select("high", "low", F.coalesce("component", "id").alias("component"))
     return rows.select("doc_id", "high", "low").join(reached, ["high", "low"], "left").select(
         "doc_id", F.col("component").alias("component_id"))

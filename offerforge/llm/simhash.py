@@ -293,13 +293,26 @@ def wide_pairs(nodes: DataFrame, radius: int = WIDE_RADIUS, total: int = WIDE_TO
     return dealt.mapInArrow(look, "a long, b long").distinct()
 
 
+def nearest_pairs(docs: DataFrame, keys: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of ``keys`` (doc_id) that join what fingerprints of their texts in ``docs`` (doc_id, text) at ``radius`` bits
+    or less join, found as in ``group_near_duplicates``; at most some for each key, as a dense group is given as a star. Equal
+    fingerprints are one point of the trees; its rows are paired with their smallest key."""
+    prints = written(fingerprints(docs, words).join(keys, "doc_id", "left_semi"))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    same = prints.join(nodes, "fp").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).where("a != b")
+    return written(links(nodes, radius).union(same))
+
+
 def group_similar(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id and component_id, for near copies of a Jaccard index of at least ``similarity``.
 
-    Groups are joined by such pairs alone and no pair is missed, see ``jaccard``. Nulls, repeated and empty rows as in
+    Fingerprints go through the vantage-point trees first and the pairs found there are tested. Near copies of more edits
+    differ in more bits than a ball can hold, so an exact search over shingles follows for what is not joined by then: groups
+    are joined by pairs of that index alone and no pair is missed, see ``jaccard``. Nulls, repeated and empty rows as in
     ``group_near_duplicates``; texts under one key count as one document.
     """
-    return jaccard.group(texts(docs, key, text, "doc_id"), words, similarity)
+    rows = texts(docs, key, text, "doc_id")
+    return jaccard.group(rows, words, similarity, lambda keys: nearest_pairs(rows, keys))
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from oracle_check import connect, differences
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerforge.llm import chat, components, decontaminate, quality, queries, reshard, simhash, urlrules
+from offerforge.llm import chat, components, decontaminate, jaccard, quality, queries, reshard, simhash, urlrules
 from offerforge.llm.encoder import TextEncoder
 from offerforge.session import scratch_path
 
@@ -167,6 +167,35 @@ def test_similar_groups_are_exact(spark):
     assert {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()} == _exact_groups(docs)
 
 
+def test_near_copies_go_through_the_trees_first(spark, monkeypatch):
+    """The pairs of the trees join what three bits join; those that are similar are not searched for again, and the groups are
+    exact."""
+    rng, docs = random.Random(11), {}
+    for base in range(4):
+        words = [f"b{base}w{rng.randrange(10**6)}" for _ in range(400)]
+        for k in range(8):
+            copy = list(words)
+            copy[rng.randrange(400)] = f"z{base}{k}"
+            docs[100 * base + k] = " ".join(copy)
+    docs |= {k: " ".join(f"o{rng.randrange(10**6)}" for _ in range(50)) for k in range(900, 910)}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    parent = {k: k for k in docs}
+    for r in simhash.nearest_pairs(frame, frame.select("doc_id")).collect():
+        low, high = sorted((parent[r.a], parent[r.b]))
+        parent = {k: low if g == high else g for k, g in parent.items()}
+    assert parent == _groups({k: _fingerprint(t) for k, t in docs.items()})
+    assert len(set(parent.values())) < len(docs)
+    asked, near = [], jaccard._near
+
+    def kept(pairs, *rest):
+        asked.append({(r.a, r.b) for r in pairs.collect()})
+        return near(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_near", kept)
+    assert {r.doc_id: r.component_id for r in simhash.group_similar(frame).collect()} == _exact_groups(docs)
+    assert asked[0] and not any(parent[a] == parent[b] for pairs in asked[1:] for a, b in pairs)
+
+
 def test_equal_fingerprints_are_no_link(spark):
     """One fingerprint by a phrase that is said over and over, but other words behind it; and a copy of the second text."""
     docs = {k: "a b c d e f g " * 200 + " ".join(f"t{k}x{n}" for n in range(40)) for k in (1, 2, 3)}
