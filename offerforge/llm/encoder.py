@@ -2,16 +2,19 @@
 
 Both kinds of vocabulary cut a text at white space before they merge, so the ids of a text are the ids of its words in
 order. A word costs a call into the library once; its ids are kept as little-endian bytes. The kept words are bounded
-(``KEEP_WORDS`` that stay and ``LATE_WORDS`` that take turns), which changes the speed and never the ids.
+(``KEEP_WORDS`` that stay and ``LATE_WORDS`` that take turns) and go with the task, which changes the speed and never the
+ids: Python workers outlive their tasks and would hold them beside whatever runs next.
 """
 
 from __future__ import annotations
 
-import json
+import ctypes
+import gc
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 KEEP_WORDS = 500_000
 LATE_WORDS = 100_000
@@ -67,8 +70,7 @@ class TextEncoder:
         added = self.library.get_added_tokens_decoder().values()
         self.special = [t.content for t in added]  # a text that holds one of these strings is the library's alone
         self.model = self.library.model
-        with open(path, encoding="utf-8") as file:
-            self.word_ends = bool(json.load(file)["model"].get("end_of_word_suffix"))
+        self.word_ends = bool(self.model.end_of_word_suffix)
         self.letters = _byte_letters()
         self.codes = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.marks = _Words(lambda marks: self._model(marks) if marks else b"")
@@ -135,9 +137,9 @@ class TextEncoder:
                 out.append(plain[first] + b"".join(map(spaced, rest)))
         except _Irregular:
             return self._chunked(text)
-        return self._line_feed().join(out)
+        return self._line_feed.join(out)
 
-    @lru_cache(maxsize=1)  # noqa: B019  one encoder lives as long as its worker
+    @cached_property
     def _line_feed(self) -> bytes:
         return self._library("\n")
 
@@ -153,5 +155,15 @@ class TextEncoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
-    """One encoder for each vocabulary and Python worker."""
+    """One encoder for each vocabulary and Python worker, until ``release``."""
     return TextEncoder(path)
+
+
+def release() -> None:
+    """Frees the encoders of this worker, at the end of a task, and gives the memory back where the C library can."""
+    encoder.cache_clear()
+    gc.collect()  # an encoder and its words refer to each other
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

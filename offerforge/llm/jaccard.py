@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerforge.llm.components import components
-from offerforge.session import written
+from offerforge.session import text_batches, written
 
 SEED = 42
 ROWS_AT_ONCE = 256
@@ -180,7 +180,8 @@ def similar_links(docs: DataFrame, pairs: DataFrame, words: int, similarity: flo
     """The ``pairs`` (a, b) of keys whose texts' sets of shingles have a Jaccard index of at least ``similarity``. Sets are
     made only of texts that are in a pair."""
     asked = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    sets = written(_sets(docs.join(asked, "doc_id", "left_semi"), words))
+    with text_batches(docs.sparkSession):
+        sets = written(_sets(docs.join(asked, "doc_id", "left_semi"), words))
     left, right = (sets.select(F.col("doc_id").alias(k), F.col("set").alias(f"set_{k}")) for k in ("a", "b"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -243,7 +244,8 @@ def group(docs: DataFrame, words: int, similarity: float, nearest: Callable[[Dat
     rows, null if none has a key.
     """
     docs = docs.select("doc_id", "text")
-    rows = written(_nodes(docs, words, similarity))
+    with text_batches(docs.sparkSession):
+        rows = written(_nodes(docs, words, similarity))
     one = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "size")))
     named = rows.groupBy("high", "low").agg(one.alias("m")).where("m IS NOT NULL")
     named = written(named.select("high", "low", F.col("m.doc_id").alias("id")))

@@ -9,12 +9,13 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right, insort
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerforge.llm.encoder import encoder
-from offerforge.llm.frames import map_rows, put_back, set_aside, texts
-from offerforge.session import written
+from offerforge.llm.encoder import encoder, release
+from offerforge.llm.frames import arrow_schema, map_rows, put_back, set_aside, texts
+from offerforge.session import text_batches, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -129,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 rows.append(row | {"ids": np.frombuffer(part, "<u4").tolist()} if keep_ids else row)
         return rows
 
-    return map_rows(texts(docs, key, text, "doc_id"), make, kinds)
+    return map_rows(texts(docs, key, text, "doc_id"), make, kinds, release)
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece", "ids_crc32")) -> DataFrame:
@@ -157,9 +158,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("do
     numbered = numbered.withColumn("_rank", F.row_number().over(within) - 1)
     numbered = numbered.join(sizes, ["length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
     segments, _ = plan(counts, capacity)
-    places = spark.createDataFrame(
-        segments, "_length long, _first long, _last long, _sequence long, _each long, _offset long"
-    ).groupBy("_length").agg(F.sort_array(F.collect_list(
+    # as an Arrow table: rows of Python objects would start Python workers on the executors to pickle them anew
+    kinds = arrow_schema(spark, "_length long, _first long, _last long, _sequence long, _each long, _offset long")
+    columns = [pa.array([s[k] for s in segments], kind) for k, kind in enumerate(kinds.types)]
+    places = spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds)).groupBy("_length").agg(F.sort_array(F.collect_list(
         F.struct("_first", "_last", "_sequence", "_each", "_offset"))).alias("_places"))
     # one row for each length, its segments bounded by the capacity
     found = numbered.join(F.broadcast(places), F.col("length") == F.col("_length"))
@@ -175,4 +177,6 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("do
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = True,
                    key: str = "doc_id", text: str = "text") -> DataFrame:
     """Cuts, writes the pieces once to the shared folder and packs them; see ``pieces`` and ``pack``."""
-    return pack(written(pieces(docs, tokenizer, capacity, end_id, keep_ids, key, text)), capacity)
+    with text_batches(docs.sparkSession):
+        cut = written(pieces(docs, tokenizer, capacity, end_id, keep_ids, key, text))
+    return pack(cut, capacity)

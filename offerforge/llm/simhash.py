@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from offerforge.llm import jaccard
 from offerforge.llm.components import components
 from offerforge.llm.frames import map_rows, put_back, set_aside, texts
-from offerforge.session import written
+from offerforge.session import text_batches, written
 
 SEED = 42
 WORDS = 3
@@ -297,7 +297,8 @@ def nearest_pairs(docs: DataFrame, keys: DataFrame, words: int = WORDS, radius:
     """Pairs (a, b) of ``keys`` (doc_id) that join what fingerprints of their texts in ``docs`` (doc_id, text) at ``radius`` bits
     or less join, found as in ``group_near_duplicates``; at most some for each key, as a dense group is given as a star. Equal
     fingerprints are one point of the trees; its rows are paired with their smallest key."""
-    prints = written(fingerprints(docs, words).join(keys, "doc_id", "left_semi"))
+    with text_batches(docs.sparkSession):
+        prints = written(fingerprints(docs, words).join(keys, "doc_id", "left_semi"))
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")))
     same = prints.join(nodes, "fp").select(F.col("id").alias("a"), F.col("doc_id").alias("b")).where("a != b")
     return written(links(nodes, radius).union(same))

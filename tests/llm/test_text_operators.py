@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import random
 import time
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from offerforge.llm import decontaminate, encoder, licenses, maintext, packing, tokenstore
 from offerforge.llm.encoder import TextEncoder
-from offerforge.session import scratch_path
+from offerforge.session import BATCH_SETTING, scratch_path, text_batches, written
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 SMALL = "/root/testdata/sf0.001"
@@ -442,3 +444,50 @@ def test_kept_words_change_speed_only(monkeypatch):
     for _ in range(2):
         assert np.frombuffer(small.ids(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
     assert len(small.spaced) == 3 and 0 < len(small.spaced.late) <= 2 and "two" in small.spaced
+
+
+def test_encoders_go_with_their_task(spark):
+    """Python workers outlive their tasks; what they keep for the ids of texts must not stay beside the next stage."""
+
+    def held(batches):
+        from offerforge.llm import encoder
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([encoder.encoder.cache_info().currsize] * batch.num_rows, pa.int64())})
+
+    kept = encoder.encoder(BYTE)
+    kept.ids("two\nlines")
+    gone = weakref.ref(kept)
+    del kept
+    encoder.release()
+    assert gone() is None
+
+    docs = spark.createDataFrame([(k, f"text {k}\nof two lines") for k in range(40)], "doc_id long, text string").repartition(8)
+    probe = spark.range(0, 64, 1, 16).mapInArrow(held, "n long")
+    assert packing.pieces(docs, WORD).count() == 40
+    assert {r.n for r in probe.collect()} == {0}
+
+
+def test_the_packing_plan_starts_no_python_workers(spark):
+    cut = spark.createDataFrame([(k, 0, 0, k % 7 + 1, k) for k in range(30)],
+                                "doc_id long, piece int, start long, length long, ids_crc32 long").coalesce(1)
+    packed = packing.pack(written(cut), 16)
+    plan = packed._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    assert packed.where("offset + length > 16").count() == 0 and packed.count() == 30
+    assert packing.pack(written(cut.limit(0)), 16).count() == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """Rows in a batch follow the length of the texts, not only Spark's number of rows; the session's bound comes back."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    before = spark.conf.get(BATCH_SETTING)
+    rows = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('text ', 2000) AS text").mapInArrow(sizes, "n long")
+    with text_batches(spark):
+        got = [r.n for r in written(rows).collect()]
+    assert sum(got) == 2000 and max(got) < 1000
+    assert spark.conf.get(BATCH_SETTING) == before
