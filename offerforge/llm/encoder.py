@@ -2,8 +2,8 @@
 
 Both kinds of vocabulary cut a text at white space before they merge, so the ids of a text are the ids of its words in
 order. A word costs a call into the library once; its ids are kept as little-endian bytes. The kept words are bounded
-(``KEEP_WORDS`` that stay and ``LATE_WORDS`` that take turns) and go with the task, which changes the speed and never the
-ids: Python workers outlive their tasks and would hold them beside whatever runs next.
+(``KEEP_WORDS`` that stay and ``LATE_WORDS`` that take turns), which changes the speed and never the ids. Python workers
+outlive their tasks and would hold them beside whatever runs next, so ``release`` frees them where other stages follow.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerforge.llm.encoder import encoder, release
+from offerforge.llm.encoder import encoder
 from offerforge.llm.frames import arrow_schema, map_rows, texts
 from offerforge.session import written
 
@@ -132,20 +132,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         def out():
             return pa.RecordBatch.from_pylist([{"segment": _segment(file, number, width, dictionary, held)}], schema=kinds)
 
-        try:
-            for batch in batches:
-                for k, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = ids_of(body.as_py()) + end
-                    held.append((k, ids))
-                    size += len(ids)
-                    if size >= SEGMENT_BYTES:
-                        yield out()
-                        number, held, size = number + 1, [], 0
-            if held:
-                yield out()
-        finally:
-            ids_of, held = None, []
-            release()
+        for batch in batches:
+            for k, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = ids_of(body.as_py()) + end
+                held.append((k, ids))
+                size += len(ids)
+                if size >= SEGMENT_BYTES:
+                    yield out()
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield out()
 
     files = max(1, chars // FILE_CHARS)
     rows = rows.withColumn("_tie", F.xxhash64("text"))
